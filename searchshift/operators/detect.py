@@ -72,6 +72,58 @@ def unmatched_shard_dirs(inventory: DataFrame) -> DataFrame:
     return issue_rows(odd, "UNMATCHED_SHARD_DIR", F.col("name"), F.lit("ignored"))
 
 
+def _mark(number: Column, **facts: Column) -> Column:
+    """A statement about one shard number; unmentioned facts are false or zero."""
+    none = F.lit(0).cast("bigint")
+    no = F.lit(False)
+    return F.struct(
+        number.cast("bigint").alias("n"),
+        facts.get("copies", none).cast("bigint").alias("copies"),
+        *[facts.get(f, no).alias(f) for f in _FLAGS])
+
+
+_FLAGS = ("before", "after", "commit", "is_directory", "incremental", "standalone", "out_of_range")
+
+
+def _shard_marks(number: Column) -> list[Column]:
+    """A shard announces itself to its own number and to both neighbours."""
+    yes = F.lit(True)
+    return [_mark(number, copies=F.lit(1)), _mark(number + 1, before=yes),
+            _mark(number - 1, after=yes)]
+
+
+def _by_number(marks: DataFrame) -> DataFrame:
+    """All statements about one number of one backup."""
+    return marks.select("backup_id", "m.*").groupBy("backup_id", "n").agg(
+        F.sum("copies").alias("copies"), *[F.max(f).alias(f) for f in _FLAGS])
+
+
+def _first_mismatch() -> tuple[list[Column], Column]:
+    """Aggregates per backup over ``_by_number`` rows, and the first place where the
+    sorted numbers differ from 1, 2, 3, ..., as a struct or NULL."""
+    n, here = F.col("n"), F.col("copies") > 0
+    aggregates = [
+        F.max(here & (n == 0)).alias("has_zero"),
+        F.max(here & (n == 1)).alias("has_one"),
+        F.min(F.when(F.col("copies") > 1, n)).alias("repeated"),
+        F.min(F.when(here & ~F.col("before") & (n != 1), n)).alias("restart"),
+        F.min(F.when(here & ~F.col("after"), n)).alias("run_end"),
+    ]
+    # the smallest number from 1 on that is not there
+    missing = F.when(F.col("has_one"), F.col("run_end") + 1).otherwise(F.lit(1).cast("bigint"))
+
+    def pair(expected: Column, actual: Column) -> Column:
+        return F.struct(expected.cast("bigint").alias("expected"),
+                        actual.cast("bigint").alias("actual"))
+
+    mismatch = (
+        F.when(F.col("has_zero"), pair(F.lit(1), F.lit(0)))
+        .when(F.col("repeated") < missing, pair(F.col("repeated") + 1, F.col("repeated")))
+        .when(F.col("restart") > missing, pair(missing, F.col("restart")))
+    )
+    return aggregates, mismatch
+
+
 def shard_gaps(shards: DataFrame) -> DataFrame:
     """First place where a backup's sorted shard numbers differ from 1, 2, 3, ...
 
@@ -80,42 +132,12 @@ def shard_gaps(shards: DataFrame) -> DataFrame:
     second one by backup reduces to a handful of minima. Nothing is sorted, and a
     backup with most of the shards is spread by number.
     """
-    n = F.col("shard_number")
-
-    def mark(number: Column, copies, before: bool, after: bool) -> Column:
-        return F.struct(number.alias("n"), F.lit(copies).cast("bigint").alias("copies"),
-                        F.lit(before).alias("before"), F.lit(after).alias("after"))
-
-    numbers = shards.filter(n.isNotNull()).groupBy("backup_id", "shard_number").agg(
-        F.count("*").alias("copies"))
-    marks = numbers.select("backup_id", F.explode(F.array(
-        mark(n, F.col("copies"), False, False),
-        mark(n + 1, 0, True, False),
-        mark(n - 1, 0, False, True),
-    )).alias("m")).select("backup_id", "m.*")
-    points = marks.groupBy("backup_id", "n").agg(
-        F.sum("copies").alias("copies"),
-        F.max("before").alias("before"), F.max("after").alias("after"),
-    ).filter(F.col("copies") > 0)
-    ends = points.groupBy("backup_id").agg(
-        F.max(F.col("n") == 0).alias("has_zero"),
-        F.max(F.col("n") == 1).alias("has_one"),
-        F.min(F.when(F.col("copies") > 1, F.col("n"))).alias("repeated"),
-        F.min(F.when(~F.col("before") & (F.col("n") != 1), F.col("n"))).alias("restart"),
-        F.min(F.when(~F.col("after"), F.col("n"))).alias("run_end"),
-    )
-    # the smallest number from 1 on that is not there
-    missing = F.when(F.col("has_one"), F.col("run_end") + 1).otherwise(F.lit(1))
-    mismatch = (
-        F.when(F.col("has_zero"), F.struct(F.lit(1).cast("bigint").alias("expected"),
-                                           F.lit(0).cast("bigint").alias("actual")))
-        .when(F.col("repeated") < missing,
-              F.struct((F.col("repeated") + 1).alias("expected"), F.col("repeated").alias("actual")))
-        .when(F.col("restart") > missing,
-              F.struct(missing.cast("bigint").alias("expected"), F.col("restart").alias("actual")))
-    )
+    marks = shards.filter(F.col("shard_number").isNotNull()).select(
+        "backup_id", F.explode(F.array(*_shard_marks(F.col("shard_number")))).alias("m"))
+    aggregates, mismatch = _first_mismatch()
     return (
-        ends.select("backup_id", mismatch.alias("gap"))
+        _by_number(marks).groupBy("backup_id").agg(*aggregates)
+        .select("backup_id", mismatch.alias("gap"))
         .filter(F.col("gap").isNotNull())
         .select("backup_id", "gap.expected", "gap.actual")
     )
@@ -141,55 +163,54 @@ def standalone_index(inventory: DataFrame) -> DataFrame:
 def classify_format(inventory: DataFrame) -> DataFrame:
     """Format of every backup, or the code of the reason for refusing it.
 
-    All entry-level facts come from one aggregation of the relevant entries; what
-    needs the shard numbers arrives as one row per backup.
+    One pass and no join: every relevant entry makes statements about a shard number
+    (or about the backup as a whole, under a NULL number), which are gathered by
+    (backup, number) and then by backup.
     """
-    facts = (
-        inventory.filter(
-            _is_root() | _is_incremental_marker() | _is_shard_dir()
-            | (_is_commit() & F.col("rel_dir").isin(*rules.STANDALONE_DIRS)))
-        .groupBy("backup_id")
-        .agg(
-            F.max(_is_root() & F.col("is_dir")).alias("is_directory"),
-            F.max(_is_incremental_marker()).alias("incremental"),
-            F.sum(_is_shard_dir().cast("bigint")).alias("shard_count"),
-            F.max(_is_commit()).alias("standalone"),
-        )
-    )
-    shards = shard_dirs(inventory)
-    out_of_range = F.max(F.col("shard_number").isNull())
-    ranges = shards.groupBy("backup_id").agg(out_of_range.alias("out_of_range"))
-    bare = shards_without_commit(shards, inventory).groupBy("backup_id").agg(
-        F.count("*").alias("bare_shards"))
-    joined = (
-        facts.join(ranges, "backup_id", "left")
-        .join(shard_gaps(shards), "backup_id", "left")
-        .join(bare, "backup_id", "left")
+    shard_of_dir = F.regexp_extract("rel_dir", rules.SHARD_DIR_REGEX, 1)
+    number = F.regexp_extract("name", rules.SHARD_DIR_REGEX, 1).try_cast("int").cast("bigint")
+    whole = F.lit(None).cast("bigint")
+    yes = F.lit(True)
+    single = _is_commit() & F.col("rel_dir").isin(*rules.STANDALONE_DIRS)
+    marks = (
+        F.when(_is_root(), F.array(_mark(whole, is_directory=F.col("is_dir"))))
+        .when(_is_incremental_marker(), F.array(_mark(whole, incremental=yes)))
+        .when(_is_shard_dir() & number.isNull(), F.array(_mark(whole, out_of_range=yes)))
+        .when(_is_shard_dir(), F.array(*_shard_marks(number)))
+        .when(single, F.array(_mark(whole, standalone=yes)))
+        .when(_is_commit() & (shard_of_dir != ""),
+              F.array(_mark(shard_of_dir.try_cast("int"), commit=yes)))
     )
+    # a filter the scan can apply: most entries are data files inside a shard
+    relevant = inventory.filter((F.col("rel_dir") == "") | _is_commit()
+                                | (F.col("name") == rules.INCREMENTAL_MARKER))
+    points = _by_number(relevant.select("backup_id", F.explode(marks).alias("m")))
+    aggregates, mismatch = _first_mismatch()
+    facts = points.groupBy("backup_id").agg(
+        *aggregates,
+        *[F.max(f).alias(f) for f in ("is_directory", "incremental", "standalone", "out_of_range")],
+        F.sum("copies").alias("shards"),
+        F.count_if((F.col("copies") > 0) & ~F.col("commit")).alias("bare_shards"),
+    ).withColumn("gap", mismatch)
     code = (
         F.when(~F.col("is_directory"), F.lit("NOT_A_DIRECTORY"))
         .when(F.col("incremental"), F.lit("INCREMENTAL_BACKUP"))
         .when(F.col("out_of_range"), F.lit("SHARD_NUMBER_RANGE"))
-        .when(F.col("expected").isNotNull(), F.lit("SHARD_GAP"))
+        .when(F.col("gap").isNotNull(), F.lit("SHARD_GAP"))
         .when(F.col("bare_shards") > 0, F.lit("SHARD_WITHOUT_COMMIT"))
-        .when((F.col("shard_count") == 0) & ~F.col("standalone"), F.lit("UNKNOWN_FORMAT"))
+        .when((F.col("shards") == 0) & ~F.col("standalone"), F.lit("UNKNOWN_FORMAT"))
     )
-    detail = (
+    accepted = F.col("issue_code").isNull()
+    return facts.withColumn("issue_code", code).select(
+        "backup_id",
+        F.when(accepted & (F.col("shards") > 0), F.lit(rules.CLOUD_FULL))
+        .when(accepted, F.lit(rules.STANDALONE)).alias("format"),
+        "issue_code",
         F.when(F.col("issue_code") == "SHARD_GAP",
-               F.format_string("expected %d, found %d", "expected", "actual"))
+               F.format_string("expected %d, found %d", "gap.expected", "gap.actual"))
         .when(F.col("issue_code") == "SHARD_WITHOUT_COMMIT", F.col("bare_shards").cast("string"))
-    )
-    return (
-        joined.withColumn("issue_code", code)
-        .withColumn("format", F.when(
-            F.col("issue_code").isNull(),
-            F.when(F.col("shard_count") > 0, F.lit(rules.CLOUD_FULL))
-            .otherwise(F.lit(rules.STANDALONE))))
-        .select(
-            "backup_id", "format", "issue_code", detail.alias("detail"),
-            F.when(F.col("format") == rules.STANDALONE, F.lit(1).cast("bigint"))
-            .when(F.col("format").isNotNull(), F.col("shard_count")).alias("shard_count"))
-    )
+        .alias("detail"),
+        F.when(accepted, F.greatest(F.col("shards"), F.lit(1).cast("bigint"))).alias("shard_count"))
 
 
 def detection_issues(formats: DataFrame) -> DataFrame:

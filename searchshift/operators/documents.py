@@ -30,25 +30,23 @@ def _section(number: int, chunk: Column | int = 0) -> Column:
     return (F.lit(number * SECTION) + within).cast("bigint").alias("part")
 
 
-def _collect(chunked: DataFrame, keys: list[str]) -> DataFrame:
+def _collect(chunked: DataFrame, keys: list[str], bodies: list[str]) -> DataFrame:
     """Comma-joined bodies of each chunk in (place, name) order. Every chunk but the
     first of its list starts with a comma."""
     # Repartitioned by chunk: the preceding join leaves all rows of a list together.
-    spread = chunked.repartition(*keys, "chunk")
-    joined = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("place", "name", "body"))),
-                    lambda e: e["body"]), ",")
-    return spread.groupBy(*keys, "chunk").agg(
-        joined.alias("body"), F.max("first").alias("first")).select(
-        *keys, "chunk",
-        F.when(F.col("chunk") == F.col("first"), F.col("body"))
-        .otherwise(F.concat(F.lit(","), F.col("body"))).alias("body"))
+    lists = chunked.repartition(*keys, "chunk").groupBy(*keys, "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("place", "name", *bodies))).alias("_entries"),
+        F.max("first").alias("first"))
+    lead = F.when(F.col("chunk") == F.col("first"), F.lit("")).otherwise(F.lit(","))
+    return lists.select(*keys, "chunk", *[
+        F.concat(lead, F.array_join(f"_entries.{body}", ",")).alias(body) for body in bodies])
 
 
-def list_parts(entries: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """Lists of named entries cut into chunks: keys + (chunk, body).
+def list_parts(entries: DataFrame, keys: list[str], size: int,
+               bodies: tuple[str, ...] = ("body",)) -> DataFrame:
+    """Lists of named entries cut into chunks: keys + (chunk, bodies).
 
-    ``entries`` is keys + (place, name, body) with names unique in a list and
+    ``entries`` is keys + (place, name, bodies) with names unique in a list and
     ``place`` their ``text_hash``. Equal stretches of the hash space hold about
     ``size`` entries each.
     """
@@ -59,16 +57,16 @@ def list_parts(entries: DataFrame, keys: list[str], size: int) -> DataFrame:
         return F.shiftright(place * chunks, HASH_BITS)
 
     chunked = entries.join(stats, keys).select(
-        *keys, "place", "name", "body",
+        *keys, "place", "name", *bodies,
         chunk_of(F.col("place")).alias("chunk"), chunk_of(F.col("_low")).alias("first"))
-    return _collect(chunked, keys)
+    return _collect(chunked, keys, list(bodies))
 
 
 def numbered_parts(entries: DataFrame, keys: list[str], size: int) -> DataFrame:
     """Lists in the order of a dense number from 0, such as shard ids."""
     chunked = entries.withColumn("chunk", F.floor(F.col("place") / size)).withColumn(
         "first", F.lit(0).cast("bigint"))
-    return _collect(chunked, keys)
+    return _collect(chunked, keys, ["body"])
 
 
 # --- identifiers -----------------------------------------------------------------
@@ -232,23 +230,23 @@ def _shard_path(name: Column) -> Column:
                     F.lit("/"), name)
 
 
-def _file_entry() -> Column:
-    return F.to_json(F.struct(
+def file_chunks(manifest: DataFrame, files_per_part: int = FILES_PER_PART) -> DataFrame:
+    """The files of each shard as bounded pieces of JSON text: (backup_id, shard_id, chunk,
+    entries, names). Both documents of a shard are made from these."""
+    entry = F.to_json(F.struct(
         F.col("name").alias("name"), F.col("name").alias("physical_name"), "length", "written_by",
         "checksum", "meta_hash"))
+    files = manifest.select(
+        "backup_id", "shard_id", text_hash(F.col("name")).alias("place"), "name",
+        entry.alias("entries"), F.to_json(F.struct("name")).alias("names"))
+    return list_parts(files, ["backup_id", "shard_id"], files_per_part, ("entries", "names"))
 
 
-def _file_lists(manifest: DataFrame, body: Column, size: int) -> DataFrame:
-    entries = manifest.select("backup_id", "shard_id", text_hash(F.col("name")).alias("place"),
-                              "name", body.alias("body"))
-    return list_parts(entries, ["backup_id", "shard_id"], size)
-
-
-def shard_snapshot_doc(manifest: DataFrame, shards: DataFrame, now_ms: int,
-                       files_per_part: int = FILES_PER_PART) -> DataFrame:
+def shard_snapshot_doc(chunks: DataFrame, shards: DataFrame, now_ms: int) -> DataFrame:
     """Snapshot document of each shard: totals, then six attributes per file.
 
-    ``shards`` is the roll-up with (files, bytes) and optionally ``index_name``."""
+    ``chunks`` comes from ``file_chunks``; ``shards`` is the roll-up with (files, bytes)
+    and optionally ``index_name``."""
     shards = shards.withColumn("index_name", _index_name(shards))
     totals = F.to_json(F.struct(
         _snapshot_name().alias("name"),
@@ -259,26 +257,28 @@ def shard_snapshot_doc(manifest: DataFrame, shards: DataFrame, now_ms: int,
         F.col("bytes").alias("total_size")))
     opening = F.concat(F.expr("left(body, length(body) - 1)"), F.lit(',"files":['))
     path = _shard_path(F.concat(F.lit("snap-"), _snapshot_id(), F.lit(".dat")))
-    lists = _file_lists(manifest, _file_entry(), files_per_part)
     return reduce(DataFrame.unionByName, [
         _document(shards.withColumn("body", totals), path, _section(0), opening),
-        _document(lists, path, _section(1, F.col("chunk")), F.col("body")),
+        _document(chunks, path, _section(1, F.col("chunk")), F.col("entries")),
         _document(shards, path, _section(2), F.lit("]}")),
     ])
 
 
-def shard_index_doc(manifest: DataFrame, shards: DataFrame,
-                    files_per_part: int = FILES_PER_PART) -> DataFrame:
+def shard_index_doc(chunks: DataFrame, shards: DataFrame) -> DataFrame:
     """Index document of each shard: the files, then the file names per snapshot."""
     generation = stable_id("generation", F.col("backup_id"), F.col("shard_id"))
     path = _shard_path(F.concat(F.lit("index-"), generation))
-    files = _file_lists(manifest, _file_entry(), files_per_part)
-    names = _file_lists(manifest, F.to_json(F.struct("name")), files_per_part)
     middle = F.concat(F.lit('],"snapshots":{"'), _snapshot_id(), F.lit('":{"files":['))
-    return reduce(DataFrame.unionByName, [
-        _document(shards, path, _section(0), F.lit('{"files":[')),
-        _document(files, path, _section(1, F.col("chunk")), F.col("body")),
-        _document(shards, path, _section(2), middle),
-        _document(names, path, _section(3, F.col("chunk")), F.col("body")),
-        _document(shards, path, _section(4), F.lit("]}}}")),
-    ])
+
+    def fragments(df: DataFrame, *parts: tuple[int, Column | int, Column]) -> DataFrame:
+        """Several parts of the document from each row."""
+        rows = F.explode(F.array(*[
+            F.struct(_section(section, chunk), body.alias("body"))
+            for section, chunk, body in parts]))
+        return df.select("backup_id", path.alias("rel_path"), rows.alias("p")).select(
+            "backup_id", "rel_path", "p.*")
+
+    return fragments(
+        shards, (0, 0, F.lit('{"files":[')), (2, 0, middle), (4, 0, F.lit("]}}}"))
+    ).unionByName(fragments(
+        chunks, (1, F.col("chunk"), F.col("entries")), (3, F.col("chunk"), F.col("names"))))

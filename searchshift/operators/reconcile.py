@@ -36,15 +36,20 @@ def reconcile_counts(source: DataFrame, target: DataFrame, keys: list[str]) -> D
 def reconcile_rows(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Keys whose rows differ: missing in the target, extra in it, or changed.
 
-    Repeated keys are compared as bags of rows."""
+    Repeated keys are compared as bags of rows: the row hashes of the source are added
+    up and those of the target taken off, so one aggregation by key decides."""
     values = [c for c in source.columns if c not in keys]
     both = _stack(source.select(*keys, *values), target.select(*keys, *values))
-    versions = both.withColumn("_hash", _row_hash(values)).groupBy(*keys, "_hash").agg(
-        F.sum("_source").alias("_source"), F.sum("_target").alias("_target"))
-    compared = versions.groupBy(*keys).agg(
+    share = _row_hash(values).cast("decimal(20,0)")
+    compared = both.select(
+        *keys, "_source", "_target",
+        F.when(F.col("_source") == 1, share).otherwise(-share).alias("_share")
+    ).groupBy(*keys).agg(
         F.sum("_source").alias("source_rows"), F.sum("_target").alias("target_rows"),
-        F.max(F.col("_source") != F.col("_target")).alias("_differs"))
-    return compared.filter("_differs").select(
+        F.sum("_share").alias("_difference"))
+    return compared.filter(
+        (F.col("source_rows") != F.col("target_rows")) | (F.col("_difference") != 0)
+    ).select(
         *keys, "source_rows", "target_rows",
         F.when(F.col("target_rows") == 0, F.lit("missing"))
         .when(F.col("source_rows") == 0, F.lit("extra"))

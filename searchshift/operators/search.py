@@ -34,6 +34,19 @@ def first_hits(df: DataFrame, key: str, n: int = 1) -> DataFrame:
     return df.orderBy(key).limit(n)
 
 
+def field_predicate(column: Column, value, target: str, predicate: str) -> Column:
+    """A ``match`` or ``term`` test as the target engine answers it.
+
+    A term is compared as it stands: with the whole value of other fields, but with the
+    analysed tokens of a text field, which are lower case."""
+    if target != "text":
+        return term(column, value)
+    if predicate == "match":
+        return match_text(column, value)
+    tokens = F.split(F.lower(column), r"[^\p{L}\p{N}]+")
+    return F.lit(value != "") & F.array_contains(tokens, value)
+
+
 def field_query(df: DataFrame, expression: str, target_types: dict[str, str]) -> DataFrame:
     """Rows for ``field:value`` or ``*:*``. Text fields are matched by token, others
     exactly under their type; an undeclared field finds nothing."""
@@ -44,18 +57,6 @@ def field_query(df: DataFrame, expression: str, target_types: dict[str, str]) ->
     if target is None:
         return df.filter(F.lit(False))
     if target == "text":
-        return df.filter(match_text(F.col(field), value))
+        return df.filter(field_predicate(F.col(field), value, target, "match"))
     kind = df.schema[field].dataType.simpleString()
     return df.filter(F.col(field) == F.lit(value).try_cast(kind))
-
-
-def query_on_field(df: DataFrame, field: str, value: str, target: str, predicate: str) -> DataFrame:
-    """A ``match`` or ``term`` query as the target engine answers it: a term is compared
-    with the analysed tokens of a text field, which are lower case."""
-    column = F.col(field)
-    if target != "text":
-        return df.filter(term(column, value))
-    if predicate == "match":
-        return df.filter(match_text(column, value))
-    tokens = F.split(F.lower(column), r"[^\p{L}\p{N}]+")
-    return df.filter(F.lit(value != "") & F.array_contains(tokens, value))

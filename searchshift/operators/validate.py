@@ -154,12 +154,10 @@ def pick_index_dir(outputs: DataFrame) -> DataFrame:
     )
 
 
-def _under_index(outputs: DataFrame, picked: DataFrame) -> DataFrame:
-    """Entries below the picked index directory, with their path inside it."""
-    below = outputs.filter(F.col("rel_dir").startswith("indices/")).withColumn(
-        "index_dir", F.split_part("rel_dir", F.lit("/"), F.lit(2)))
-    return below.join(picked.select("backup_id", "index_dir"), ["backup_id", "index_dir"],
-                      "left_semi").withColumn(
+def _inside_index(outputs: DataFrame) -> DataFrame:
+    """Entries below any index directory, with their folder inside it."""
+    return outputs.filter(F.col("rel_dir").startswith("indices/")).withColumn(
+        "index_dir", F.split_part("rel_dir", F.lit("/"), F.lit(2))).withColumn(
         "inside", F.regexp_replace("rel_dir", r"^indices/[^/]*/?", ""))
 
 
@@ -173,11 +171,12 @@ def index_dirs(outputs: DataFrame, shards: DataFrame) -> DataFrame:
         _any(F.col("is_dir") & (F.col("rel_dir") == "") & (F.col("name") == "indices"))
         .alias("has_indices"))
     picked = pick_index_dir(outputs)
-    inside = _under_index(outputs, picked)
-    metadata = inside.filter((F.col("inside") == "") & _is_data("meta-")).select(
-        "backup_id").distinct().withColumn("has_metadata", F.lit(True))
+    top = _inside_index(outputs).filter(F.col("inside") == "")
+    metadata = top.filter(_is_data("meta-")).select("backup_id", "index_dir").distinct(
+        ).withColumn("has_metadata", F.lit(True))
     state = (
-        facts.join(picked, "backup_id", "left").join(metadata, "backup_id", "left")
+        facts.join(picked, "backup_id", "left")
+        .join(metadata, ["backup_id", "index_dir"], "left")
         .withColumn("has_metadata", F.coalesce("has_metadata", F.lit(False)))
     )
     usable = F.col("index_dir").isNotNull()
@@ -191,12 +190,11 @@ def index_dirs(outputs: DataFrame, shards: DataFrame) -> DataFrame:
         when(usable & ~F.col("has_metadata"), "INDEX_METADATA_MISSING", F.col("index_dir"),
              nothing),
     )
-    present = inside.filter(F.col("is_dir") & (F.col("inside") == "")).select(
-        "backup_id", F.col("name").alias("dir"))
+    present = top.filter("is_dir").select("backup_id", "index_dir", F.col("name").alias("dir"))
     absent = (
         shards.select("backup_id", F.col("shard_id").cast("string").alias("dir"))
-        .join(present, ["backup_id", "dir"], "left_anti")
-        .join(picked.select("backup_id"), "backup_id", "left_semi")
+        .join(picked.select("backup_id", "index_dir"), "backup_id")
+        .join(present, ["backup_id", "index_dir", "dir"], "left_anti")
     )
     return level.unionByName(
         issue_rows(absent, "OUTPUT_SHARD_MISSING", F.concat(F.lit("shard "), F.col("dir")),
@@ -204,24 +202,26 @@ def index_dirs(outputs: DataFrame, shards: DataFrame) -> DataFrame:
 
 
 def shard_files(outputs: DataFrame, shards: DataFrame) -> DataFrame:
-    """Files of each expected shard directory that exists."""
-    inside = _under_index(outputs, pick_index_dir(outputs))
+    """Files of each expected shard directory that exists.
+
+    Files are reduced to one row per directory before anything is joined."""
     snap = _is_data("snap-")
     index = F.col("name").startswith("index-")
     # the directory's own row keeps an empty shard directory in view
-    entries = inside.filter(
-        (F.col("is_dir") & (F.col("inside") == ""))
-        | ((F.col("inside") != "") & ~F.col("inside").contains("/"))
-    ).withColumn("self", F.col("inside") == "").withColumn(
-        "dir", F.when(F.col("inside") == "", F.col("name")).otherwise(F.col("inside")))
-    flags = entries.groupBy("backup_id", "dir").agg(
-        _any(~F.col("self") & snap).alias("snap"),
-        _any(~F.col("self") & index & ~snap).alias("index"),
-        F.sum(F.when(F.col("self") | snap | index, 0).otherwise(1)).alias("others"))
+    own = F.col("is_dir") & (F.col("inside") == "")
+    inside = _inside_index(outputs).filter(
+        own | ((F.col("inside") != "") & ~F.col("inside").contains("/")))
+    flags = inside.groupBy(
+        "backup_id", "index_dir",
+        F.when(own, F.col("name")).otherwise(F.col("inside")).alias("dir")
+    ).agg(
+        _any(~own & snap).alias("snap"), _any(~own & index & ~snap).alias("index"),
+        F.count_if(~own & ~snap & ~index).alias("others"))
     expected = shards.select("backup_id", F.col("shard_id").cast("string").alias("dir"))
     label, nothing = F.concat(F.lit("shard "), F.col("dir")), F.lit("")
     return emit(
-        flags.join(expected, ["backup_id", "dir"], "left_semi"),
+        flags.join(expected, ["backup_id", "dir"], "left_semi").join(
+            pick_index_dir(outputs), ["backup_id", "index_dir"], "left_semi"),
         when(~F.col("snap"), "SHARD_SNAPSHOT_MISSING", label, nothing),
         when(~F.col("index"), "SHARD_INDEX_MISSING", label, nothing),
         when(F.col("others") == 0, "SHARD_FILES_MISSING", label, nothing),

@@ -11,7 +11,7 @@ from .catalog import query
 
 SHARDS = r"""
 shard_list AS (
-  SELECT backup_id, name AS dir, TRY_CAST(regexp_extract(name, '^snapshot\.shard([0-9]+)$', 1) AS INTEGER) AS n
+  SELECT backup_id, name AS dir, TRY_CAST(regexp_extract(name, '^snapshot\.shard([0-9]+)$', 1) AS INTEGER)::BIGINT AS n
   FROM fx_tree WHERE is_dir AND rel_dir = '' AND regexp_full_match(name, 'snapshot\.shard[0-9]+')),
 ordered AS (
   SELECT backup_id, n, row_number() OVER (PARTITION BY backup_id ORDER BY n) AS i
@@ -146,7 +146,7 @@ def _(t):
 
 @query("resolve_replicas", f"""
 WITH {CLASSIFY} SELECT backup_id, replication_factor,
-  CASE WHEN explicit >= 0 THEN explicit WHEN replication_factor > 0 THEN replication_factor - 1 ELSE 0 END AS replicas,
+  CASE WHEN explicit >= 0 THEN CAST(explicit AS INTEGER) WHEN replication_factor > 0 THEN replication_factor - 1 ELSE 0 END AS replicas,
   CASE WHEN explicit >= 0 THEN 'explicit' WHEN replication_factor > 0 THEN 'replication_factor'
     ELSE 'default' END AS replica_source
 FROM (SELECT backup_id, replication_factor, CASE WHEN CAST(substring(backup_id, 2) AS BIGINT) % 4 = 0
@@ -230,7 +230,7 @@ def _(t):
 
 @query("detection_report", f"""
 WITH {CLASSIFY} SELECT coalesce(format, 'refused') AS format, issue_code, count(*) AS backups,
-  sum(coalesce(shard_count, 0)) AS shards FROM formats GROUP BY 1, 2""")
+  CAST(sum(coalesce(shard_count, 0)) AS BIGINT) AS shards FROM formats GROUP BY 1, 2""")
 def detection_report(t):
     """Convertible backups by format and refused ones by reason."""
     return detect.classify_format(t.fx_tree).groupBy(

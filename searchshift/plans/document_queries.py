@@ -51,6 +51,10 @@ def _manifest(t):
     return manifest.with_meta_hash(t.fx_manifest)
 
 
+def _chunks(t):
+    return documents.file_chunks(_manifest(t), FILES_PER_PART)
+
+
 def _rollup(t):
     return manifest.shard_rollup(t.fx_manifest, t.fx_segments)
 
@@ -172,7 +176,7 @@ def _(t):
 
 
 @query("snapshot_doc", f"""
-WITH {ROLLUP} SELECT backup_id, 'snap-' || {SNAPSHOT} || '.dat' AS rel_path, 0 AS part,
+WITH {ROLLUP} SELECT backup_id, 'snap-' || {SNAPSHOT} || '.dat' AS rel_path, 0::BIGINT AS part,
   '{{"snapshot":{{"name":"' || index_name || '-snapshot","uuid":"' || {SNAPSHOT} || '","version_id":2110199,'
   || '"remote_store_index_shallow_copy":false,"indices":["' || index_name || '"],"data_streams":[],'
   || '"state":"SUCCESS","include_global_state":false,"metadata":null,"start_time":{NOW},"end_time":{NOW},'
@@ -183,7 +187,7 @@ def _(t):
 
 
 @query("global_doc", f"""
-WITH {ROLLUP} SELECT backup_id, 'meta-' || {SNAPSHOT} || '.dat' AS rel_path, 0 AS part,
+WITH {ROLLUP} SELECT backup_id, 'meta-' || {SNAPSHOT} || '.dat' AS rel_path, 0::BIGINT AS part,
   '{{"meta-data":{{"version":1,"cluster_uuid":"' || {SNAPSHOT} || '"}}}}' AS body FROM conversions""")
 def _(t):
     return documents.global_doc(_conversions(t))
@@ -259,7 +263,7 @@ parts AS (
 SELECT backup_id, 'indices/' || {INDEX} || '/' || shard_id || '/snap-' || {SNAPSHOT} || '.dat' AS rel_path, part, body
 FROM parts""")
 def _(t):
-    return documents.shard_snapshot_doc(_manifest(t), _rollup(t), NOW, FILES_PER_PART)
+    return documents.shard_snapshot_doc(_chunks(t), _rollup(t), NOW)
 
 
 @query("shard_index_doc", f"""
@@ -273,7 +277,7 @@ parts AS (
 SELECT backup_id, 'indices/' || {INDEX} || '/' || shard_id || '/index-' || {GENERATION} AS rel_path, part, body
 FROM parts""")
 def _(t):
-    return documents.shard_index_doc(_manifest(t), _rollup(t), FILES_PER_PART)
+    return documents.shard_index_doc(_chunks(t), _rollup(t))
 
 
 # --- versions --------------------------------------------------------------------

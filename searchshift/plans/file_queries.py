@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.values import stored_checksum
 from ..operators import manifest
 from ..operators.numbering import number_rows
-from ..session import checkpointed, scratch_dir
+from ..session import materialized, scratch_dir, shared_path
 from ..sinks.copy import copy_files, file_crc
 from ..sinks.repository import write_batches, write_repository
 from ..sources import files, records
@@ -34,7 +34,7 @@ def _(t):
 def _document_files(t, label: str):
     """Every document as a file: a folder per source, text in one part, an index footer
     with the text's checksum in the next. Returns root and the files written."""
-    root = scratch_dir(t.spark, label)
+    root = shared_path(scratch_dir(t.spark, label))
     text = F.col("text").cast("binary")
     lead = F.concat(text, F.unhex(F.lit("C02893E800000000")))
     stored = F.unhex(F.lpad(F.hex(F.crc32(lead)), 16, "0"))
@@ -47,11 +47,11 @@ def _document_files(t, label: str):
             F.struct(F.lit(1).cast("bigint").alias("part"),
                      F.concat(F.unhex(F.lit("C02893E800000000")), stored).alias("body")),
         )).alias("p")).select("root", "rel_path", "p.*")
-    return root, checkpointed(write_repository(parts))
+    return root, materialized(write_repository(parts), "written")
 
 
 @query("write_repository", """
-SELECT 'snapshot.' || source || '/_' || doc_id || '.fdt' AS rel_path, strlen(text) + 16 AS length, 2 AS parts
+SELECT 'snapshot.' || source || '/_' || doc_id || '.fdt' AS rel_path, strlen(text) + 16 AS length, CAST(2 AS BIGINT) AS parts
 FROM documents""")
 def _(t):
     _, written = _document_files(t, "write")
@@ -73,7 +73,7 @@ SELECT 'snapshot.' || source || '/_' || doc_id || '.fdt' AS rel_path, strlen(tex
 FROM documents""")
 def _(t):
     root, written = _document_files(t, "source")
-    target = scratch_dir(t.spark, "target")
+    target = shared_path(scratch_dir(t.spark, "target"))
     plan = written.select(
         F.concat_ws("/", "root", "rel_path").alias("path"),
         F.concat_ws("/", F.lit(target), "rel_path").alias("target"), "length")
@@ -93,9 +93,9 @@ def _(t):
 
 
 def _trip_batches(t, label: str):
-    root = scratch_dir(t.spark, label)
+    root = shared_path(scratch_dir(t.spark, label))
     trips = records.generate_trips(t.orders.select((F.col("o_orderkey") + 1).alias("id_number")))
-    return root, checkpointed(write_batches(batch_records(trips, ["id"]), root))
+    return root, materialized(write_batches(batch_records(trips, ["id"]), root), "written")
 
 
 @query("write_batches", """

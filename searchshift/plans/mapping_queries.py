@@ -42,7 +42,7 @@ def _final(t):
 
 
 @query("schema_fields", """
-SELECT 'p' || p_partkey AS backup_id, e.pos, CASE e.pos WHEN 2 THEN replace(p_name, ' ', '_') WHEN 3 THEN ''
+SELECT 'p' || p_partkey AS backup_id, CAST(e.pos AS BIGINT) AS pos, CASE e.pos WHEN 2 THEN replace(p_name, ' ', '_') WHEN 3 THEN ''
     ELSE 'last & least' END AS name,
   CASE e.pos WHEN 2 THEN 't' || p_size WHEN 3 THEN 'pint' ELSE lower(p_brand) END AS type
 FROM part, (VALUES (2), (3), (6)) e(pos) WHERE e.pos < 6 OR p_partkey % 83 <> 0""")
@@ -51,7 +51,7 @@ def _(t):
 
 
 @query("schema_types", """
-SELECT 'p' || p_partkey AS backup_id, e.pos, CASE e.pos WHEN 0 THEN 't' || p_size ELSE 'bare' END AS name,
+SELECT 'p' || p_partkey AS backup_id, CAST(e.pos AS BIGINT) AS pos, CASE e.pos WHEN 0 THEN 't' || p_size ELSE 'bare' END AS name,
   CASE e.pos WHEN 0 THEN 'solr.StrField' ELSE '' END AS class
 FROM part, (VALUES (0), (1)) e(pos)""")
 def _(t):
@@ -59,8 +59,8 @@ def _(t):
 
 
 @query("schema_counts", """
-SELECT 'p' || p_partkey AS backup_id, 2 AS types, CASE WHEN p_partkey % 83 = 0 THEN 2 ELSE 3 END AS fields,
-  2 AS ignored_declarations, CASE WHEN p_partkey % 83 = 0 THEN 1 ELSE 0 END AS errors FROM part""")
+SELECT 'p' || p_partkey AS backup_id, CAST(2 AS BIGINT) AS types, CASE WHEN p_partkey % 83 = 0 THEN 2::BIGINT ELSE 3::BIGINT END AS fields,
+  CAST(2 AS BIGINT) AS ignored_declarations, CAST(p_partkey % 83 = 0 AS BIGINT) AS errors FROM part""")
 def _(t):
     return schema.schema_counts(schema.schema_declarations(t.fx_schemas))
 

@@ -57,20 +57,13 @@ def _(t):
 
 
 @query("term_on_text", """
-SELECT 'MACHINERY' AS asked, count(*) FILTER (WHERE false) AS term_hits,
-  count(*) FILTER (WHERE lower(c_mktsegment) = 'machinery') AS match_hits FROM customer""")
+SELECT count(*) FILTER (WHERE false) AS term_hits, count(*) FILTER (WHERE lower(c_mktsegment) = 'machinery') AS match_hits FROM customer""")
 def _(t):
-    customers = t.customer
-    hits = search.count_where(search.query_on_field(
-        customers, "c_mktsegment", "MACHINERY", "text", "term"), F.lit(True))
-    matches = search.count_where(search.query_on_field(
-        customers, "c_mktsegment", "MACHINERY", "text", "match"), F.lit(True))
-    # two one-row results side by side, by a constant key
-    return (
-        hits.select(F.lit("MACHINERY").alias("asked"), F.col("count").alias("term_hits"))
-        .join(matches.select(F.lit("MACHINERY").alias("asked"), F.col("count").alias("match_hits")),
-              "asked")
-    )
+    def hits(predicate: str):
+        return F.count_if(search.field_predicate(
+            F.col("c_mktsegment"), "MACHINERY", "text", predicate))
+
+    return t.customer.agg(hits("term").alias("term_hits"), hits("match").alias("match_hits"))
 
 
 @query("range_numeric", "SELECT count(*) AS count FROM lineitem WHERE l_quantity >= 20")
@@ -160,8 +153,8 @@ def _(t):
 
 
 @query("reconcile_rows", """
-SELECT coalesce(s.o_orderkey, r.o_orderkey) AS o_orderkey, CASE WHEN s.o_orderkey IS NULL THEN 0 ELSE 1 END AS source_rows,
-  CASE WHEN r.o_orderkey IS NULL THEN 0 ELSE 1 END AS target_rows,
+SELECT coalesce(s.o_orderkey, r.o_orderkey) AS o_orderkey, CAST(s.o_orderkey IS NOT NULL AS BIGINT) AS source_rows,
+  CAST(r.o_orderkey IS NOT NULL AS BIGINT) AS target_rows,
   CASE WHEN r.o_orderkey IS NULL THEN 'missing' WHEN s.o_orderkey IS NULL THEN 'extra' ELSE 'changed' END AS status
 FROM orders s FULL JOIN fx_restored r ON r.o_orderkey = s.o_orderkey
 WHERE s.o_orderkey IS NULL OR r.o_orderkey IS NULL OR s.o_custkey IS DISTINCT FROM r.o_custkey

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: What a job on a large cluster should run with. Skewed joins are split at run
 #: time even where the split costs one more shuffle: a hot backup is expected.
@@ -55,22 +54,27 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch root, as a plain file-system path."""
-    root = scratch_root(spark)
-    for prefix in ("file://", "file:"):
-        if root.startswith(prefix):
-            root = root[len(prefix):]
-            break
-    return os.path.join(root, f"{label}-{uuid.uuid4().hex[:12]}")
-
-
-def checkpointed(df):
-    """Cut lineage through the shared checkpoint folder."""
-    spark = df.sparkSession
-    root = scratch_root(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return df.checkpoint(eager=True)
+    """A new, unused path below the scratch root."""
+    return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def shared_path(path: str) -> str:
+    """The plain file-system path behind a ``file:`` address, for jobs that open files
+    themselves. Other file systems cannot be written at an offset."""
+    plain = path.removeprefix("file://").removeprefix("file:")
+    if "://" in plain:
+        raise ValueError(f"not a mounted folder: {path}")
+    return plain
+
+
+def materialized(df: DataFrame, label: str) -> DataFrame:
+    """Cut lineage through a table in the shared scratch folder.
+
+    Later passes read only the columns they need, and a lost executor costs a re-read
+    instead of a recomputation."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def task_count(spark: SparkSession) -> int:

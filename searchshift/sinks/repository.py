@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.numbering import running_total
-from ..session import task_count
+from ..session import materialized, task_count
 
 WRITTEN = "root string, rel_path string, bytes bigint"
 
@@ -48,12 +48,12 @@ def write_repository(parts: DataFrame) -> DataFrame:
     that runs again repeats the same write.
     """
     keys = ["root", "rel_path"]
-    sized = parts.withColumn("body", F.col("body").cast("binary")).withColumn(
-        "bytes", F.octet_length("body").cast("bigint"))
-    lengths = sized.select(*keys, "part", "bytes")
-    totals = lengths.groupBy(*keys).agg(F.sum("bytes").alias("total"))
-    places = running_total(lengths, keys, "part", "bytes", "offset").join(totals, keys)
-    placed = sized.join(places.select(*keys, "part", "offset", "total"), [*keys, "part"])
+    sized = parts.withColumn("body", F.col("body").cast("binary"))
+    sized = materialized(sized.withColumn("bytes", F.octet_length("body").cast("bigint")), "parts")
+    places = running_total(sized.select(*keys, "part", "bytes"), keys, "part", "bytes",
+                           before="offset", total="total")
+    placed = sized.select(*keys, "part", "body").join(
+        places.select(*keys, "part", "offset", "total"), [*keys, "part"])
     written = placed.select(*keys, "body", "offset", "total").repartition(
         task_count(parts.sparkSession), *keys, "offset").mapInPandas(_write, WRITTEN)
     return written.groupBy(*keys).agg(F.sum("bytes").alias("length"), F.count("*").alias("parts"))
