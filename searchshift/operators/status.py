@@ -15,14 +15,17 @@ cluster struct<
 """
 
 
-def _parsed(status: DataFrame) -> DataFrame:
-    return status.withColumn("_status", F.from_json("content", STATUS))
+NODES = "cluster struct<live_nodes: array<string>>"
+
+
+def _parsed(status: DataFrame, schema: str) -> DataFrame:
+    return status.withColumn("_status", F.from_json("content", schema))
 
 
 def shard_leaders(status: DataFrame, keys: list[str]) -> DataFrame:
     """One row per shard: collection size and replication factor, replica count and
     leader node; ``?`` where there is none."""
-    collections = _parsed(status).select(
+    collections = _parsed(status, STATUS).select(
         *keys, F.explode("_status.cluster.collections").alias("collection", "_collection"))
     shards = collections.select(
         *keys, "collection",
@@ -38,15 +41,15 @@ def shard_leaders(status: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def live_nodes(status: DataFrame, keys: list[str]) -> DataFrame:
-    """Live nodes of each cluster, in name order."""
-    return _parsed(status).select(
-        *keys, F.explode("_status.cluster.live_nodes").alias("node")).orderBy(*keys, "node")
+    """Live nodes of each cluster with their place in name order."""
+    return _parsed(status, NODES).select(
+        *keys, F.posexplode(F.array_sort("_status.cluster.live_nodes")).alias("position", "node"))
 
 
 def nodes_ready(status: DataFrame, keys: list[str], expected: Column) -> DataFrame:
     """Whether the number of live nodes has reached the expected one."""
     count = F.greatest(F.coalesce(F.size("_status.cluster.live_nodes"), F.lit(0)), F.lit(0))
-    return _parsed(status).select(*keys, count.alias("nodes"), expected.alias("expected_nodes"),
+    return _parsed(status, NODES).select(*keys, count.alias("nodes"), expected.alias("expected_nodes"),
                                   (count >= expected).alias("ready"))
 
 

@@ -24,15 +24,15 @@ def input_present(planned: DataFrame, shards: DataFrame, inventory: DataFrame) -
         "backup_id", join_path(F.col("rel_dir"), F.col("name")).alias("dir"), "readable")
     roots = dirs.filter(F.col("dir") == "").select("backup_id", "readable")
     checked = planned.select("backup_id").join(roots, "backup_id", "left")
-    missing = checked.filter(F.col("readable").isNull())
-    unreadable = checked.filter(~F.col("readable"))
+    missing = checked.filter(F.col("readable").isNull()).select("backup_id")
     shard_state = shards.join(dirs, ["backup_id", "dir"], "left").filter(
         F.col("readable").isNull() | ~F.col("readable"))
-    doubtful = shard_state.join(missing.select("backup_id"), "backup_id", "left_anti")
+    doubtful = shard_state.join(missing, "backup_id", "left_anti")
     nothing = F.lit("")
     return union_issues(
-        issue_rows(missing, "INPUT_MISSING", nothing, nothing),
-        issue_rows(unreadable, "INPUT_UNREADABLE", nothing, nothing),
+        emit(checked,
+             when(F.col("readable").isNull(), "INPUT_MISSING", nothing, nothing),
+             when(~F.col("readable"), "INPUT_UNREADABLE", nothing, nothing)),
         emit(doubtful,
              when(F.col("readable").isNull(), "SHARD_DIR_MISSING", _shard_label(), F.col("dir")),
              when(~F.col("readable"), "SHARD_DIR_UNREADABLE", _shard_label(), F.col("dir"))),

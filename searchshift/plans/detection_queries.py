@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import detect, validate
 from ..operators.issues import union_issues
+from ..session import materialized
 from ..sources.state import collection_state
 from .catalog import query
 
@@ -256,8 +257,9 @@ UNION ALL SELECT p.backup_id, 'ERROR', 'SHARD_DIR_MISSING' FROM planned p
   LEFT JOIN fx_tree f ON f.backup_id = p.backup_id AND f.rel_dir = '' AND f.name = p.dir AND f.is_dir
   WHERE f.backup_id IS NULL""")
 def _(t):
-    tree = t.fx_tree
-    formats = detect.classify_format(tree)
+    # a listing is written down before several checks read it
+    tree = materialized(t.fx_tree, "tree")
+    formats = materialized(detect.classify_format(tree), "formats")
     shards = detect.plan_shards(formats, detect.shard_dirs(tree), detect.standalone_index(tree))
     planned = formats.filter(F.col("format").isNotNull())
     return union_issues(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import validate
 from ..operators.issues import union_issues
+from ..session import materialized
 from .catalog import query
 
 _BYTES = """CASE WHEN {n} < 1024 THEN {n} || ' B'
@@ -124,9 +125,10 @@ issues AS (
   UNION ALL SELECT * FROM index_issues UNION ALL SELECT * FROM file_issues)"""
 
 
-def _input(t):
+def _input(t, tree=None):
     planned = t.fx_planned
-    return validate.input_present(planned.select("backup_id").distinct(), planned, t.fx_tree)
+    return validate.input_present(planned.select("backup_id").distinct(), planned,
+                                  tree or t.fx_tree)
 
 
 def _disk(t):
@@ -135,9 +137,11 @@ def _disk(t):
 
 
 def _all(t):
-    out, expected = t.fx_out, t.fx_out_shards
+    # listings are written down before several checks read them
+    tree, out = materialized(t.fx_tree, "tree"), materialized(t.fx_out, "outputs")
+    expected = t.fx_out_shards
     return union_issues(
-        _input(t), validate.output_state(t.fx_volumes),
+        _input(t, tree), validate.output_state(t.fx_volumes),
         validate.segment_health(t.fx_shards, t.fx_segments), _disk(t),
         validate.repo_files(out), validate.index_latest_size(out),
         validate.index_dirs(out, expected), validate.shard_files(out, expected))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import date_range, match_text, range_filter, term
 from ..operators import mapping, reconcile, search, status
-from ..sources.records import generate_trips
+from ..sources.records import PRIME, _constants, generate_trips
 from .catalog import query
 
 TOKENS = "list_filter(regexp_split_to_array(lower({c}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
@@ -225,8 +225,9 @@ NUMBERS_ONLY = ("average fare", "total revenue", "average distance")
 
 
 def _draw(field: str, n: str | int) -> str:
-    digest = f"md5('42:' || id || ':{field}')"
-    return f"(CAST('0x' || substring({digest}, 1, 12) AS BIGINT) % {n})"
+    a, b, c = _constants(42, field)
+    x = f"((id % {PRIME}) * {a} + {b}) % {PRIME}"
+    return f"((({x}) * ({x}) + {c}) % {PRIME} % {n})"
 
 
 def _pick(field: str, pool) -> str:
@@ -336,7 +337,8 @@ def _(t):
 
 
 @query("live_nodes", """
-SELECT 'k' || o_orderkey AS cluster_id, unnest(['a1', 'n' || (o_custkey % 5), 'n9']) AS node FROM orders""")
+SELECT 'k' || o_orderkey AS cluster_id, unnest([0, 1, 2]) AS position,
+  unnest(['a1', 'n' || (o_custkey % 5), 'n9']) AS node FROM orders""")
 def _(t):
     return status.live_nodes(t.fx_status, ["cluster_id"])
 

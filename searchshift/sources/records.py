@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,21 +54,32 @@ TRIP_TYPES = {
 }
 
 
+PRIME = 2 ** 31 - 1
+
+
+def _constants(seed: int, field: str) -> list[int]:
+    """Three field-specific numbers below the prime, from seed and field name."""
+    digest = hashlib.sha256(f"{seed}:{field}".encode()).digest()
+    return [1 + int.from_bytes(digest[i:i + 8], "big") % (PRIME - 1) for i in (0, 8, 16)]
+
+
 def generate_trips(ids: DataFrame, seed: int = 42) -> DataFrame:
     """One trip record per row of ``ids`` (id_number bigint, from 1).
 
-    Every value is drawn from a hash of seed, number and field name, so a record does
-    not depend on partitioning or on other records. Money and distance are drawn in
-    hundredths as integers."""
+    Every value is drawn from seed, number and field name alone, so a record does not
+    depend on partitioning or on other records. A draw is integer arithmetic modulo a
+    prime with one squaring, which stays in generated code. Money and distance are
+    drawn in hundredths as integers."""
     number = F.col("id_number").cast("string")
 
     def draw(field: str) -> Column:
-        """Even integer in 0 .. 2^48-1."""
-        digest = F.md5(F.concat(F.lit(f"{seed}:"), number, F.lit(f":{field}")).cast("binary"))
-        return F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint")
+        """Spread integer below the prime."""
+        a, b, c = _constants(seed, field)
+        x = (F.col("id_number") % PRIME * a + b) % PRIME
+        return (x * x + c) % PRIME
 
     def below(field: str, n: Column | int) -> Column:
-        return F.pmod(draw(field), (n if isinstance(n, Column) else F.lit(n)).cast("bigint"))
+        return draw(field) % (n if isinstance(n, Column) else F.lit(n))
 
     def between(field: str, low: int, high: int) -> Column:
         return below(field, high - low + 1) + low
@@ -115,8 +128,10 @@ def generate_trips(ids: DataFrame, seed: int = 42) -> DataFrame:
     ).withColumn("tip", F.when(
         F.col("has_tip"), below("tip", F.floor(F.col("fare") * 3 / 10) + 1)
     ).otherwise(F.lit(0).cast("bigint")))
-    texts = F.array(*[
-        F.format_string(t, "pickup_hood", "dropoff_hood", "weather", "road") for t in TEMPLATES])
+    text = F.lit(None).cast("string")
+    for i, template in enumerate(TEMPLATES, start=1):
+        text = F.when(F.col("template") == i, F.format_string(
+            template, "pickup_hood", "dropoff_hood", "weather", "road")).otherwise(text)
 
     def iso(column: Column) -> Column:
         return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -142,7 +157,7 @@ def generate_trips(ids: DataFrame, seed: int = 42) -> DataFrame:
         hundredths(F.col("fare") + F.col("surcharge") + F.col("tip") + F.col("tolls"))
         .alias("total_amount"),
         "store_and_fwd_flag",
-        F.element_at(texts, F.col("template")).alias("trip_description"),
+        text.alias("trip_description"),
     )
 
 
