@@ -14,6 +14,7 @@ from ..sinks.repository import write_batches, write_repository
 from ..sources import files, records
 from ..sources.records import batch_records, batch_summary, load_records
 from .catalog import query
+from .convert import convert_backups
 
 
 @query("batch_records", """
@@ -92,6 +93,79 @@ def _(t):
     return manifest.verify_checksum(footers.join(crcs, "path")).select("rel_path", "intact")
 
 
+def _backup_trees(t, label: str):
+    """A sharded backup per document source: four shards of document files with footers,
+    a commit per shard, a schema and a state. Returns backups and segments."""
+    root = shared_path(scratch_dir(t.spark, label))
+    lead = F.unhex(F.lit("C02893E800000000"))
+    text = F.col("text").cast("binary")
+    stored = F.unhex(F.lpad(F.hex(F.crc32(F.concat(text, lead))), 16, "0"))
+    shard = F.floor(F.col("doc_id") / 20) % 4
+    folder = F.concat(F.col("source"), F.lit("/snapshot.shard"), (shard + 1).cast("string"))
+    name = F.concat(F.lit("_"), F.col("doc_id").cast("string"), F.lit(".fdt"))
+    data = t.documents.select(F.concat_ws("/", folder, name).alias("rel_path"),
+                              F.concat(text, lead, stored).alias("body"))
+    sources = t.documents.select("source").distinct()
+    every = sources.select("source", F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("shard"))
+    commits = every.select(
+        F.concat("source", F.lit("/snapshot.shard"), (F.col("shard") + 1).cast("string"),
+                 F.lit("/segments_3")).alias("rel_path"),
+        F.lit("commit").cast("binary").alias("body"))
+    schema = F.concat(
+        F.lit('<schema><fieldType name="body" class="solr.TextField"/><field name="text" type="body"/>'
+              '<field name="lang" type="string"/><field name="_version_" type="plong"/><field name="'),
+        F.col("source"), F.lit('" type="odd"/></schema>'))
+    extra = sources.select(F.explode(F.array(
+        F.struct(F.concat("source", F.lit("/zk_backup/configs/_default/managed-schema")).alias("rel_path"),
+                 schema.cast("binary").alias("body")),
+        F.struct(F.concat("source", F.lit("/zk_backup/collection_state.json")).alias("rel_path"),
+                 F.lit('{"c":{"replicationFactor":"3"}}').cast("binary").alias("body")),
+    )).alias("f")).select("f.*")
+    parts = data.unionByName(commits).unionByName(extra).select(
+        F.lit(root).alias("root"), "rel_path", F.lit(0).cast("bigint").alias("part"), "body")
+    materialized(write_repository(parts), "written")
+    backups = sources.select(
+        F.col("source").alias("backup_id"), F.concat_ws("/", F.lit(root), "source").alias("input_dir"),
+        F.concat_ws("/", F.lit(root + "-out"), "source").alias("output_dir"),
+        F.concat(F.lit("idx_"), "source").alias("index_name"), F.lit(-1).alias("replicas"))
+    segments = t.documents.select(
+        F.col("source").alias("backup_id"), shard.alias("shard_id"),
+        F.concat(F.lit("_"), F.col("doc_id").cast("string")).alias("segment"),
+        F.col("n_chars").alias("max_doc"), F.lit("9.8.0").alias("lucene_version"),
+        F.array(name).alias("files"))
+    empty = every.select(
+        F.col("source").alias("backup_id"), F.col("shard").cast("bigint").alias("shard_id"),
+        F.lit(None).cast("string").alias("segment"), F.lit(0).cast("bigint").alias("max_doc"),
+        F.lit("9.8.0").alias("lucene_version"), F.array().cast("array<string>").alias("files"))
+    return backups, segments.unionByName(empty)
+
+
+@query("convert_backups", """
+SELECT source AS backup_id, 'idx_' || source AS index_name, CAST(4 AS BIGINT) AS total_shards,
+  count(*) AS total_files, CAST(sum(n_chars) AS BIGINT) AS total_docs,
+  CAST(sum(strlen(text) + 16) AS BIGINT) AS total_bytes, 2 AS replicas,
+  CAST(13 AS BIGINT) AS metadata_files, true AS complete
+FROM documents GROUP BY source""")
+def _(t):
+    backups, segments = _backup_trees(t, "convert")
+    return convert_backups(backups, segments, 1717243200000, range_bytes=1 << 16).results.select(
+        "backup_id", "index_name", "total_shards", "total_files", "total_docs", "total_bytes",
+        "replicas", "metadata_files", "complete")
+
+
+@query("conversion_issues", """
+WITH empty AS (
+  SELECT source, shard FROM (SELECT DISTINCT source, unnest([0, 1, 2, 3]) AS shard FROM documents) e
+  WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.source = e.source AND d.doc_id // 20 % 4 = e.shard))
+SELECT DISTINCT source AS backup_id, 'WARN' AS severity, 'TYPE_UNKNOWN' AS code, source AS subject,
+  'odd' AS detail FROM documents
+UNION ALL SELECT source, 'WARN', unnest(['NO_SEGMENTS', 'NO_DOCUMENTS']), 'shard ' || (shard + 1), '' FROM empty
+UNION ALL SELECT source, 'WARN', 'SHARD_FILES_MISSING', 'shard ' || shard, '' FROM empty""")
+def _(t):
+    backups, segments = _backup_trees(t, "issues")
+    return convert_backups(backups, segments, 1717243200000, range_bytes=1 << 16).issues
+
+
 def _trip_batches(t, label: str):
     root = shared_path(scratch_dir(t.spark, label))
     trips = records.generate_trips(t.orders.select((F.col("o_orderkey") + 1).alias("id_number")))
