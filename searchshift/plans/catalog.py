@@ -45,5 +45,6 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> dict[str, Query]:
     from . import (detection_queries, document_queries, file_queries,  # noqa: F401
-                   mapping_queries, validation_queries, verification_queries)
+                   mapping_queries, streaming_queries, validation_queries,
+                   verification_queries)
     return QUERIES
