@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.status import health_ready
 from ..session import scratch_dir
@@ -35,18 +36,19 @@ def drain(updates: DataFrame, keys: list[str], label: str) -> DataFrame:
     every key. Updates go to a table in the shared scratch folder, as does the
     stream's own checkpoint, so a restart continues where it stopped."""
     spark = updates.sparkSession
+    columns = updates.columns
     table, progress = scratch_dir(spark, label), scratch_dir(spark, f"{label}-progress")
 
     def append(batch: DataFrame, batch_id: int) -> None:
         # one folder per batch: a batch that runs again replaces its own rows
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
+        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
             f"{table}/batch={batch_id}")
 
     query = (updates.writeStream.outputMode("update").foreachBatch(append)
              .option("checkpointLocation", progress).trigger(availableNow=True).start())
     query.awaitTermination()
-    rows = spark.read.schema(updates.schema.add("batch_id", "long")).option(
-        "recursiveFileLookup", "true").parquet(table)
-    values = [c for c in updates.columns if c not in keys]
+    schema = StructType([*updates.schema.fields, StructField("batch_id", LongType())])
+    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(table)
+    values = [c for c in columns if c not in keys]
     last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("v"))
     return last.select(*keys, "v.*")
