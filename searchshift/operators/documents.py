@@ -32,25 +32,28 @@ def _section(number: int, chunk: Column | int = 0) -> Column:
 
 def _collect(chunked: DataFrame, keys: list[str], bodies: list[str]) -> DataFrame:
     """Comma-joined bodies of each chunk in (place, name) order. Every chunk but the
-    first of its list starts with a comma."""
+    first of its list starts with a comma; ``is_first`` and ``is_last`` mark the ends."""
     # Repartitioned by chunk: the preceding join leaves all rows of a list together.
     lists = chunked.repartition(*keys, "chunk").groupBy(*keys, "chunk").agg(
         F.array_sort(F.collect_list(F.struct("place", "name", *bodies))).alias("_entries"),
-        F.max("first").alias("first"))
+        F.max("first").alias("first"), F.max("last").alias("last"))
     lead = F.when(F.col("chunk") == F.col("first"), F.lit("")).otherwise(F.lit(","))
-    return lists.select(*keys, "chunk", *[
-        F.concat(lead, F.array_join(f"_entries.{body}", ",")).alias(body) for body in bodies])
+    return lists.select(
+        *keys, "chunk", (F.col("chunk") == F.col("first")).alias("is_first"),
+        (F.col("chunk") == F.col("last")).alias("is_last"),
+        *[F.concat(lead, F.array_join(f"_entries.{body}", ",")).alias(body) for body in bodies])
 
 
 def list_parts(entries: DataFrame, keys: list[str], size: int,
                bodies: tuple[str, ...] = ("body",)) -> DataFrame:
-    """Lists of named entries cut into chunks: keys + (chunk, bodies).
+    """Lists of named entries cut into chunks: keys + (chunk, is_first, is_last, bodies).
 
     ``entries`` is keys + (place, name, bodies) with names unique in a list and
     ``place`` their ``text_hash``. Equal stretches of the hash space hold about
     ``size`` entries each.
     """
-    stats = entries.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("place").alias("_low"))
+    stats = entries.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("place").alias("_low"),
+                                         F.max("place").alias("_high"))
     chunks = F.ceil(F.col("_n") / size)
 
     def chunk_of(place: Column) -> Column:
@@ -58,14 +61,15 @@ def list_parts(entries: DataFrame, keys: list[str], size: int,
 
     chunked = entries.join(stats, keys).select(
         *keys, "place", "name", *bodies,
-        chunk_of(F.col("place")).alias("chunk"), chunk_of(F.col("_low")).alias("first"))
+        chunk_of(F.col("place")).alias("chunk"), chunk_of(F.col("_low")).alias("first"),
+        chunk_of(F.col("_high")).alias("last"))
     return _collect(chunked, keys, list(bodies))
 
 
 def numbered_parts(entries: DataFrame, keys: list[str], size: int) -> DataFrame:
     """Lists in the order of a dense number from 0, such as shard ids."""
     chunked = entries.withColumn("chunk", F.floor(F.col("place") / size)).withColumn(
-        "first", F.lit(0).cast("bigint"))
+        "first", F.lit(0).cast("bigint")).withColumn("last", F.lit(None).cast("bigint"))
     return _collect(chunked, keys, ["body"])
 
 

@@ -6,8 +6,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,15 +107,11 @@ def build_mapping(mapping: DataFrame, fields_per_part: int = 1000) -> DataFrame:
                      F.lit('"}'))
     entries = mapping.select("backup_id", text_hash(F.col("field")).alias("place"),
                              F.col("field").alias("name"), entry.alias("body"))
-    middle = list_parts(entries, ["backup_id"], fields_per_part).select(
-        "backup_id", (F.col("chunk") + 1).alias("part"), "body")
-    backups = mapping.groupBy("backup_id").agg(F.count("*").alias("n"))
-    opening = backups.select("backup_id", F.lit(0).cast("bigint").alias("part"),
-                             F.lit('{"_doc":{"properties":{').alias("body"))
-    closing = backups.select(
-        "backup_id", (F.ceil(F.col("n") / fields_per_part) + 1).cast("bigint").alias("part"),
-        F.lit("}}}").alias("body"))
-    return reduce(DataFrame.unionByName, [opening, middle, closing])
+    parts = list_parts(entries, ["backup_id"], fields_per_part)
+    opening = F.when(F.col("is_first"), F.lit('{"_doc":{"properties":{')).otherwise(F.lit(""))
+    closing = F.when(F.col("is_last"), F.lit("}}}")).otherwise(F.lit(""))
+    return parts.select("backup_id", F.col("chunk").alias("part"),
+                        F.concat(opening, F.col("body"), closing).alias("body"))
 
 
 def unknown_types(mapped: DataFrame) -> DataFrame:

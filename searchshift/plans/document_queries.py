@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions.values import format_bytes, stable_id, version_id
 from ..operators import compat, detect, documents, manifest, mapping
+from ..session import materialized
 from .catalog import query
 from .detection_queries import REFERENCED, with_files
 from .validation_queries import bytes_sql
@@ -59,9 +60,14 @@ def _rollup(t):
     return manifest.shard_rollup(t.fx_manifest, t.fx_segments)
 
 
-def _conversions(t):
+def _written_rollup(t):
+    """The roll-up, one small row per shard, written down for several readers."""
+    return materialized(_rollup(t), "rollup")
+
+
+def _conversions(rollup):
     """Conversions as the planning steps would hand them over."""
-    return _rollup(t).groupBy("backup_id").agg(F.count("*").alias("total_shards")).withColumn(
+    return rollup.groupBy("backup_id").agg(F.count("*").alias("total_shards")).withColumn(
         "index_name", F.concat(F.lit("idx_"), F.col("backup_id"))).withColumn(
         "replicas", F.substring("backup_id", 2, 20).cast("bigint") % 3)
 
@@ -132,7 +138,7 @@ WITH {ROLLUP} SELECT backup_id, shard_id, CAST(max_docs AS BIGINT) AS max_docs,
   CAST(bytes AS BIGINT) AS bytes, lucene_version, {bytes_sql('CAST(bytes AS BIGINT)')} AS size
 FROM rollup WHERE backup_id IN (SELECT backup_id FROM totals WHERE total_shards > 1)""")
 def _(t):
-    shards = _rollup(t)
+    shards = _written_rollup(t)
     return manifest.shard_breakdown(shards, manifest.conversion_rollup(shards))
 
 
@@ -183,14 +189,14 @@ WITH {ROLLUP} SELECT backup_id, 'snap-' || {SNAPSHOT} || '.dat' AS rel_path, 0::
   || '"total_shards":' || total_shards || ',"successful_shards":' || total_shards || ',"failures":[]}}}}' AS body
 FROM conversions""")
 def _(t):
-    return documents.snapshot_doc(_conversions(t), NOW)
+    return documents.snapshot_doc(_conversions(_rollup(t)), NOW)
 
 
 @query("global_doc", f"""
 WITH {ROLLUP} SELECT backup_id, 'meta-' || {SNAPSHOT} || '.dat' AS rel_path, 0::BIGINT AS part,
   '{{"meta-data":{{"version":1,"cluster_uuid":"' || {SNAPSHOT} || '"}}}}' AS body FROM conversions""")
 def _(t):
-    return documents.global_doc(_conversions(t))
+    return documents.global_doc(_conversions(_rollup(t)))
 
 
 @query("repo_index_doc", f"""
@@ -205,7 +211,8 @@ UNION ALL SELECT backup_id, 'index-0', {SECTION} + c, CASE WHEN c > 0 THEN ',' E
 UNION ALL SELECT backup_id, 'index-0', {2 * SECTION}, ']}}}},"index_metadata_identifiers":{{"' || {INDEX}
   || '-_na_-1-1-1":"' || {METADATA} || '"}}}}' FROM conversions""")
 def _(t):
-    return documents.repo_index_doc(_conversions(t), _rollup(t), SHARDS_PER_PART)
+    rollup = _written_rollup(t)
+    return documents.repo_index_doc(_conversions(rollup), rollup, SHARDS_PER_PART)
 
 
 @query("index_doc", f"""
@@ -222,10 +229,9 @@ parts AS (
   SELECT backup_id, 0 AS part, '{{"' || index_name || '":{{"settings":{{"index.number_of_shards":"' || total_shards
     || '","index.number_of_replicas":"' || replicas || '","index.version.created":"2110199","index.uuid":"'
     || {INDEX} || '"}},"mappings":[' AS body FROM conversions
-  UNION ALL SELECT DISTINCT backup_id, {SECTION}, '{{"_doc":{{"properties":{{' FROM placed
-  UNION ALL SELECT backup_id, {SECTION} + c + 1, CASE WHEN c > min(c) OVER (PARTITION BY backup_id) THEN ',' ELSE '' END
-    || body FROM fields
-  UNION ALL SELECT DISTINCT backup_id, {SECTION} + n + 1, '}}}}}}' FROM placed
+  UNION ALL SELECT backup_id, {SECTION} + c,
+    CASE WHEN c = min(c) OVER (PARTITION BY backup_id) THEN '{{"_doc":{{"properties":{{' ELSE ',' END || body
+    || CASE WHEN c = max(c) OVER (PARTITION BY backup_id) THEN '}}}}}}' ELSE '' END FROM fields
   UNION ALL SELECT backup_id, {2 * SECTION}, '],"primary_terms":{{' FROM conversions
   UNION ALL SELECT backup_id, {3 * SECTION} + c, CASE WHEN c > 0 THEN ',' ELSE '' END || terms FROM per_shard
   UNION ALL SELECT backup_id, {4 * SECTION}, '}},"in_sync_allocations":{{' FROM conversions
@@ -234,7 +240,8 @@ parts AS (
 SELECT backup_id, 'indices/' || {INDEX} || '/meta-' || {METADATA} || '.dat' AS rel_path, part, body FROM parts""")
 def _(t):
     parts = mapping.build_mapping(t.fx_supplier_fields)
-    return documents.index_doc(_conversions(t), _rollup(t), parts, SHARDS_PER_PART)
+    rollup = _written_rollup(t)
+    return documents.index_doc(_conversions(rollup), rollup, parts, SHARDS_PER_PART)
 
 
 _ENTRY = f"""'{{"name":"' || name || '","physical_name":"' || name || '","length":' || length
@@ -263,7 +270,7 @@ parts AS (
 SELECT backup_id, 'indices/' || {INDEX} || '/' || shard_id || '/snap-' || {SNAPSHOT} || '.dat' AS rel_path, part, body
 FROM parts""")
 def _(t):
-    return documents.shard_snapshot_doc(_chunks(t), _rollup(t), NOW)
+    return documents.shard_snapshot_doc(_chunks(t), _written_rollup(t), NOW)
 
 
 @query("shard_index_doc", f"""
@@ -277,7 +284,7 @@ parts AS (
 SELECT backup_id, 'indices/' || {INDEX} || '/' || shard_id || '/index-' || {GENERATION} AS rel_path, part, body
 FROM parts""")
 def _(t):
-    return documents.shard_index_doc(_chunks(t), _rollup(t))
+    return documents.shard_index_doc(_chunks(t), _written_rollup(t))
 
 
 # --- versions --------------------------------------------------------------------

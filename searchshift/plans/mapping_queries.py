@@ -91,10 +91,9 @@ chunks AS (
   SELECT backup_id, n, (h * CAST(ceil(n / 8) AS BIGINT)) >> 32 AS c,
     string_agg(CAST(to_json(field) AS VARCHAR) || ':{{"type":"' || target_type || '"}}', ',' ORDER BY h, field) AS body
   FROM placed GROUP BY 1, 2, 3)
-SELECT backup_id, c + 1 AS part, CASE WHEN c = min(c) OVER (PARTITION BY backup_id) THEN body
-    ELSE ',' || body END AS body FROM chunks
-UNION ALL SELECT DISTINCT backup_id, 0, '{{"_doc":{{"properties":{{' FROM placed
-UNION ALL SELECT DISTINCT backup_id, CAST(ceil(n / 8) AS BIGINT) + 1, '}}}}}}' FROM placed""")
+SELECT backup_id, c AS part,
+  CASE WHEN c = min(c) OVER (PARTITION BY backup_id) THEN '{{"_doc":{{"properties":{{' ELSE ',' END || body
+    || CASE WHEN c = max(c) OVER (PARTITION BY backup_id) THEN '}}}}}}' ELSE '' END AS body FROM chunks""")
 def _(t):
     return mapping.build_mapping(_final(t), fields_per_part=8)
 

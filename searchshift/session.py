@@ -54,8 +54,10 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch root."""
-    return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    """A new, unused path below the scratch root, in a folder named after the application
+    so that what a finished application left can be told apart."""
+    application = spark.sparkContext.applicationId
+    return f"{scratch_root(spark).rstrip('/')}/{application}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def shared_path(path: str) -> str:
