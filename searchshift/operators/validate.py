@@ -82,10 +82,20 @@ def segment_health(shards: DataFrame, segments: DataFrame) -> DataFrame:
     )
 
 
-def input_bytes(shard_files: DataFrame) -> DataFrame:
-    """Bytes of each backup's planned shards; an unknown size counts as 0."""
-    return shard_files.groupBy("backup_id").agg(
-        F.sum(F.coalesce("length", F.lit(0))).alias("input_bytes"))
+def input_bytes(inventory: DataFrame, shards: DataFrame) -> DataFrame:
+    """Bytes below each backup's planned shard directories; an unknown size counts as 0.
+
+    Shard directories lie directly in the root, or are the root itself, which takes in
+    everything. Files are summed by top-level directory before they meet the plan."""
+    tops = inventory.filter(~F.col("is_dir")).groupBy(
+        "backup_id", F.split_part("rel_dir", F.lit("/"), F.lit(1)).alias("dir")
+    ).agg(F.sum(F.coalesce("length", F.lit(0))).alias("bytes"))
+    inside = tops.filter(F.col("dir") != "").join(
+        shards.filter(F.col("dir") != "").select("backup_id", "dir"), ["backup_id", "dir"],
+        "left_semi")
+    whole = tops.join(shards.filter(F.col("dir") == "").select("backup_id"), "backup_id",
+                      "left_semi")
+    return inside.unionByName(whole).groupBy("backup_id").agg(F.sum("bytes").alias("input_bytes"))
 
 
 def disk_space(sizes: DataFrame, volumes: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.values import join_path, stable_id
+from ..functions.values import join_path, stable_id, version_order, version_text
 from ..operators import detect, documents, manifest, mapping, validate
 from ..operators.issues import issue_rows, union_issues
 from ..session import materialized
@@ -41,19 +41,16 @@ def _texts(inventory: DataFrame, roots: DataFrame, candidates: tuple[str, ...])
         "backup_id", "rank", F.concat_ws("/", "root", "rel_path").alias("path")))
 
 
-def _mapping_parts(inventory: DataFrame, roots: DataFrame, accepted: DataFrame):
-    """Mapping document parts of the accepted backups, and what the schemas raise."""
-    texts = _texts(inventory, roots, rules.SCHEMA_CANDIDATES)
-    first = texts.select("backup_id", F.struct("rank", "content").alias("s")).groupBy(
-        "backup_id").agg(F.min("s").alias("s")).select("backup_id", "s.content")
-    declarations = materialized(
-        schema_source.schema_declarations(first.join(accepted, "backup_id", "left_semi")),
-        "schemas")
+def _mapping_parts(plan: DataFrame, roots: DataFrame):
+    """Mapping document parts of the planned backups, and what their schemas raise."""
+    paths = plan.filter(F.col("schema_path").isNotNull()).join(roots, "backup_id").select(
+        "backup_id", F.concat_ws("/", "root", "schema_path").alias("path"))
+    declarations = materialized(schema_source.schema_declarations(read_texts(paths)), "schemas")
     mapped = mapping.map_field_types(
         mapping.visible_fields(schema_source.schema_fields(declarations)),
         schema_source.schema_types(declarations))
     broken = declarations.filter(F.col("kind") == "error")
-    without = accepted.join(declarations, "backup_id", "left_anti")
+    without = plan.filter(F.col("schema_path").isNull())
     issues = union_issues(
         issue_rows(broken, "SCHEMA_UNREADABLE", F.lit(""), F.col("value")),
         issue_rows(without, "SCHEMA_MISSING", F.lit(""), F.lit("")),
@@ -61,6 +58,20 @@ def _mapping_parts(inventory: DataFrame, roots: DataFrame, accepted: DataFrame):
     return mapping.build_mapping(mapping.final_mapping(mapped)), issues
 
 
+def _referenced(segments: DataFrame, inventory: DataFrame, shards: DataFrame) -> DataFrame:
+    """Files of each shard that its commit refers to, the commit file among them:
+    (backup_id, shard_id, name, written_by)."""
+    keys = ["backup_id", "shard_id"]
+    versions = segments.groupBy(*keys).agg(
+        F.max(version_order(F.col("lucene_version"))).alias("v")).select(
+        *keys, version_text(F.col("v")).alias("written_by"))
+    commits = detect.latest_commit(inventory).join(shards, ["backup_id", "dir"]).join(
+        versions, keys).select(*keys, F.col("commit_file").alias("name"), "written_by")
+    listed = segments.select(*keys, F.explode("files").alias("name"),
+                             F.col("lucene_version").alias("written_by"))
+    return listed.unionByName(commits).dropDuplicates([*keys, "name"])
+
+
 def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
                     range_bytes: int = RANGE_BYTES) -> Conversion:
     """Convert ``backups`` (backup_id, input_dir, output_dir, index_name, replicas).
@@ -95,17 +106,13 @@ def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
         absent, detect.detection_issues(formats), detect.unmatched_shard_dirs(inventory),
         validate.input_present(plan, shards, inventory), validate.output_state(outputs),
         validate.segment_health(shards, segments),
-        validate.disk_space(validate.input_bytes(shard_entries), outputs), missing), "issues")
-    accepted = validate.validation_gate(plan.select("backup_id"), before)
-    mapping_parts, schema_issues = _mapping_parts(inventory, roots, accepted)
+        validate.disk_space(validate.input_bytes(inventory, shards), outputs), missing), "issues")
+    accepted = validate.validation_gate(plan, before)
+    mapping_parts, schema_issues = _mapping_parts(accepted, roots)
 
     # copy the live files and describe them
-    targets = plan.join(accepted, "backup_id", "left_semi").select(
-        "backup_id", "output_dir").join(roots, "backup_id")
-    referenced = segments.select(
-        "backup_id", "shard_id", F.explode("files").alias("name"),
-        F.col("lucene_version").alias("written_by")
-    ).dropDuplicates(["backup_id", "shard_id", "name"])
+    targets = accepted.select("backup_id", "output_dir").join(roots, "backup_id")
+    referenced = _referenced(segments, inventory, shards)
     live = shard_entries.join(referenced, ["backup_id", "shard_id", "name"]).join(
         targets, "backup_id").select(
         "backup_id", "shard_id", "name", "length", "written_by",
@@ -113,17 +120,21 @@ def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
         F.concat_ws("/", "output_dir", F.lit("indices"), stable_id("index", F.col("backup_id")),
                     F.col("shard_id").cast("string"), "name").alias("target"))
     live = materialized(live, "live")
-    copied = materialized(copy_files(live, range_bytes).filter("ok"), "copied")
-    footers = materialized(manifest.footer_checksum(read_tails(
-        live.join(copied.select("path", "target"), ["path", "target"], "left_semi"))), "footers")
-    during = materialized(union_issues(schema_issues, manifest.footer_issues(footers)), "issues")
+    copied = materialized(copy_files(live, range_bytes), "copied")
+    uncopied = live.join(copied.filter(~F.col("ok")), ["path", "target"], "left_semi")
+    footers = materialized(manifest.footer_checksum(read_tails(live)), "footers")
+    during = materialized(union_issues(
+        schema_issues, manifest.footer_issues(footers),
+        issue_rows(uncopied, "COPY_FAILED",
+                   F.concat(F.lit("shard "), F.col("shard_id").cast("string")), F.col("name"))),
+        "issues")
     described = manifest.with_meta_hash(
         validate.validation_gate(footers, during)).select(
         "backup_id", "shard_id", "name", "length", "checksum", "written_by", "meta_hash")
     described = materialized(described, "manifest")
 
     # roll up and write the metadata
-    going = validate.validation_gate(accepted, during)
+    going = validate.validation_gate(accepted, during).select("backup_id")
     rollup = shards.join(going, "backup_id", "left_semi").select("backup_id", "shard_id").join(
         manifest.shard_rollup(described, segments.join(going, "backup_id", "left_semi")),
         ["backup_id", "shard_id"])

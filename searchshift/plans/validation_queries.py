@@ -61,7 +61,9 @@ DISK = f"""
 disk_issues AS (
   SELECT backup_id, 'WARN' AS severity, 'LOW_DISK_SPACE' AS code, '' AS subject,
     'need ' || {bytes_sql('required')} || ', have ' || {bytes_sql('usable')} AS detail
-  FROM (SELECT backup_id, CAST(floor(sum(bytes) * 1.1::DOUBLE) AS BIGINT) AS required FROM fx_lines GROUP BY 1) i
+  FROM (SELECT t.backup_id, CAST(floor(sum(t.length) * 1.1::DOUBLE) AS BIGINT) AS required
+        FROM fx_tree t JOIN fx_planned p ON p.backup_id = t.backup_id AND p.dir = t.rel_dir
+        WHERE NOT t.is_dir GROUP BY 1) i
   JOIN fx_volumes USING (backup_id) WHERE usable < required)"""
 
 REPO = """
@@ -131,8 +133,8 @@ def _input(t, tree=None):
                                   tree or t.fx_tree)
 
 
-def _disk(t):
-    sizes = validate.input_bytes(t.fx_lines.withColumnRenamed("bytes", "length"))
+def _disk(t, tree=None):
+    sizes = validate.input_bytes(tree or t.fx_tree, t.fx_planned)
     return validate.disk_space(sizes, t.fx_volumes)
 
 
@@ -142,7 +144,7 @@ def _all(t):
     expected = t.fx_out_shards
     return union_issues(
         _input(t, tree), validate.output_state(t.fx_volumes),
-        validate.segment_health(t.fx_shards, t.fx_segments), _disk(t),
+        validate.segment_health(t.fx_shards, t.fx_segments), _disk(t, tree),
         validate.repo_files(out), validate.index_latest_size(out),
         validate.index_dirs(out, expected), validate.shard_files(out, expected))
 

@@ -151,6 +151,7 @@ ISSUES = (
     ("COMMIT_UNREADABLE", "ERROR"),
     ("LOW_DISK_SPACE", "WARN"),
     ("FILE_MISSING", "WARN"),
+    ("COPY_FAILED", "ERROR"),
     ("FOOTER_INVALID", "ERROR"),
     ("SCHEMA_UNREADABLE", "ERROR"),
     ("SCHEMA_MISSING", "WARN"),

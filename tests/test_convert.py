@@ -23,7 +23,8 @@ def make(root):
         for name in names:
             if name not in absent:
                 index_file(f"{root}/{backup}/{folder}/{name}", f"{backup}/{number}/{name}".encode() * 50)
-        write(f"{root}/{backup}/{folder}/segments_2", "commit")
+        index_file(f"{root}/{backup}/{folder}/segments_2", b"commit")
+        index_file(f"{root}/{backup}/{folder}/segments_1", b"older commit")
         write(f"{root}/{backup}/{folder}/_stale.fdt", "not referenced")
         segments.append((backup, number, "_0", 10 * (number + 1), version, list(names)))
 
@@ -56,7 +57,7 @@ def test_backups_of_every_fate(spark, tmp_path, rows):
     assert set(results) == {"cloud", "single"}
     cloud, single = results["cloud"], results["single"]
     assert (cloud["total_shards"], cloud["total_docs"], cloud["total_files"], cloud["replicas"],
-            cloud["metadata_files"], cloud["complete"]) == (2, 30, 4, 1, 9, False)
+            cloud["metadata_files"], cloud["complete"]) == (2, 30, 6, 1, 9, False)
     assert (single["format"], single["replicas"], single["replica_source"], single["complete"]) == (
         "STANDALONE", 4, "explicit", True)
     errors = {(b, c) for b, s, c in rows(done.issues, "backup_id", "severity", "code") if s == "ERROR"}
@@ -80,7 +81,7 @@ def test_backups_of_every_fate(spark, tmp_path, rows):
         doc = json.load(f)["idx_cloud"]
     assert doc["mappings"] == [{"_doc": {"properties": {"id": {"type": "keyword"}, "text": {"type": "text"}}}}]
     assert doc["settings"]["index.number_of_replicas"] == "1"
-    for shard, expected in (("0", {"_0.fdt", "_0.si"}), ("1", {"_0.fdt", "_0.si"})):
+    for shard, expected in (("0", {"_0.fdt", "_0.si", "segments_2"}), ("1", {"_0.fdt", "_0.si", "segments_2"})):
         there = set(os.listdir(f"{index}/{shard}"))
         data = {n for n in there if not n.startswith(("snap-", "index-"))}
         assert data == expected and len(there) == len(data) + 2

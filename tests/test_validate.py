@@ -99,6 +99,16 @@ def test_segment_health(spark, commits, codes):
     assert all(r["subject"] == "shard 1" for r in found)
 
 
+def test_input_bytes(spark, rows):
+    tree = inventory(spark, {"cloud": [shard(1), "snapshot.shard1/_0.cfs", "snapshot.shard1/deep/x", shard(2), "conf/a"],
+                             "index": ["index/segments_1", "index/_0.cfs", "conf/a"],
+                             "root": ["segments_1", "_0.cfs", "conf/a", "conf/b/c"]})
+    shards = spark.createDataFrame([("cloud", 0, "snapshot.shard1"), ("cloud", 1, "snapshot.shard2"),
+                                    ("index", 0, "index"), ("root", 0, "")],
+                                   "backup_id string, shard_id bigint, dir string")
+    assert rows(validate.input_bytes(tree, shards)) == [("cloud", 4), ("index", 2), ("root", 4)]
+
+
 def test_disk_space(spark, rows):
     sizes = spark.createDataFrame([("a", 1000), ("b", 1000), ("c", 10 << 30)],
                                   "backup_id string, input_bytes bigint")
