@@ -264,15 +264,13 @@ def conversion_plan(formats: DataFrame, schema_paths: DataFrame, factors: DataFr
 
 def plan_shards(formats: DataFrame, shards: DataFrame, standalone: DataFrame) -> DataFrame:
     """Shards of the accepted backups: (backup_id, shard_id, dir)."""
-    cloud = formats.filter(F.col("format") == rules.CLOUD_FULL).select("backup_id")
-    single = formats.filter(F.col("format") == rules.STANDALONE).select("backup_id")
-    return (
-        shards.select("backup_id", "shard_id", "dir").join(cloud, "backup_id", "left_semi")
-        .unionByName(
-            standalone.join(single, "backup_id", "left_semi")
-            .select("backup_id", F.lit(0).cast("bigint").alias("shard_id"),
-                    F.col("index_dir").alias("dir")))
-    )
+    candidates = shards.select(
+        "backup_id", "shard_id", "dir", F.lit(rules.CLOUD_FULL).alias("format")
+    ).unionByName(standalone.select(
+        "backup_id", F.lit(0).cast("bigint").alias("shard_id"), F.col("index_dir").alias("dir"),
+        F.lit(rules.STANDALONE).alias("format")))
+    accepted = formats.filter(F.col("format").isNotNull()).select("backup_id", "format")
+    return candidates.join(accepted, ["backup_id", "format"], "left_semi").drop("format")
 
 
 def latest_commit(inventory: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialized
 
-BLOCK = 1024
+BLOCK_BITS = 10
 
 
 def number_rows(df: DataFrame, order_cols: list[str], name: str = "row_index") -> DataFrame:
@@ -43,7 +43,7 @@ def running_total(df: DataFrame, keys: list[str], order: str, value: str, before
     over a group holds one row per block and the window over rows is bounded by the
     block.
     """
-    rows = df.withColumn("_block", F.floor(F.col(order) / BLOCK))
+    rows = df.withColumn("_block", F.shiftright(order, BLOCK_BITS))
     sums = rows.groupBy(*keys, "_block").agg(F.sum(value).alias("_sum"))
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

@@ -160,7 +160,7 @@ def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
 
     # check the output
     produced = materialized(scan_files(
-        totals.select("backup_id", F.col("output_dir").alias("root")), levels=3), "produced")
+        totals.select("backup_id", F.col("output_dir").alias("root")), levels=4), "produced")
     after = union_issues(
         validate.repo_files(produced), validate.index_latest_size(produced),
         validate.index_dirs(produced, rollup), validate.shard_files(produced, rollup))

@@ -36,7 +36,7 @@ def _write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             finally:
                 os.close(out)
             rows.append((r.root, r.rel_path, len(body)))
-        yield pd.DataFrame(rows, columns=[p.split()[0] for p in WRITTEN.split(", ")])
+        yield pd.DataFrame(rows, columns=["root", "rel_path", "bytes"])
 
 
 def write_repository(parts: DataFrame) -> DataFrame:
@@ -48,29 +48,41 @@ def write_repository(parts: DataFrame) -> DataFrame:
     that runs again repeats the same write.
     """
     keys = ["root", "rel_path"]
+    tasks = task_count(parts.sparkSession)
     sized = parts.withColumn("body", F.col("body").cast("binary"))
     sized = materialized(sized.withColumn("bytes", F.octet_length("body").cast("bigint")), "parts")
     places = running_total(sized.select(*keys, "part", "bytes"), keys, "part", "bytes",
                            before="offset", total="total")
-    placed = sized.select(*keys, "part", "body").join(
-        places.select(*keys, "part", "offset", "total"), [*keys, "part"])
-    written = placed.select(*keys, "body", "offset", "total").repartition(
-        task_count(parts.sparkSession), *keys, "offset").mapInPandas(_write, WRITTEN)
+    # both sides laid out for the join in the partitions that write: one move of the bodies
+    bodies = sized.select(*keys, "part", "body").repartition(tasks, *keys, "part")
+    offsets = places.select(*keys, "part", "offset", "total").repartition(tasks, *keys, "part")
+    written = bodies.join(offsets.hint("shuffle_hash"), [*keys, "part"]).select(
+        *keys, "body", "offset", "total").mapInPandas(_write, WRITTEN)
     return written.groupBy(*keys).agg(F.sum("bytes").alias("length"), F.count("*").alias("parts"))
 
 
+def write_files(files: DataFrame) -> DataFrame:
+    """Write whole files (root, rel_path, body), one row each, and return the same as
+    ``write_repository``."""
+    body = F.col("body").cast("binary")
+    written = files.select(
+        "root", "rel_path", body.alias("body"), F.lit(0).cast("bigint").alias("offset"),
+        F.octet_length(body).cast("bigint").alias("total")).mapInPandas(_write, WRITTEN)
+    return written.select("root", "rel_path", F.col("bytes").alias("length"),
+                          F.lit(1).cast("bigint").alias("parts"))
+
+
 def batch_documents(batches: DataFrame) -> DataFrame:
-    """One JSON array per batch of at most the batch size: (rel_path, part, body)."""
+    """One JSON array per batch of at most the batch size: (rel_path, body)."""
     columns = [c for c in batches.columns if c not in ("batch", "row_index")]
     record = F.to_json(F.struct(*columns))
     return batches.select("batch", "row_index", record.alias("record")).groupBy("batch").agg(
         F.concat(F.lit("["), F.array_join(F.transform(
             F.array_sort(F.collect_list(F.struct("row_index", "record"))),
             lambda r: r["record"]), ","), F.lit("]")).alias("body")
-    ).select(F.format_string("batch_%d.json", "batch").alias("rel_path"),
-             F.lit(0).cast("bigint").alias("part"), "body")
+    ).select(F.format_string("batch_%d.json", "batch").alias("rel_path"), "body")
 
 
 def write_batches(batches: DataFrame, root: str) -> DataFrame:
     """One JSON file per batch below ``root``."""
-    return write_repository(batch_documents(batches).withColumn("root", F.lit(root)))
+    return write_files(batch_documents(batches).withColumn("root", F.lit(root)))

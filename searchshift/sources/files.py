@@ -18,32 +18,40 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..session import task_count
 
-ENTRY = "backup_id string, root string, rel_dir string, name string, is_dir boolean, " \
-        "length bigint, readable boolean, pending boolean"
+ENTRY = ("backup_id string, root string, rel_dir string, name string, is_dir boolean, "
+         "length bigint, readable boolean, seen boolean")
 BATCH = 10_000
 
 
-def _entry(backup_id, root, rel_dir, name, pending):
+def _columns(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
+
+
+def _unseen(backup_id, root, rel_dir, name) -> tuple:
+    """A name found in a listing that nobody has looked at yet."""
+    return backup_id, root, rel_dir, name, False, 0, False, False
+
+
+def _look(backup_id, root, rel_dir, name) -> tuple:
     path = os.path.join(root, rel_dir, name)
     try:
-        mode = os.stat(path)
+        status = os.stat(path)
     except OSError:
-        return backup_id, root, rel_dir, name, False, 0, False, False
-    is_dir = stat.S_ISDIR(mode.st_mode)
-    return (backup_id, root, rel_dir, name, is_dir, 0 if is_dir else mode.st_size,
-            os.access(path, os.R_OK), bool(is_dir and pending))
+        return backup_id, root, rel_dir, name, False, 0, False, True
+    is_dir = stat.S_ISDIR(status.st_mode)
+    return (backup_id, root, rel_dir, name, is_dir, 0 if is_dir else status.st_size,
+            os.access(path, os.R_OK), True)
 
 
 def _in_batches(rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
-    names = [part.split()[0] for part in ENTRY.split(", ")]
     held = []
     for row in rows:
         held.append(row)
         if len(held) >= BATCH:
-            yield pd.DataFrame(held, columns=names)
+            yield pd.DataFrame(held, columns=_columns(ENTRY))
             held = []
     if held:
-        yield pd.DataFrame(held, columns=names)
+        yield pd.DataFrame(held, columns=_columns(ENTRY))
 
 
 def _children(folder: str) -> Iterator[str]:
@@ -55,59 +63,50 @@ def _children(folder: str) -> Iterator[str]:
         return
 
 
-def _walk(backup_id, root, rel_dir, name) -> Iterator[tuple]:
-    below = os.path.join(rel_dir, name) if rel_dir else name
+def _expand(root, entry: tuple, deep: bool) -> Iterator[tuple]:
+    """An entry that was just looked at, and what is in it if it is a folder."""
+    yield entry
+    if not entry[4]:
+        return
+    below = os.path.join(entry[2], entry[3]) if entry[2] else entry[3]
     for child in _children(os.path.join(root, below)):
-        row = _entry(backup_id, root, below, child, False)
-        yield row
-        if row[4]:
-            yield from _walk(backup_id, root, below, child)
-
+        if deep:
+            yield from _expand(root, _look(entry[0], root, below, child), True)
+        else:
+            yield _unseen(entry[0], root, below, child)
 
-def _expand(deep: bool):
-    """A stage that lists pending folders: one level, or everything below."""
 
-    def stage(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _stage(deep: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows():
             for batch in batches:
                 for r in batch.itertuples(index=False):
-                    if not r.pending:
+                    if r.seen:
                         yield tuple(r)
-                        continue
-                    yield (*tuple(r)[:-1], False)
-                    if deep:
-                        yield from _walk(r.backup_id, r.root, r.rel_dir, r.name)
-                        continue
-                    below = os.path.join(r.rel_dir, r.name) if r.rel_dir else r.name
-                    for child in _children(os.path.join(r.root, below)):
-                        yield _entry(r.backup_id, r.root, below, child, True)
+                    elif r.rel_dir or r.name or os.path.lexists(r.root):
+                        yield from _expand(r.root, _look(*r[:4]), deep)
         yield from _in_batches(rows())
 
-    return stage
-
-
-def _start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def rows():
-        for batch in batches:
-            for r in batch.itertuples(index=False):
-                if os.path.lexists(r.root):
-                    yield _entry(r.backup_id, r.root, "", "", True)
-    yield from _in_batches(rows())
+    return run
 
 
 def scan_files(roots: DataFrame, levels: int = 2) -> DataFrame:
     """Inventory of the folders in ``roots`` (backup_id, root).
 
-    The first ``levels`` levels are listed with a shuffle in between, so that the
-    sub-folders of one large backup are spread over the cluster; each folder below is
-    walked by the task that owns it. A root that does not exist gives no row.
+    The first ``levels`` levels are listed with a shuffle after each: a listing yields
+    names only, and the look at each file, which is what takes time, is spread over the
+    cluster, also for one very large folder. Folders below are walked by the task that
+    owns them. A root that does not exist gives no row.
     """
     tasks = task_count(roots.sparkSession)
-    found = roots.select("backup_id", "root").repartition(tasks, "root").mapInPandas(_start, ENTRY)
+    found = roots.select(
+        "backup_id", "root", F.lit("").alias("rel_dir"), F.lit("").alias("name"),
+        F.lit(False).alias("is_dir"), F.lit(0).cast("bigint").alias("length"),
+        F.lit(False).alias("readable"), F.lit(False).alias("seen"))
     for level in range(levels + 1):
         found = found.repartition(tasks, "root", "rel_dir", "name").mapInPandas(
-            _expand(deep=level == levels), ENTRY)
-    return found.drop("pending")
+            _stage(deep=level == levels), ENTRY)
+    return found.drop("seen")
 
 
 OUTPUT = "backup_id string, output_dir string, writable boolean, entries bigint, usable bigint"
@@ -124,7 +123,7 @@ def _probe_outputs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             entries = sum(1 for _ in _children(r.output_dir)) if os.path.isdir(r.output_dir) else None
             rows.append((r.backup_id, r.output_dir, os.access(existing, os.W_OK), entries,
                          space.f_bavail * space.f_frsize))
-        out = pd.DataFrame(rows, columns=[p.split()[0] for p in OUTPUT.split(", ")])
+        out = pd.DataFrame(rows, columns=_columns(OUTPUT))
         out["entries"] = out["entries"].astype("Int64")
         yield out
 
