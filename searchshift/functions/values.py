@@ -106,3 +106,8 @@ def json_text(text: Column) -> Column:
     """Text as a quoted JSON string."""
     whole = F.to_json(F.struct(text.alias("k")))
     return F.substring(whole, F.lit(6), F.length(whole) - 6)
+
+
+def utc_wall_clock(instant: Column) -> Column:
+    """UTC date and time of an instant, whatever the session's time zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))

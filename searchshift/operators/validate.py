@@ -168,7 +168,7 @@ def _inside_index(outputs: DataFrame) -> DataFrame:
     """Entries below any index directory, with their folder inside it."""
     return outputs.filter(F.col("rel_dir").startswith("indices/")).withColumn(
         "index_dir", F.split_part("rel_dir", F.lit("/"), F.lit(2))).withColumn(
-        "inside", F.regexp_replace("rel_dir", r"^indices/[^/]*/?", ""))
+        "inside", F.expr("substring(rel_dir, length('indices//') + length(index_dir) + 1)"))
 
 
 def index_dirs(outputs: DataFrame, shards: DataFrame) -> DataFrame:

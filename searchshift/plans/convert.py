@@ -62,14 +62,13 @@ def _referenced(segments: DataFrame, inventory: DataFrame, shards: DataFrame) ->
     """Files of each shard that its commit refers to, the commit file among them:
     (backup_id, shard_id, name, written_by)."""
     keys = ["backup_id", "shard_id"]
-    versions = segments.groupBy(*keys).agg(
-        F.max(version_order(F.col("lucene_version"))).alias("v")).select(
-        *keys, version_text(F.col("v")).alias("written_by"))
+    version = version_order(F.col("lucene_version"))
+    versions = segments.groupBy(*keys).agg(F.max(version).alias("version"))
     commits = detect.latest_commit(inventory).join(shards, ["backup_id", "dir"]).join(
-        versions, keys).select(*keys, F.col("commit_file").alias("name"), "written_by")
-    listed = segments.select(*keys, F.explode("files").alias("name"),
-                             F.col("lucene_version").alias("written_by"))
-    return listed.unionByName(commits).dropDuplicates([*keys, "name"])
+        versions, keys).select(*keys, F.col("commit_file").alias("name"), "version")
+    listed = segments.select(*keys, F.explode("files").alias("name"), version.alias("version"))
+    return listed.unionByName(commits).groupBy(*keys, "name").agg(
+        version_text(F.max("version")).alias("written_by"))
 
 
 def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.values import stored_checksum
+from ..functions.values import stored_checksum, utc_wall_clock
 from ..operators import manifest
 from ..operators.numbering import number_rows
 from ..session import materialized, scratch_dir, shared_path
@@ -193,4 +193,4 @@ def _(t):
     return loaded.select(
         "id", "vendor_id", "passenger_count", "trip_distance", "fare_amount", "total_amount",
         "trip_description",
-        F.to_timestamp_ntz(F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss")).alias("pickup"))
+        utc_wall_clock(F.col("pickup_datetime")).alias("pickup"))

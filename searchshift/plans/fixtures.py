@@ -186,28 +186,23 @@ FIXTURES = {
     "fx_out_entries": """
         SELECT c_custkey, EACH(0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16) AS k
         FROM customer""",
-    "fx_out_paths": """
-        SELECT c_custkey, k, CASE k WHEN 0 THEN 'index-0' WHEN 1 THEN 'index.latest'
-            WHEN 2 THEN 'snap-x.dat' WHEN 3 THEN 'meta-x.dat' WHEN 4 THEN 'indices'
-            WHEN 5 THEN 'indices/ix' WHEN 6 THEN 'indices/ix/meta-m.dat' WHEN 7 THEN 'indices/ix/0'
-            WHEN 8 THEN 'indices/ix/0/snap-s.dat' WHEN 9 THEN 'indices/ix/0/index-g'
-            WHEN 10 THEN 'indices/ix/0/segments_2' WHEN 11 THEN 'indices/ix/1'
-            WHEN 12 THEN 'indices/ix/1/snap-s.dat' WHEN 13 THEN 'indices/ix/1/index-g'
-            WHEN 14 THEN 'indices/ix/1/_0.fdt' WHEN 15 THEN 'indices/iy'
-            ELSE 'indices/iy/meta-m.dat' END AS path,
-          c_custkey % 34 AS gone
-        FROM fx_out_entries WHERE k < 15 OR c_custkey % 19 = 3""",
     "fx_out": """
         SELECT 'c' || CAST(c_custkey AS STRING) AS backup_id,
-          regexp_replace(path, '/?[^/]*$', '') AS rel_dir,
-          regexp_extract(path, '[^/]*$', 0) AS name,
+          CASE WHEN k < 5 THEN '' WHEN k IN (5, 15) THEN 'indices' WHEN k IN (6, 7, 11) THEN 'indices/ix'
+            WHEN k < 11 THEN 'indices/ix/0' WHEN k < 15 THEN 'indices/ix/1' ELSE 'indices/iy' END AS rel_dir,
+          CASE k WHEN 0 THEN 'index-0' WHEN 1 THEN 'index.latest' WHEN 2 THEN 'snap-x.dat'
+            WHEN 3 THEN 'meta-x.dat' WHEN 4 THEN 'indices' WHEN 5 THEN 'ix' WHEN 6 THEN 'meta-m.dat'
+            WHEN 7 THEN '0' WHEN 8 THEN 'snap-s.dat' WHEN 9 THEN 'index-g' WHEN 10 THEN 'segments_2'
+            WHEN 11 THEN '1' WHEN 12 THEN 'snap-s.dat' WHEN 13 THEN 'index-g' WHEN 14 THEN '_0.fdt'
+            WHEN 15 THEN 'iy' ELSE 'meta-m.dat' END AS name,
           k IN (4, 5, 7, 11, 15) AS is_dir,
           CAST(CASE WHEN k IN (4, 5, 7, 11, 15) THEN 0
             WHEN k = 1 AND c_custkey % 7 <> 3 THEN 8 ELSE 100 + k END AS BIGINT) AS length,
           true AS readable
-        FROM fx_out_paths
-        WHERE NOT (gone = k OR (gone = 4 AND k > 4) OR (gone = 5 AND k BETWEEN 6 AND 14)
-          OR (gone = 7 AND k BETWEEN 8 AND 10) OR (gone = 11 AND k BETWEEN 12 AND 14))""",
+        FROM fx_out_entries
+        WHERE (k < 15 OR c_custkey % 19 = 3) AND NOT (c_custkey % 34 = k OR (c_custkey % 34 = 4 AND k > 4)
+          OR (c_custkey % 34 = 5 AND k BETWEEN 6 AND 14) OR (c_custkey % 34 = 7 AND k BETWEEN 8 AND 10)
+          OR (c_custkey % 34 = 11 AND k BETWEEN 12 AND 14))""",
     "fx_out_shards": """
         SELECT 'c' || CAST(c_custkey AS STRING) AS backup_id, CAST(k AS BIGINT) AS shard_id
         FROM (SELECT c_custkey, EACH(0, 1, 2) AS k FROM customer) s

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import rules
+from ..functions.values import utc_wall_clock
 from ..operators import mapping, reconcile
 from ..sources import schema
 from .catalog import query
@@ -148,7 +149,7 @@ def _(t):
         "id": "long", "state": "keyword", "total": "double", "customer": "integer",
         "placed": "date", "even": "boolean", "place": "geo_point", "raw": "binary"})
     return loaded.select("id", "state", "total", "customer",
-                         F.to_timestamp_ntz(F.date_format("placed", "yyyy-MM-dd HH:mm:ss")).alias("placed"),
+                         utc_wall_clock(F.col("placed")).alias("placed"),
                          "even", F.col("place.lat").alias("lat"),
                          F.col("raw").cast("string").alias("raw"))
 

@@ -83,5 +83,8 @@ def task_count(spark: SparkSession) -> int:
     """Tasks for work that costs time per row rather than per byte, such as listing
     folders or copying file ranges. Given as a number so that adaptive execution
     does not merge the few small rows into one task."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-               2 * spark.sparkContext.defaultParallelism)
+    by_cores = 2 * spark.sparkContext.defaultParallelism
+    if _is_local(spark):
+        return by_cores
+    # a cluster may still be growing when the job is planned
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), by_cores)
