@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions.values import commit_generation, commit_name, join_path
 from .issues import issue_rows
+from .joins import join_parents
 
 
 def _is_root() -> Column:
@@ -270,7 +271,8 @@ def plan_shards(formats: DataFrame, shards: DataFrame, standalone: DataFrame) ->
         "backup_id", F.lit(0).cast("bigint").alias("shard_id"), F.col("index_dir").alias("dir"),
         F.lit(rules.STANDALONE).alias("format")))
     accepted = formats.filter(F.col("format").isNotNull()).select("backup_id", "format")
-    return candidates.join(accepted, ["backup_id", "format"], "left_semi").drop("format")
+    return join_parents(candidates, accepted, ["backup_id", "format"], spread=["shard_id"],
+                        how="left_semi").drop("format")
 
 
 def latest_commit(inventory: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.values import json_text, stable_id
+from .joins import join_parents
 
 HASH_BITS = 32
 SECTION = 2 ** 40
@@ -59,7 +60,7 @@ def list_parts(entries: DataFrame, keys: list[str], size: int,
     def chunk_of(place: Column) -> Column:
         return F.shiftright(place * chunks, HASH_BITS)
 
-    chunked = entries.join(stats, keys).select(
+    chunked = join_parents(entries, stats, keys, spread=["place"]).select(
         *keys, "place", "name", *bodies,
         chunk_of(F.col("place")).alias("chunk"), chunk_of(F.col("_low")).alias("first"),
         chunk_of(F.col("_high")).alias("last"))

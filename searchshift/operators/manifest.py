@@ -14,6 +14,7 @@ from .. import rules
 from ..functions.values import (checksum_value, format_bytes, meta_hash, stable_id,
                                 stored_checksum, version_order, version_text)
 from .issues import issue_rows
+from .joins import join_parents
 
 SHARD = ["backup_id", "shard_id"]
 
@@ -86,7 +87,8 @@ def conversion_rollup(shards: DataFrame, skipped: DataFrame | None = None) -> Da
 def shard_breakdown(shards: DataFrame, totals: DataFrame) -> DataFrame:
     """Per-shard lines of the backups that have more than one shard."""
     several = totals.filter(F.col("total_shards") > 1).select("backup_id")
-    return shards.join(several, "backup_id", "left_semi").withColumn(
+    return join_parents(shards, several, ["backup_id"], spread=["shard_id"],
+                        how="left_semi").withColumn(
         "size", format_bytes(F.col("bytes")))
 
 

@@ -13,6 +13,7 @@ from .. import rules
 from ..functions.values import json_text
 from .documents import list_parts, text_hash
 from .issues import issue_rows
+from .joins import join_parents
 
 RULES = ("prefix", "shortcut", "class", "default")
 _CODES = len(rules.TARGET_TYPES) * len(RULES)
@@ -68,8 +69,8 @@ def map_field_types(fields: DataFrame, types: DataFrame) -> DataFrame:
         *rules.TYPE_SHORTCUTS)
     named = fields.filter(by_name).withColumn("class", F.lit(""))
     classed = (
-        fields.filter(~by_name)
-        .join(declared_types(types), ["backup_id", "type"], "left")
+        join_parents(fields.filter(~by_name), declared_types(types), ["backup_id", "type"],
+                     spread=["pos", "name"], how="left")
         .withColumn("class", F.coalesce("class", F.lit("")))
     )
     return (

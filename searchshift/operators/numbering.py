@@ -11,15 +11,18 @@ BLOCK_BITS = 10
 
 
 def number_rows(df: DataFrame, order_cols: list[str], name: str = "row_index") -> DataFrame:
-    """Dense 0-based numbering over the whole input in the given order.
+    """Dense 0-based numbering over the whole input in the given order; rows that are
+    equal in it keep their order in the input.
 
     The input is range-sorted once and written down, since the positions inside a
-    partition and the partition sizes must come from the same run. Only one count per
-    partition meets in a single task.
+    partition and the partition sizes must come from the same run. The place in the
+    input takes part in the sort, so a value that most rows share is cut into several
+    ranges too. Only one count per partition meets in a single task.
     """
+    placed = df.withColumn("_place", F.monotonically_increasing_id())
     positioned = materialized(
-        df.orderBy(*order_cols).withColumn("_position", F.monotonically_increasing_id()),
-        "numbered")
+        placed.orderBy(*order_cols, "_place").drop("_place")
+        .withColumn("_position", F.monotonically_increasing_id()), "numbered")
     partition = F.shiftright("_position", 33)
     sizes = positioned.groupBy(partition.alias("_partition")).agg(F.count("*").alias("_size"))
     before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions.values import format_bytes, join_path, version_order, version_part, version_text
 from .issues import emit, issue_rows, union_issues, when
+from .joins import join_parents
 
 
 def _shard_label() -> Column:
@@ -27,7 +28,8 @@ def input_present(planned: DataFrame, shards: DataFrame, inventory: DataFrame) -
     missing = checked.filter(F.col("readable").isNull()).select("backup_id")
     shard_state = shards.join(dirs, ["backup_id", "dir"], "left").filter(
         F.col("readable").isNull() | ~F.col("readable"))
-    doubtful = shard_state.join(missing, "backup_id", "left_anti")
+    doubtful = join_parents(shard_state, missing, ["backup_id"], spread=["shard_id"],
+                            how="left_anti")
     nothing = F.lit("")
     return union_issues(
         emit(checked,
@@ -93,8 +95,8 @@ def input_bytes(inventory: DataFrame, shards: DataFrame) -> DataFrame:
     inside = tops.filter(F.col("dir") != "").join(
         shards.filter(F.col("dir") != "").select("backup_id", "dir"), ["backup_id", "dir"],
         "left_semi")
-    whole = tops.join(shards.filter(F.col("dir") == "").select("backup_id"), "backup_id",
-                      "left_semi")
+    whole = join_parents(tops, shards.filter(F.col("dir") == "").select("backup_id"),
+                         ["backup_id"], spread=["dir"], how="left_semi")
     return inside.unionByName(whole).groupBy("backup_id").agg(F.sum("bytes").alias("input_bytes"))
 
 
@@ -112,10 +114,11 @@ def disk_space(sizes: DataFrame, volumes: DataFrame) -> DataFrame:
                  format_bytes(F.col("usable"))))
 
 
-def validation_gate(backups: DataFrame, issues: DataFrame) -> DataFrame:
-    """Backups that may go on: any error stops a backup, warnings do not."""
+def validation_gate(rows: DataFrame, issues: DataFrame) -> DataFrame:
+    """Backups, or rows of backups, that may go on: any error stops a backup, warnings
+    do not."""
     failed = issues.filter(F.col("severity") == "ERROR").select("backup_id").distinct()
-    return backups.join(failed, "backup_id", "left_anti")
+    return join_parents(rows, failed, ["backup_id"], spread=rows.columns, how="left_anti")
 
 
 # --- output tree ----------------------------------------------------------------------
@@ -202,8 +205,8 @@ def index_dirs(outputs: DataFrame, shards: DataFrame) -> DataFrame:
     )
     present = top.filter("is_dir").select("backup_id", "index_dir", F.col("name").alias("dir"))
     absent = (
-        shards.select("backup_id", F.col("shard_id").cast("string").alias("dir"))
-        .join(picked.select("backup_id", "index_dir"), "backup_id")
+        join_parents(shards.select("backup_id", F.col("shard_id").cast("string").alias("dir")),
+                     picked.select("backup_id", "index_dir"), ["backup_id"], spread=["dir"])
         .join(present, ["backup_id", "index_dir", "dir"], "left_anti")
     )
     return level.unionByName(
@@ -230,8 +233,9 @@ def shard_files(outputs: DataFrame, shards: DataFrame) -> DataFrame:
     expected = shards.select("backup_id", F.col("shard_id").cast("string").alias("dir"))
     label, nothing = F.concat(F.lit("shard "), F.col("dir")), F.lit("")
     return emit(
-        flags.join(expected, ["backup_id", "dir"], "left_semi").join(
-            pick_index_dir(outputs), ["backup_id", "index_dir"], "left_semi"),
+        join_parents(flags.join(expected, ["backup_id", "dir"], "left_semi"),
+                     pick_index_dir(outputs).select("backup_id", "index_dir"),
+                     ["backup_id", "index_dir"], spread=["dir"], how="left_semi"),
         when(~F.col("snap"), "SHARD_SNAPSHOT_MISSING", label, nothing),
         when(~F.col("index"), "SHARD_INDEX_MISSING", label, nothing),
         when(F.col("others") == 0, "SHARD_FILES_MISSING", label, nothing),

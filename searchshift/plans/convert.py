@@ -16,6 +16,7 @@ from .. import rules
 from ..functions.values import join_path, stable_id, version_order, version_text
 from ..operators import detect, documents, manifest, mapping, validate
 from ..operators.issues import issue_rows, union_issues
+from ..operators.joins import join_parents
 from ..session import materialized
 from ..sinks.copy import RANGE_BYTES, copy_files
 from ..sinks.repository import write_repository
@@ -96,11 +97,14 @@ def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
 
     # check the input
     outputs = materialized(scan_outputs(plan), "outputs")
-    shard_entries = inventory.filter(~F.col("is_dir")).select(
-        "backup_id", F.col("rel_dir").alias("dir"), "name", "length").join(
-        shards, ["backup_id", "dir"])
+    shard_entries = join_parents(
+        inventory.filter(~F.col("is_dir")).select(
+            "backup_id", F.col("rel_dir").alias("dir"), "name", "length"),
+        shards, ["backup_id", "dir"], spread=["name"])
     shard_entries = materialized(shard_entries, "entries")
-    missing = detect.missing_files(segments.join(plan, "backup_id", "left_semi"), shard_entries)
+    planned = join_parents(segments, plan.select("backup_id"), ["backup_id"],
+                           spread=["shard_id", "segment"], how="left_semi")
+    missing = materialized(detect.missing_files(planned, shard_entries), "missing")
     before = materialized(union_issues(
         absent, detect.detection_issues(formats), detect.unmatched_shard_dirs(inventory),
         validate.input_present(plan, shards, inventory), validate.output_state(outputs),
@@ -112,8 +116,9 @@ def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
     # copy the live files and describe them
     targets = accepted.select("backup_id", "output_dir").join(roots, "backup_id")
     referenced = _referenced(segments, inventory, shards)
-    live = shard_entries.join(referenced, ["backup_id", "shard_id", "name"]).join(
-        targets, "backup_id").select(
+    live = join_parents(
+        shard_entries.join(referenced, ["backup_id", "shard_id", "name"]), targets,
+        ["backup_id"], spread=["shard_id", "name"]).select(
         "backup_id", "shard_id", "name", "length", "written_by",
         F.concat_ws("/", "root", F.when(F.col("dir") != "", F.col("dir")), "name").alias("path"),
         F.concat_ws("/", "output_dir", F.lit("indices"), stable_id("index", F.col("backup_id")),
@@ -134,16 +139,17 @@ def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
 
     # roll up and write the metadata
     going = validate.validation_gate(accepted, during).select("backup_id")
-    rollup = shards.join(going, "backup_id", "left_semi").select("backup_id", "shard_id").join(
-        manifest.shard_rollup(described, segments.join(going, "backup_id", "left_semi")),
-        ["backup_id", "shard_id"])
+    rollup = join_parents(shards.select("backup_id", "shard_id"), going, ["backup_id"],
+                          spread=["shard_id"], how="left_semi").join(
+        manifest.shard_rollup(described, segments), ["backup_id", "shard_id"])
     rollup = materialized(rollup, "rollup")
     totals = manifest.conversion_rollup(rollup, missing).join(
         plan.select("backup_id", "format", "index_name", "output_dir", "replicas",
                     "replica_source"), "backup_id")
     totals = materialized(documents.with_conversion_ids(totals), "totals")
     chunks = materialized(documents.file_chunks(described), "chunks")
-    named = rollup.join(totals.select("backup_id", "index_name"), "backup_id")
+    named = join_parents(rollup, totals.select("backup_id", "index_name"), ["backup_id"],
+                         spread=["shard_id"])
     parts = (
         documents.snapshot_doc(totals, now_ms)
         .unionByName(documents.global_doc(totals))
@@ -154,7 +160,8 @@ def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
         .unionByName(documents.shard_snapshot_doc(chunks, named, now_ms))
         .unionByName(documents.shard_index_doc(chunks, rollup))
     )
-    rooted = parts.join(totals.select("backup_id", F.col("output_dir").alias("root")), "backup_id")
+    rooted = join_parents(parts, totals.select("backup_id", F.col("output_dir").alias("root")),
+                          ["backup_id"], spread=["rel_path", "part"])
     written = materialized(write_repository(rooted), "written")
 
     # check the output

@@ -157,6 +157,23 @@ def test_numbering(spark):
     assert set(got[0].asDict()) == {"n", "other", "row_index"}
 
 
+def test_numbering_of_equal_rows(spark, monkeypatch):
+    from searchshift.operators import numbering
+    seen = []
+
+    def keep(df, label):
+        seen.append(df.cache())
+        return seen[0]
+
+    monkeypatch.setattr(numbering, "materialized", keep)
+    df = spark.range(0, 30_000, 1, 6).select(F.lit("same").alias("n"), F.col("id"))
+    got = number_rows(df, ["n"]).orderBy("row_index").collect()
+    assert [r["row_index"] for r in got] == list(range(30_000))
+    assert [r["id"] for r in got] == list(range(30_000))
+    sizes = [r["count"] for r in seen[0].groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 20_000
+
+
 def test_batches(spark, tmp_path):
     trips = records.generate_records(spark, 1234, 42)
     batches = records.batch_records(trips, ["id"])

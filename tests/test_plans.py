@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from searchshift.functions.predicates import date_range, range_filter, term
 from searchshift.operators import detect, documents, mapping, reconcile, validate
+from searchshift.operators.joins import join_parents
 from searchshift.plans.catalog import load_all
 
 FOLDER = "/root/testdata/sf0.001"
@@ -85,26 +86,70 @@ def hot(spark, n=60_000):
         F.col("id"))
 
 
-def test_hot_type_is_split(spark, small_skew):
+@pytest.fixture
+def fixed_plan(spark):
+    """Many partitions and no adaptive execution: what the plan itself achieves."""
+    wanted = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "32",
+              "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def largest_share(df):
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def hot_fields(spark):
+    kind = F.concat(F.lit("custom"), (F.col("id") % 2 * (F.col("id") % 3)).cast("string"))
     fields = hot(spark).select("backup_id", F.col("id").alias("pos"), F.concat(F.lit("f"), "id").alias("name"),
-                               F.lit("custom").alias("type"))
-    types = fields.select("backup_id", F.lit(0).cast("bigint").alias("pos"), F.lit("custom").alias("name"),
-                          F.lit("solr.BoolField").alias("class")).distinct()
-    df = mapping.map_field_types(fields, types)
-    assert "isSkew=true" in physical(df, executed=True) or "skewed" in physical(df, executed=True)
-    assert df.filter("target_type = 'boolean'").count() == 60_000
-
-
-def test_hot_shard_list_is_split_and_bounded(spark, small_skew):
-    files = hot(spark).select("backup_id", F.lit(0).cast("bigint").alias("shard_id"),
-                              F.concat(F.lit("_"), "id").alias("name"), F.col("id").alias("length"),
-                              F.lit("c").alias("checksum"), F.lit("9.8.0").alias("written_by"),
-                              F.lit(b"").alias("meta_hash"))
-    chunks = documents.file_chunks(files, 100)
-    plan = physical(chunks, executed=True)
-    assert "skewed" in plan or "isSkew=true" in plan
+                               kind.alias("type"))
+    types = fields.select("backup_id", F.col("type").alias("name")).distinct().select(
+        "backup_id", F.lit(0).cast("bigint").alias("pos"), "name", F.lit("solr.BoolField").alias("class"))
+    return mapping.map_field_types(fields, types)
+
+
+def hot_files(spark):
+    return hot(spark).select("backup_id", F.lit(0).cast("bigint").alias("shard_id"),
+                             F.concat(F.lit("_"), "id").alias("name"), F.col("id").alias("length"),
+                             F.lit("c").alias("checksum"), F.lit("9.8.0").alias("written_by"),
+                             F.lit(b"").alias("meta_hash"))
+
+
+def hot_plan(spark):
+    shards = hot(spark).select("backup_id", F.col("id").alias("shard_id"),
+                               F.concat(F.lit("snapshot.shard"), F.col("id") + 1).alias("dir"))
+    formats = shards.groupBy("backup_id").agg(
+        F.when(F.max("shard_id") >= 0, F.lit("SOLRCLOUD_FULL")).alias("format"))
+    return detect.plan_shards(formats, shards, spark.createDataFrame([], "backup_id string, index_dir string"))
+
+
+@pytest.mark.parametrize("job", [hot_fields, hot_plan])
+def test_hot_group_is_dealt_out(spark, fixed_plan, job):
+    df = job(spark)
+    assert df.count() == 60_000
+    assert largest_share(df) < 0.2
+
+
+def test_aggregated_parents_leave_the_join_splittable(spark, small_skew):
+    rows = hot(spark)
+    parents = rows.groupBy("backup_id").agg(F.count("*").alias("n"))
+    df = join_parents(rows, parents, ["backup_id"], spread=["id"], salts=1)
+    plan = physical(df, executed=True)
+    assert "skew=true" in plan and "skewed" in plan
+    assert df.filter("backup_id = 'b0'").first()["n"] > 20_000
+
+
+def test_hot_shard_list_is_bounded(spark, fixed_plan):
+    chunks = documents.file_chunks(hot_files(spark), 100)
     sizes = [r["n"] for r in chunks.select(F.regexp_count("names", F.lit('"name"')).alias("n")).collect()]
     assert sum(sizes) == 60_000 and max(sizes) < 200
+    big = chunks.filter("backup_id = 'b0'")
+    assert big.groupBy(F.spark_partition_id()).count().count() > 10
 
 
 def test_hot_backup_is_planned_whole(spark, small_skew):
