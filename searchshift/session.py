@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,13 +22,37 @@ DEFAULTS = {
 }
 
 
+#: Applications that have the package already.
+_SHIPPED: set[str] = set()
+
+
 def build_session(app: str = "searchshift", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand the package to the executors, once per application: Python functions travel by
+    the name of their module, and executors need not see the driver's folders."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="searchshift-package-"), "searchshift.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    source = os.path.join(folder, name)
+                    archive.write(source, os.path.join("searchshift", os.path.relpath(source, package)))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
 
 
 def _is_local(spark: SparkSession) -> bool:
