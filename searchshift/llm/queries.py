@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "s.n_words", "s.word_chars", "s.n_symbols", "s.n_dup_lines",
                          "s.n_repeat_words", "s.base_failed", "kept")
+
+
+#: Only for the registered query and the pipeline; a real job takes its key from its secrets.
+DEMONSTRATION_KEY = "not a secret"
+
+
+@query("op1_pii_pseudonyms")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs, DEMONSTRATION_KEY, found="kinds")
