@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, quality
+from . import chat, pii, quality, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,3 +41,16 @@ DEMONSTRATION_KEY = "not a secret"
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymize(docs, DEMONSTRATION_KEY, found="kinds")
+
+
+@query("op5_perspective_rotation", chat.ORACLE)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = chat.rotate(table(spark, sf_dir, "conversations"))
+    written = F.transform("spans", lambda s: F.concat_ws("+", s["start"].cast("string"), s["length"].cast("string")))
+    return views.withColumn("spans", F.array_join(written, " "))
+
+
+@query("op10_url_sweep", url_filter.ORACLE)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
