@@ -136,17 +136,14 @@ def certified_cutoffs(judged: DataFrame, labels: DataFrame, stratum: str = "stra
     held = judged.where(~F.col("s.base_failed")).join(good, "doc_id", "left_semi")
     above = [F.sum(F.when(F.col(f"s.rates.{name}") > cut, 1).otherwise(0)).alias(f"_{name}_{j}")
              for name, cuts in cutoffs.items() for j, cut in enumerate(cuts)]
-    counted = held.groupBy(stratum).agg(F.count("*").alias("n"), *above)
+    counted = materialized(held.groupBy(stratum).agg(F.count("*").alias("n"), *above), "quality-counts")
     tests = F.inline(F.array(*[
         F.struct(F.lit(name).alias("signal"), F.lit(float(cut)).alias("cutoff"),
                  F.col(f"_{name}_{j}").alias("k"))
         for name, cuts in cutoffs.items() for j, cut in enumerate(cuts)]))
-    strata = counted.select(F.count("*").alias("_strata"))
-    # one row, so the product stays as it is
-    tested = counted.join(F.broadcast(strata)).select(stratum, "n", "_strata", tests)
+    tested = counted.select(stratum, "n", tests)
     rate = max_false_rejection / len(cutoffs)
-    n_tests = sum(map(len, cutoffs.values()))
-    bound = F.lit(confidence_loss) / (n_tests * F.col("_strata"))
+    bound = confidence_loss / (sum(map(len, cutoffs.values())) * max(1, counted.count()))
     # at or above the mean the tail is at least a quarter, far above any bound in use
     passes = F.when(F.col("k") < rate * F.col("n"),
                     binomial_tail(F.col("k"), F.col("n"), rate) <= bound).otherwise(F.lit(False))

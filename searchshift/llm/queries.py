@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, pii, quality, url_filter
+from . import chat, decontaminate, pii, quality, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op7_benchmark_hits", decontaminate.ORACLE)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
