@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, pii, quality, url_filter
+from ..session import scratch_dir
+from . import chat, decontaminate, pii, quality, token_store, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +60,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_benchmark_hits", decontaminate.ORACLE)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Of the vocabulary that the registered queries use.
+END_ID = 2
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op8_token_store")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "token-ids")
+    token_store.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary(), END_ID)
+    return token_store.read_digests(spark, path)
