@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import chat, decontaminate, pii, quality, token_store, url_filter
+from . import bpe, chat, decontaminate, pii, quality, token_store, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +76,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-ids")
     token_store.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary(), END_ID)
     return token_store.read_digests(spark, path)
+
+
+@query("op9_bpe_chunk_reuse")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())

@@ -47,6 +47,13 @@ class Tokens:
         kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.alphabet = {b: chr(b) for b in kept}
         self.alphabet |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in self.alphabet)}
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        self.wide = size > 1 << 16
+        if self.library.decoder is not None:
+            raise ValueError("the tokenizer must decode by joining tokens with spaces")
+        #: every id as a number and as its token, in bytes
+        self.numbers = [str(i).encode() for i in range(size)]
+        self.words = [(self.library.id_to_token(i) or "").encode() for i in range(size)]
         self.forget()
 
     def forget(self) -> None:
@@ -124,7 +131,7 @@ def tokens_of(path: str) -> Tokens:
 def slices(column: pa.Array, most_bytes: int = 8 << 20) -> list[tuple[int, int]]:
     """(start, length) of runs of rows with about so many bytes each, so that work on a batch
     takes bounded memory whatever Spark puts in it; a longer row stands alone."""
-    sizes = pc.fill_null(pc.binary_length(column.cast(pa.large_string())), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     out, start, total = [], 0, 0
     for i, n in enumerate(sizes.tolist()):
         if i > start and total + n > most_bytes:
