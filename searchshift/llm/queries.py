@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, chat, decontaminate, pii, quality, token_store, url_filter
+from . import bpe, chat, decontaminate, near_dup, pii, quality, token_store, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_bpe_chunk_reuse")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query("op3_near_duplicates", near_dup.ORACLE)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
