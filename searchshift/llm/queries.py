@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, chat, decontaminate, near_dup, pii, quality, token_store, url_filter
+from . import bpe, chat, decontaminate, near_dup, pii, quality, substring_dedup, token_store, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +86,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_near_duplicates", near_dup.ORACLE)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_substring_dedup", substring_dedup.ORACLE)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
