@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, chat, decontaminate, near_dup, pii, quality, substring_dedup, token_store, url_filter
+from . import bpe, chat, decontaminate, language, near_dup, pii, quality, substring_dedup, token_store, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op4_language_fusion")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with all evidence; documents by their text and, in the place of a host, their source."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = language.train(docs)
+    plain = docs.select("doc_id", F.col("source").alias("host"), F.lit("").alias("declared"), "text")
+    of_pages = language.identify(language.evidence(pages), model)
+    of_docs = language.identify(plain, model, key="doc_id")
+    return of_pages.unionByName(of_docs, allowMissingColumns=True).select("page_id", "doc_id", "lang", "confidence")
