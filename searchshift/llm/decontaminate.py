@@ -90,8 +90,9 @@ def hits(docs: DataFrame, items: DataFrame, **bounds) -> DataFrame:
 def without_items(docs: DataFrame, items: DataFrame, **bounds) -> DataFrame:
     """The rows of ``docs`` that contain no item."""
     dirty = contaminated(docs, items, **bounds).select(F.col("doc").alias("_doc")).distinct()
-    mine = F.struct(F.col("doc_id").alias("key"), F.xxhash64("text").alias("text"))
-    return docs.join(dirty, mine == F.col("_doc"), "left_anti")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    mine = F.struct(F.col("doc_id").alias("key"), F.xxhash64("text").alias("text")).alias("_doc")
+    return docs.select(row, mine).join(dirty, "_doc", "left_anti").select("row.*")
 
 
 #: The same rows in SQL.
