@@ -16,13 +16,13 @@ FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(words x 2 numbers, first word of each text and the end); a null text has no words."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    if lower:
-        texts = pc.ascii_lower(texts)
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
     lists = pc.ascii_split_whitespace(texts)
     coded = lists.flatten().dictionary_encode()
     distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-    digests = b"".join(map(xxhash.xxh3_128_digest, distinct))
+    # bytes know only A-Z; Arrow's own ascii_lower goes wrong on slices
+    hashed = (w.encode().lower() for w in distinct) if lower else distinct
+    digests = b"".join(map(xxhash.xxh3_128_digest, hashed))
     numbers = np.frombuffer(digests, "<u8").reshape(-1, 2)
     index = coded.indices.to_numpy(zero_copy_only=False)
     bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()

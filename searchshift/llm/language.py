@@ -26,7 +26,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,10 +44,9 @@ MAX_LANGUAGES = 500
 
 def _triples(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashed triple at each byte, and where each text's triples begin; those across texts are left out."""
-    texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    joined = b"".join(t.encode() for t in texts.to_pylist())
-    data = np.frombuffer(joined, np.uint8).astype(np.uint32)
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    small = [(t or "").lower().encode() for t in texts.to_pylist()]
+    data = np.frombuffer(b"".join(small), np.uint8).astype(np.uint32)
+    ends = np.cumsum([len(t) for t in small], dtype=np.int64)
     if len(data) < 3:
         return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
     h = (data[:-2] | data[1:-1] << np.uint32(8) | data[2:] << np.uint32(16)) * np.uint32(0x9E3779B1)

@@ -101,7 +101,7 @@ class Tokens:
         """Ids of all texts in one array, and where each text's ids begin and the last ends.
 
         A null text has none."""
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
         words = lists.flatten().dictionary_encode()
         distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) + len(distinct) > self.most:
