@@ -55,14 +55,10 @@ def checksum_value(text: Column) -> Column:
 
 
 def commit_generation(name: Column) -> Column:
-    """Generation of a commit file; NULL for any other name."""
-    suffix = F.regexp_extract(name, r"^segments_([0-9a-zA-Z]{1,12})\z", 1)
-    return F.when(suffix != "", F.conv(suffix, 36, 10).cast("bigint"))
-
-
-def commit_name(generation: Column) -> Column:
-    return F.concat(F.lit(rules.COMMIT_PREFIX),
-                    F.lower(F.conv(generation.cast("string"), 10, 36)))
+    """Generation of a commit file, up to the largest 64-bit number; NULL for any other name."""
+    digits = F.lower(F.regexp_extract(name, r"^segments_0*([0-9a-zA-Z]{1,13})\z", 1))
+    fits = (F.length(digits) < len(rules.LARGEST_GENERATION)) | (digits <= rules.LARGEST_GENERATION)
+    return F.when((digits != "") & fits, F.conv(digits, 36, 10).cast("bigint"))
 
 
 def version_part(version: Column, index: int) -> Column:
@@ -72,19 +68,16 @@ def version_part(version: Column, index: int) -> Column:
 
 
 def version_order(version: Column) -> Column:
-    """A version as one number that sorts like the version."""
-    parts = [F.coalesce(version_part(version, i), F.lit(0)).cast("bigint") for i in range(3)]
-    return parts[0] * 100_000_000 + parts[1] * 10_000 + parts[2]
+    """A version as its three numbers, which sort like the version; NULL for NULL."""
+    parts = [F.coalesce(version_part(version, i), F.lit(0)).alias(n)
+             for i, n in enumerate(("major", "minor", "patch"))]
+    return F.when(version.isNotNull(), F.struct(*parts))
 
 
 def version_text(order: Column) -> Column:
     """Inverse of ``version_order``."""
-    return F.concat_ws(
-        ".",
-        F.floor(order / F.lit(100_000_000)).cast("string"),
-        F.floor(order / F.lit(10_000) % F.lit(10_000)).cast("string"),
-        (order % F.lit(10_000)).cast("string"),
-    )
+    return F.when(order.isNotNull(), F.concat_ws(
+        ".", *[order.getField(n).cast("string") for n in ("major", "minor", "patch")]))
 
 
 def version_id(version: Column) -> Column:
@@ -94,10 +87,6 @@ def version_id(version: Column) -> Column:
                   major * 1_000_000 + minor * 10_000 + patch * 100 + 99)
 
 
-def parent_dir(path: Column) -> Column:
-    return F.regexp_replace(path, r"/?[^/]*\z", "")
-
-
 def join_path(directory: Column, name: Column) -> Column:
     return F.when(directory == "", name).otherwise(F.concat(directory, F.lit("/"), name))
 

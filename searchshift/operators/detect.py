@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.values import commit_generation, commit_name, join_path
+from ..functions.values import commit_generation, join_path
 from .issues import issue_rows
 from .joins import join_parents
 
@@ -276,16 +276,24 @@ def plan_shards(formats: DataFrame, shards: DataFrame, standalone: DataFrame) ->
 
 
 def latest_commit(inventory: DataFrame) -> DataFrame:
-    """Newest commit of every directory; generations are compared as numbers."""
+    """Newest commit of every directory, under the name it has there; generations are
+    compared as numbers, equal ones by name."""
     generation = commit_generation(F.col("name"))
     return (
         inventory.filter(~F.col("is_dir") & generation.isNotNull())
         .groupBy("backup_id", F.col("rel_dir").alias("dir"))
-        .agg(F.max(generation).alias("generation"))
-        .withColumn("commit_file", commit_name(F.col("generation")))
+        .agg(F.max(F.struct(generation.alias("generation"), "name")).alias("newest"))
+        .select("backup_id", "dir", "newest.generation", F.col("newest.name").alias("commit_file"))
     )
 
 
+def commit_name_issues(inventory: DataFrame) -> DataFrame:
+    """Files named like commits whose generation cannot be read."""
+    odd = inventory.filter(~F.col("is_dir") & F.col("name").startswith(rules.COMMIT_PREFIX)
+                           & commit_generation(F.col("name")).isNull())
+    return issue_rows(odd, "COMMIT_NAME_INVALID", F.col("rel_dir"), F.col("name"))
+
+
 def referenced_files(segments: DataFrame) -> DataFrame:
     """File names a commit refers to, one row per file."""
     return segments.select("backup_id", "shard_id", F.explode("files").alias("name"))

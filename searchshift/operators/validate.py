@@ -101,13 +101,16 @@ def input_bytes(inventory: DataFrame, shards: DataFrame) -> DataFrame:
 
 
 def disk_space(sizes: DataFrame, volumes: DataFrame) -> DataFrame:
-    """Warn where 1.1 times the input does not fit. ``volumes`` is (backup_id, usable)."""
+    """Warn where 1.1 times the input does not fit. ``volumes`` is (backup_id, usable,
+    device); backups whose output goes to one device share its space, so all of them are
+    warned if their sum does not fit."""
     required = (F.col("input_bytes") * F.lit(rules.DISK_FACTOR)).cast("bigint")
-    short = (
-        sizes.join(volumes, "backup_id")
-        .withColumn("required", required)
-        .filter(F.col("usable") < F.col("required"))
-    )
+    wanted = sizes.join(volumes.select("backup_id", "usable", "device"), "backup_id").withColumn("required", required)
+    # one narrow row per device, whatever the number of its backups
+    devices = wanted.filter(F.col("device").isNotNull()).groupBy("device").agg(
+        F.sum("required").alias("required"), F.min("usable").alias("usable"))
+    full = devices.filter(F.col("usable") < F.col("required"))
+    short = join_parents(wanted.select("backup_id", "device"), full, ["device"], spread=["backup_id"])
     return issue_rows(
         short, "LOW_DISK_SPACE", F.lit(""),
         F.concat(F.lit("need "), format_bytes(F.col("required")), F.lit(", have "),
@@ -132,14 +135,22 @@ def _any(condition: Column) -> Column:
     return F.coalesce(F.max(condition), F.lit(False))
 
 
-def repo_files(outputs: DataFrame) -> DataFrame:
-    """Repository-level files. ``outputs`` is an inventory of the output trees."""
+def _of_each(expected: DataFrame, flags: DataFrame) -> DataFrame:
+    """``flags`` of every expected backup; one without any entry has none of what is asked."""
+    found = expected.select("backup_id").distinct().join(flags, "backup_id", "left")
+    return found.select("backup_id", *[
+        F.coalesce(c, F.lit(False)).alias(c) for c in flags.columns if c != "backup_id"])
+
+
+def repo_files(outputs: DataFrame, expected: DataFrame) -> DataFrame:
+    """Repository-level files of every expected backup (backup_id). ``outputs`` is an
+    inventory of the output trees; a repository that is not there lacks all of them."""
     here = F.col("rel_dir") == ""
-    flags = outputs.filter(here).groupBy("backup_id").agg(
+    flags = _of_each(expected, outputs.filter(here).groupBy("backup_id").agg(
         _any(F.col("name") == rules.REPO_INDEX).alias("index"),
         _any(F.col("name") == rules.REPO_LATEST).alias("latest"),
         _any(_is_data("snap-")).alias("snap"),
-        _any(_is_data("meta-")).alias("meta"))
+        _any(_is_data("meta-")).alias("meta")))
     nothing = F.lit("")
     return emit(
         flags,
@@ -177,12 +188,10 @@ def _inside_index(outputs: DataFrame) -> DataFrame:
 def index_dirs(outputs: DataFrame, shards: DataFrame) -> DataFrame:
     """Index directory, its metadata, and one directory per expected shard.
 
-    ``shards`` is (backup_id, shard_id), the shards the conversion planned."""
-    facts = outputs.filter(
-        (F.col("rel_dir") == "") | (F.col("rel_dir") == "indices")
-    ).groupBy("backup_id").agg(
-        _any(F.col("is_dir") & (F.col("rel_dir") == "") & (F.col("name") == "indices"))
-        .alias("has_indices"))
+    ``shards`` is (backup_id, shard_id), the shards the conversion planned; a backup of
+    theirs without any entry has no index directory, and its shards are missing."""
+    facts = _of_each(shards, outputs.filter(F.col("rel_dir") == "").groupBy("backup_id").agg(
+        _any(F.col("is_dir") & (F.col("name") == "indices")).alias("has_indices")))
     picked = pick_index_dir(outputs)
     top = _inside_index(outputs).filter(F.col("inside") == "")
     metadata = top.filter(_is_data("meta-")).select("backup_id", "index_dir").distinct(
@@ -206,7 +215,7 @@ def index_dirs(outputs: DataFrame, shards: DataFrame) -> DataFrame:
     present = top.filter("is_dir").select("backup_id", "index_dir", F.col("name").alias("dir"))
     absent = (
         join_parents(shards.select("backup_id", F.col("shard_id").cast("string").alias("dir")),
-                     picked.select("backup_id", "index_dir"), ["backup_id"], spread=["dir"])
+                     picked.select("backup_id", "index_dir"), ["backup_id"], spread=["dir"], how="left")
         .join(present, ["backup_id", "index_dir", "dir"], "left_anti")
     )
     return level.unionByName(

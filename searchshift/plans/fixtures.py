@@ -179,13 +179,15 @@ FIXTURES = {
         SELECT 'o' || CAST(o_orderkey AS STRING) AS backup_id,
           CAST(floor(o_totalprice) AS BIGINT) AS usable,
           '/out/' || CAST(o_orderkey AS STRING) AS output_dir,
+          CASE WHEN o_orderkey % 37 = 0 THEN NULL WHEN o_orderkey % 3 = 1 THEN CAST(o_custkey AS BIGINT)
+            ELSE -CAST(o_orderkey AS BIGINT) END AS device,
           o_orderkey % 31 <> 0 AS writable,
           CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey % 4 END AS entries
         FROM orders""",
     # --- output trees: one repository per customer
     "fx_out_entries": """
         SELECT c_custkey, EACH(0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16) AS k
-        FROM customer""",
+        FROM customer WHERE c_custkey % 29 <> 13""",
     "fx_out": """
         SELECT 'c' || CAST(c_custkey AS STRING) AS backup_id,
           CASE WHEN k < 5 THEN '' WHEN k IN (5, 15) THEN 'indices' WHEN k IN (6, 7, 11) THEN 'indices/ix'

@@ -19,8 +19,8 @@ spans AS (SELECT index_name, started, max(ts) AS last_sample, min(CASE WHEN read
 SELECT *, CASE WHEN ready_at <= started + INTERVAL 43200 SECONDS THEN 'ready'
   WHEN last_sample >= started + INTERVAL 43200 SECONDS THEN 'timeout' ELSE 'waiting' END AS outcome FROM spans""")
 def _(t):
-    events = t.spark.readStream.schema(EVENTS).option(
-        "pathGlobFilter", "events.parquet").parquet(t.sf_dir)
+    # as a pattern, so that the table may be one file or a folder of many
+    events = t.spark.readStream.schema(EVENTS).parquet(f"{t.sf_dir}/{{events}}.parquet")
     nodes = (F.col("event_id") % 5).cast("string")
     status = (F.when(F.col("value") >= 15, F.lit("green"))
               .when(F.col("value") >= 8, F.lit("yellow")).otherwise(F.lit("red")))
@@ -31,8 +31,8 @@ def _(t):
         F.col("ts").cast("timestamp").alias("ts"),
         F.when(F.col("event_id") % 29 == 0, F.lit("curl: (7) refused")).otherwise(reply)
         .alias("content"))
-    done = drain(watch_health(samples, ["index_name"], F.lit(3), 43200),
-                 ["index_name", "started"], "watch")
+    spans = drain(samples, ["index_name"], F.lit(3), "watch")
+    done = watch_health(spans, ["index_name"], 43200)
     plain = ("started", "last_sample", "ready_at")
     return done.select("index_name", *[F.col(c).cast("timestamp_ntz").alias(c) for c in plain],
                        "outcome")

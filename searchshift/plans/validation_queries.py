@@ -61,15 +61,16 @@ DISK = f"""
 disk_issues AS (
   SELECT backup_id, 'WARN' AS severity, 'LOW_DISK_SPACE' AS code, '' AS subject,
     'need ' || {bytes_sql('required')} || ', have ' || {bytes_sql('usable')} AS detail
-  FROM (SELECT t.backup_id, CAST(floor(sum(t.length) * 1.1::DOUBLE) AS BIGINT) AS required
-        FROM fx_tree t JOIN fx_planned p ON p.backup_id = t.backup_id AND p.dir = t.rel_dir
-        WHERE NOT t.is_dir GROUP BY 1) i
-  JOIN fx_volumes USING (backup_id) WHERE usable < required)"""
+  FROM (SELECT backup_id, sum(need) OVER (PARTITION BY device) AS required, min(usable) OVER (PARTITION BY device) AS usable
+    FROM (SELECT t.backup_id, CAST(floor(sum(t.length) * 1.1::DOUBLE) AS BIGINT) AS need
+          FROM fx_tree t JOIN fx_planned p ON p.backup_id = t.backup_id AND p.dir = t.rel_dir
+          WHERE NOT t.is_dir GROUP BY 1) i
+    JOIN fx_volumes USING (backup_id) WHERE device IS NOT NULL) d WHERE usable < required)"""
 
 REPO = """
-top AS (SELECT backup_id, bool_or(name = 'index-0') AS a, bool_or(name = 'index.latest') AS b,
-    bool_or(name LIKE 'snap-%.dat') AS c, bool_or(name LIKE 'meta-%.dat') AS d
-  FROM fx_out WHERE rel_dir = '' GROUP BY 1),
+top AS (SELECT s.backup_id, coalesce(bool_or(name = 'index-0'), false) AS a, coalesce(bool_or(name = 'index.latest'), false) AS b,
+    coalesce(bool_or(name LIKE 'snap-%.dat'), false) AS c, coalesce(bool_or(name LIKE 'meta-%.dat'), false) AS d
+  FROM fx_out_shards s LEFT JOIN fx_out o ON o.backup_id = s.backup_id AND o.rel_dir = '' GROUP BY 1),
 repo_issues AS (
   SELECT backup_id, 'ERROR' AS severity, 'REPO_INDEX_MISSING' AS code, 'index-0' AS subject, '' AS detail
   FROM top WHERE NOT a
@@ -91,7 +92,7 @@ level AS (
     EXISTS (SELECT 1 FROM fx_out o WHERE o.backup_id = r.backup_id AND o.rel_dir = '' AND o.name = 'indices' AND o.is_dir) AS has_indices,
     EXISTS (SELECT 1 FROM fx_out o WHERE o.backup_id = r.backup_id AND o.rel_dir = 'indices/' || p.index_dir
       AND o.name LIKE 'meta-%.dat') AS has_meta
-  FROM (SELECT DISTINCT backup_id FROM fx_out WHERE rel_dir = '') r LEFT JOIN picked p USING (backup_id)),
+  FROM (SELECT DISTINCT backup_id FROM fx_out_shards) r LEFT JOIN picked p USING (backup_id)),
 shard_present AS (SELECT o.backup_id, o.name AS dir, o.rel_dir || '/' || o.name AS path FROM fx_out o
   JOIN picked p ON p.backup_id = o.backup_id AND o.rel_dir = 'indices/' || p.index_dir WHERE o.is_dir),
 index_issues AS (
@@ -104,7 +105,7 @@ index_issues AS (
   UNION ALL SELECT backup_id, 'ERROR', 'INDEX_METADATA_MISSING', index_dir, '' FROM level
     WHERE index_dir IS NOT NULL AND NOT has_meta
   UNION ALL SELECT s.backup_id, 'ERROR', 'OUTPUT_SHARD_MISSING', 'shard ' || s.shard_id, ''
-    FROM fx_out_shards s JOIN picked USING (backup_id) WHERE NOT EXISTS (
+    FROM fx_out_shards s WHERE NOT EXISTS (
       SELECT 1 FROM shard_present x WHERE x.backup_id = s.backup_id AND x.dir = CAST(s.shard_id AS VARCHAR)))"""
 
 SHARD_FILES = """
@@ -127,6 +128,17 @@ issues AS (
   UNION ALL SELECT * FROM index_issues UNION ALL SELECT * FROM file_issues)"""
 
 
+#: Place of each check that these queries can raise, written out by hand.
+ORDER = """
+ordered(code, check_order) AS (VALUES ('INPUT_MISSING', 11), ('INPUT_UNREADABLE', 12), ('SHARD_DIR_MISSING', 13),
+  ('SHARD_DIR_UNREADABLE', 14), ('OUTPUT_NOT_WRITABLE', 15), ('OUTPUT_NOT_EMPTY', 16), ('LIBRARY_TOO_OLD', 17),
+  ('LIBRARY_OLD', 18), ('NO_SEGMENTS', 19), ('NO_DOCUMENTS', 20), ('COMMIT_UNREADABLE', 21), ('LOW_DISK_SPACE', 23),
+  ('REPO_INDEX_MISSING', 33), ('REPO_LATEST_MISSING', 34), ('REPO_SNAPSHOT_MISSING', 35), ('REPO_METADATA_MISSING', 36),
+  ('REPO_LATEST_SIZE', 37), ('INDICES_DIR_MISSING', 38), ('INDEX_DIR_MISSING', 39), ('INDEX_DIR_MULTIPLE', 40),
+  ('INDEX_METADATA_MISSING', 41), ('OUTPUT_SHARD_MISSING', 42), ('SHARD_SNAPSHOT_MISSING', 43),
+  ('SHARD_INDEX_MISSING', 44), ('SHARD_FILES_MISSING', 45))"""
+
+
 def _input(t, tree=None):
     planned = t.fx_planned
     return validate.input_present(planned.select("backup_id").distinct(), planned,
@@ -145,7 +157,7 @@ def _all(t):
     return union_issues(
         _input(t, tree), validate.output_state(t.fx_volumes),
         validate.segment_health(t.fx_shards, t.fx_segments), _disk(t, tree),
-        validate.repo_files(out), validate.index_latest_size(out),
+        validate.repo_files(out, expected), validate.index_latest_size(out),
         validate.index_dirs(out, expected), validate.shard_files(out, expected))
 
 
@@ -180,7 +192,7 @@ def _(t):
 
 @query("repo_files", f"WITH {REPO} SELECT * FROM repo_issues")
 def _(t):
-    return validate.repo_files(t.fx_out)
+    return validate.repo_files(t.fx_out, t.fx_out_shards)
 
 
 @query("index_latest_size", f"WITH {LATEST} SELECT * FROM latest_issues")
@@ -204,13 +216,15 @@ def _(t):
 
 
 @query("issue_summary", f"""
-WITH {ALL} SELECT severity, code, count(*) AS issues, count(DISTINCT backup_id) AS backups
-FROM issues GROUP BY ROLLUP (severity, code)""")
+WITH {ALL}, {ORDER} SELECT s.*, check_order FROM (
+  SELECT severity, code, count(*) AS issues, count(DISTINCT backup_id) AS backups
+  FROM issues GROUP BY ROLLUP (severity, code)) s LEFT JOIN ordered o ON o.code = s.code""")
 def _(t):
-    return validate.issue_summary(_all(t)).drop("check_order")
+    return validate.issue_summary(_all(t))
 
 
 @query("issue_report", f"""
-WITH {ALL} SELECT backup_id, severity, code, subject, detail, severity = 'ERROR' AS is_error FROM issues""")
+WITH {ALL}, {ORDER} SELECT backup_id, severity, code, subject, detail, severity = 'ERROR' AS is_error, check_order
+FROM issues JOIN ordered USING (code)""")
 def _(t):
-    return validate.report(_all(t)).drop("check_order")
+    return validate.report(_all(t))

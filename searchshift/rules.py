@@ -79,6 +79,8 @@ COMPLETION_MARKER = "backup.properties"
 SHARD_DIR_REGEX = r"^snapshot\.shard([0-9]+)\z"
 SHARD_DIR_LOOSE_PREFIX = "snapshot.shard"
 COMMIT_PREFIX = "segments_"
+# The largest signed 64-bit number in base 36.
+LARGEST_GENERATION = "1y2p0ij32e8e7"
 STANDALONE_DIRS = ("", "index")
 SCHEMA_CANDIDATES = (
     "zk_backup/configs/_default/managed-schema.xml",
@@ -131,7 +133,10 @@ DISK_FACTOR = 1.1
 
 # Issue codes in check order.
 ISSUES = (
+    ("DUPLICATE_BACKUP", "ERROR"),
+    ("OUTPUT_SHARED", "ERROR"),
     ("NOT_A_DIRECTORY", "ERROR"),
+    ("LISTING_FAILED", "ERROR"),
     ("INCREMENTAL_BACKUP", "ERROR"),
     ("SHARD_NUMBER_RANGE", "ERROR"),
     ("SHARD_GAP", "ERROR"),
@@ -149,14 +154,17 @@ ISSUES = (
     ("NO_SEGMENTS", "WARN"),
     ("NO_DOCUMENTS", "WARN"),
     ("COMMIT_UNREADABLE", "ERROR"),
+    ("COMMIT_NAME_INVALID", "WARN"),
     ("LOW_DISK_SPACE", "WARN"),
     ("FILE_MISSING", "WARN"),
     ("COPY_FAILED", "ERROR"),
     ("FOOTER_INVALID", "ERROR"),
+    ("CHECKSUM_MISMATCH", "ERROR"),
     ("SCHEMA_UNREADABLE", "ERROR"),
     ("SCHEMA_MISSING", "WARN"),
     ("TYPE_UNKNOWN", "WARN"),
     ("FIELD_NAME_EMPTY", "WARN"),
+    ("WRITE_FAILED", "ERROR"),
     ("REPO_INDEX_MISSING", "ERROR"),
     ("REPO_LATEST_MISSING", "ERROR"),
     ("REPO_SNAPSHOT_MISSING", "ERROR"),

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..session import task_count
+from ..operators.issues import issue_rows
+from ..session import materialized, task_count
 
 ENTRY = ("backup_id string, root string, rel_dir string, name string, is_dir boolean, "
          "length bigint, readable boolean, seen boolean")
@@ -33,14 +34,15 @@ def _unseen(backup_id, root, rel_dir, name) -> tuple:
 
 
 def _look(backup_id, root, rel_dir, name) -> tuple:
+    """An entry as it is; a folder that cannot be listed to its end counts as unreadable."""
     path = os.path.join(root, rel_dir, name)
     try:
         status = os.stat(path)
     except OSError:
         return backup_id, root, rel_dir, name, False, 0, False, True
     is_dir = stat.S_ISDIR(status.st_mode)
-    return (backup_id, root, rel_dir, name, is_dir, 0 if is_dir else status.st_size,
-            os.access(path, os.R_OK), True)
+    readable = os.access(path, os.R_OK) and (not is_dir or _listable(path))
+    return backup_id, root, rel_dir, name, is_dir, 0 if is_dir else status.st_size, readable, True
 
 
 def _in_batches(rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
@@ -55,81 +57,103 @@ def _in_batches(rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
 
 
 def _children(folder: str) -> Iterator[str]:
-    try:
-        with os.scandir(folder) as entries:
-            for entry in entries:
-                yield entry.name
-    except OSError:
-        return
-
-
-def _expand(root, entry: tuple, deep: bool) -> Iterator[tuple]:
-    """An entry that was just looked at, and what is in it if it is a folder."""
-    yield entry
-    if not entry[4]:
-        return
-    below = os.path.join(entry[2], entry[3]) if entry[2] else entry[3]
-    for child in _children(os.path.join(root, below)):
-        if deep:
-            yield from _expand(root, _look(entry[0], root, below, child), True)
-        else:
-            yield _unseen(entry[0], root, below, child)
-
-
-def _stage(deep: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows():
-            for batch in batches:
-                for r in batch.itertuples(index=False):
-                    if r.seen:
-                        yield tuple(r)
-                    elif r.rel_dir or r.name or os.path.lexists(r.root):
-                        yield from _expand(r.root, _look(*r[:4]), deep)
-        yield from _in_batches(rows())
-
-    return run
+    """Names in a folder; a listing that breaks off is an error."""
+    with os.scandir(folder) as entries:
+        for entry in entries:
+            yield entry.name
 
 
-def scan_files(roots: DataFrame, levels: int = 2) -> DataFrame:
+def _listable(folder: str) -> bool:
+    try:
+        for _ in _children(folder):
+            pass
+    except OSError:
+        return False
+    return True
+
+
+def _stage(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Look at each entry, and name what is in it if it is a folder. A link is shown as the
+    kind of its target but, other than a root, not followed."""
+    def rows():
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                is_root = not (r.rel_dir or r.name)
+                if is_root and not os.path.lexists(r.root):
+                    continue
+                entry = _look(*r[:4])
+                yield entry
+                below = os.path.join(r.rel_dir, r.name) if r.rel_dir else r.name
+                path = os.path.join(r.root, below) if below else r.root
+                if entry[4] and entry[6] and (is_root or not os.path.islink(path)):
+                    for child in _children(path):
+                        yield _unseen(r.backup_id, r.root, below, child)
+
+    yield from _in_batches(rows())
+
+
+def scan_files(roots: DataFrame) -> DataFrame:
     """Inventory of the folders in ``roots`` (backup_id, root).
 
-    The first ``levels`` levels are listed with a shuffle after each: a listing yields
-    names only, and the look at each file, which is what takes time, is spread over the
-    cluster, also for one very large folder. Folders below are walked by the task that
-    owns them. A root that does not exist gives no row.
+    Folders are listed level by level until nothing is left, with a shuffle in between: a
+    listing yields names only, and the look at each entry, which is what takes time, is
+    spread over the cluster, however deep a tree is and however large one folder. Each
+    level is written down, so a lost executor repeats one level at most. A root
+    that does not exist gives no row; ``listing_issues`` names folders that could not be listed.
     """
-    tasks = task_count(roots.sparkSession)
-    found = roots.select(
+    spark = roots.sparkSession
+    tasks = task_count(spark)
+    unseen = roots.select(
         "backup_id", "root", F.lit("").alias("rel_dir"), F.lit("").alias("name"),
         F.lit(False).alias("is_dir"), F.lit(0).cast("bigint").alias("length"),
         F.lit(False).alias("readable"), F.lit(False).alias("seen"))
-    for level in range(levels + 1):
-        found = found.repartition(tasks, "root", "rel_dir", "name").mapInPandas(
-            _stage(deep=level == levels), ENTRY)
-    return found.drop("seen")
+    inventory = spark.createDataFrame([], ENTRY)
+    while True:
+        level = materialized(unseen.repartition(tasks, "root", "rel_dir", "name").mapInPandas(_stage, ENTRY), "level")
+        inventory = inventory.unionByName(level.where("seen"))
+        unseen = level.where("not seen")
+        if unseen.isEmpty():
+            return inventory.drop("seen")
+
 
+def listing_issues(inventory: DataFrame) -> DataFrame:
+    """Folders that exist and could not be listed to their end."""
+    path = F.concat_ws("/", F.when(F.col("rel_dir") != "", F.col("rel_dir")), "name")
+    return issue_rows(inventory.where("is_dir and not readable"), "LISTING_FAILED", path, F.lit(""))
 
-OUTPUT = "backup_id string, output_dir string, writable boolean, entries bigint, usable bigint"
+
+OUTPUT = ("backup_id string, output_dir string, writable boolean, entries bigint, usable bigint, "
+          "device bigint")
 
 
 def _probe_outputs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for r in batch.itertuples(index=False):
-            existing = os.path.abspath(r.output_dir)
-            while not os.path.exists(existing) and existing != os.path.dirname(existing):
-                existing = os.path.dirname(existing)
-            space = os.statvfs(existing)
-            entries = sum(1 for _ in _children(r.output_dir)) if os.path.isdir(r.output_dir) else None
-            rows.append((r.backup_id, r.output_dir, os.access(existing, os.W_OK), entries,
-                         space.f_bavail * space.f_frsize))
+            rows.append((r.backup_id, r.output_dir, *_probe(r.output_dir)))
         out = pd.DataFrame(rows, columns=_columns(OUTPUT))
-        out["entries"] = out["entries"].astype("Int64")
+        for column in ("entries", "usable", "device"):
+            out[column] = out[column].astype("Int64")
         yield out
 
 
+def _probe(folder: str) -> tuple:
+    """(writable, entries, usable, device). What cannot be looked at is not writable."""
+    existing = os.path.abspath(folder)
+    try:
+        while not os.path.exists(existing) and existing != os.path.dirname(existing):
+            existing = os.path.dirname(existing)
+        space, device = os.statvfs(existing), os.stat(existing).st_dev
+        entries = sum(1 for _ in _children(folder)) if os.path.isdir(folder) else None
+    except OSError:
+        return False, None, None, None
+    usable = os.path.isdir(existing) and os.access(existing, os.W_OK)
+    return usable, entries, space.f_bavail * space.f_frsize, device
+
+
 def scan_outputs(outputs: DataFrame) -> DataFrame:
-    """State of output directories (backup_id, output_dir): writable, entries, space."""
+    """State of output directories (backup_id, output_dir): writable, entries, space and
+    the device that has it."""
     return outputs.select("backup_id", "output_dir").repartition(
         task_count(outputs.sparkSession), "output_dir").mapInPandas(_probe_outputs, OUTPUT)
 
@@ -154,27 +178,37 @@ def read_tails(files: DataFrame) -> DataFrame:
         _read_tails, f"{schema}, tail binary")
 
 
-def _read_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for i in range(len(batch)):
-            one = batch.iloc[i:i + 1]
-            try:
-                with open(one["path"].iloc[0], encoding="utf-8", errors="replace") as f:
-                    yield one.assign(content=[f.read()])
-            except OSError:
-                yield one.assign(content=[None])
+#: A schema or a state is a few megabytes; a file beyond this is no such document.
+MOST_BYTES = 256 << 20
 
 
-def read_texts(files: DataFrame) -> DataFrame:
-    """Whole text of small files such as schemas and state documents, one per row."""
+def _reader(as_text: bool):
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i in range(len(batch)):
+                one = batch.iloc[i:i + 1]
+                try:
+                    with open(one["path"].iloc[0], "rb") as f:
+                        whole = f.read(MOST_BYTES + 1)
+                except OSError:
+                    whole = None
+                if whole is not None and len(whole) > MOST_BYTES:
+                    whole = None
+                yield one.assign(content=[whole.decode("utf-8", "replace") if as_text and whole is not None else whole])
+
+    return read
+
+
+def read_documents(files: DataFrame) -> DataFrame:
+    """Bytes of small files such as schemas and state documents, one per row; NULL where a
+    file cannot be read or has more than ``MOST_BYTES``."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema)
     return files.repartition(task_count(files.sparkSession), "path").mapInPandas(
-        _read_texts, f"{schema}, content string")
+        _reader(as_text=False), f"{schema}, content binary")
 
 
-def inventory_of(paths: DataFrame) -> DataFrame:
-    """Inventory columns for plain file paths (backup_id, path, length)."""
-    return paths.select(
-        "backup_id", F.regexp_replace("path", r"/?[^/]*\z", "").alias("rel_dir"),
-        F.regexp_extract("path", r"([^/]*)\z", 1).alias("name"),
-        F.lit(False).alias("is_dir"), "length", F.lit(True).alias("readable"))
+def read_texts(files: DataFrame) -> DataFrame:
+    """The same as text in UTF-8; bytes that are none show as replacement characters."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema)
+    return files.repartition(task_count(files.sparkSession), "path").mapInPandas(
+        _reader(as_text=True), f"{schema}, content string")

@@ -17,9 +17,9 @@ CHUNK = 1 << 16
 BATCH = 5_000
 
 
-def _declarations(content: str) -> Iterator[tuple]:
-    """(kind, pos, name, value) in document order; a last row of kind 'error' where the
-    document is not well-formed."""
+def _declarations(content: bytes | str) -> list[tuple]:
+    """(kind, pos, name, value) in document order; one row of kind 'error' and no other where
+    the document is not well-formed. Bytes are read in the encoding that they declare."""
     found: list[tuple] = []
     position = 0
 
@@ -33,17 +33,16 @@ def _declarations(content: str) -> Iterator[tuple]:
             found.append(("ignored", position, attributes.get("name", ""), tag))
             position += 1
 
-    parser = expat.ParserCreate()
+    # text is decoded already, whatever it declares
+    parser = expat.ParserCreate("UTF-8" if isinstance(content, str) else None)
     parser.StartElementHandler = start
     try:
         for at in range(0, len(content), CHUNK):
             parser.Parse(content[at:at + CHUNK], False)
-            yield from found
-            found.clear()
-        parser.Parse("", True)
-    except expat.ExpatError as e:
-        yield from found
-        yield "error", position, "", str(e)
+        parser.Parse("" if isinstance(content, str) else b"", True)
+    except (expat.ExpatError, LookupError, ValueError) as e:
+        return [("error", 0, "", str(e))]
+    return found
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -61,11 +60,11 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def schema_declarations(documents: DataFrame) -> DataFrame:
-    """All declarations of the schema documents (backup_id, content).
+    """All declarations of the schema documents (backup_id, content), bytes or text.
 
     Elements count at any depth and only under their exact tag name; a missing
     attribute is an empty string; ``pos`` follows the document. A document that is
-    not well-formed adds a row of kind ``error``."""
+    not well-formed is rejected: it gives a row of kind ``error`` and nothing else."""
     return documents.select("backup_id", "content").mapInPandas(_parse, DECLARATION)
 
 

@@ -1,54 +1,62 @@
 """Waiting for a cluster or a restored index, as a stream of health samples.
 
-The same readiness rule as for stored samples decides; the state kept per wait is three
-timestamps, and a wait is forgotten once the watermark has passed its start."""
+What matters about a wait is its last sample and its first ready one, a maximum and a
+minimum. So each micro-batch reduces its own samples to one row per wait and appends them to a
+table, and reading the table merges the rows. Nothing is held between batches: samples may come
+in any order and arbitrarily late, none is dropped, and no state grows in the stream."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import TimestampType
 
 from ..operators.status import health_ready
 from ..session import scratch_dir
 
 
-def watch_health(samples: DataFrame, keys: list[str], expected_nodes: Column, timeout_s: int,
-                 retention: str = "1 day") -> DataFrame:
-    """Outcome of each wait, updated as samples arrive.
-
-    ``samples`` is a stream of keys + (started, ts, content): when the wait began, when
-    the sample was taken, and the health reply."""
-    judged = health_ready(samples, expected_nodes).withWatermark("started", retention)
-    spans = judged.groupBy(*keys, "started").agg(
+def _spans(judged: DataFrame, keys: list[str]) -> DataFrame:
+    return judged.groupBy(*keys, "started").agg(
         F.max("ts").alias("last_sample"),
         F.min(F.when(F.col("cluster_ready"), F.col("ts"))).alias("ready_at"))
-    deadline = F.col("started") + F.expr(f"INTERVAL {int(timeout_s)} SECONDS")
-    return spans.withColumn(
-        "outcome",
-        F.when(F.col("ready_at") <= deadline, F.lit("ready"))
-        .when(F.col("last_sample") >= deadline, F.lit("timeout"))
-        .otherwise(F.lit("waiting")))
 
 
-def drain(updates: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """Run an updating stream over what is available now and return the last state of
-    every key. Updates go to a table in the shared scratch folder, as does the
-    stream's own checkpoint, so a restart continues where it stopped."""
-    spark = updates.sparkSession
-    columns = updates.columns
+def drain(samples: DataFrame, keys: list[str], expected_nodes: Column, label: str) -> DataFrame:
+    """Run a stream of samples over what is available now: one row per wait and batch.
+
+    ``samples`` is a stream of keys + (started, ts, content): when the wait began, when
+    the sample was taken, and the health reply. Rows go to a table in the shared scratch
+    folder, as does the stream's checkpoint, so a restart continues where it stopped."""
+    spark = samples.sparkSession
     table, progress = scratch_dir(spark, label), scratch_dir(spark, f"{label}-progress")
 
     def append(batch: DataFrame, batch_id: int) -> None:
         # one folder per batch: a batch that runs again replaces its own rows
-        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
+        _spans(health_ready(batch, expected_nodes), keys).write.mode("overwrite").parquet(
             f"{table}/batch={batch_id}")
 
-    query = (updates.writeStream.outputMode("update").foreachBatch(append)
-             .option("checkpointLocation", progress).trigger(availableNow=True).start())
-    query.awaitTermination()
-    schema = StructType([*updates.schema.fields, StructField("batch_id", LongType())])
-    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(table)
-    values = [c for c in columns if c not in keys]
-    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("v"))
-    return last.select(*keys, "v.*")
+    (samples.writeStream.foreachBatch(append).option("checkpointLocation", progress)
+     .trigger(availableNow=True).start().awaitTermination())
+    schema = samples.select(*keys, "started").schema
+    for name in ("last_sample", "ready_at"):
+        schema = schema.add(name, TimestampType())
+    # an empty table, should the stream have had no batch
+    spark.createDataFrame([], schema).write.parquet(f"{table}/batch=none")
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(table)
+
+
+def watch_health(spans: DataFrame, keys: list[str], timeout_s: int,
+                 as_of: Column | None = None) -> DataFrame:
+    """Outcome of each wait from the rows of all batches so far.
+
+    A wait is over time once it, or the clock ``as_of`` if one is given, is past its deadline;
+    without a clock a wait that gets no further sample stays open."""
+    merged = spans.groupBy(*keys, "started").agg(
+        F.max("last_sample").alias("last_sample"), F.min("ready_at").alias("ready_at"))
+    deadline = F.col("started") + F.expr(f"INTERVAL {int(timeout_s)} SECONDS")
+    seen = F.col("last_sample") if as_of is None else F.greatest("last_sample", as_of)
+    return merged.withColumn(
+        "outcome",
+        F.when(F.col("ready_at") <= deadline, F.lit("ready"))
+        .when(seen >= deadline, F.lit("timeout"))
+        .otherwise(F.lit("waiting")))

@@ -43,11 +43,10 @@ def listing(root):
     return out
 
 
-@pytest.mark.parametrize("levels", [0, 1, 2, 6])
-def test_scan(spark, tree, levels):
+def test_scan(spark, tree):
     roots = spark.createDataFrame([("a", tree), ("b", tree + "-nowhere"), ("c", f"{tree}/empty")],
                                   "backup_id string, root string")
-    got = files.scan_files(roots, levels).collect()
+    got = files.scan_files(roots).collect()
     assert {(r["rel_dir"], r["name"], r["is_dir"], r["length"])
             for r in got if r["backup_id"] == "a"} == listing(tree)
     assert len([r for r in got if r["backup_id"] == "a"]) == len(listing(tree))
@@ -60,12 +59,54 @@ def test_root_that_is_a_file(spark, tree):
     assert [r["is_dir"] for r in files.scan_files(roots).collect()] == [False]
 
 
+def test_links_and_deep_trees(spark, tmp_path):
+    deep = tmp_path / "/".join("abcdefgh")
+    deep.mkdir(parents=True)
+    (deep / "file").write_text("x")
+    os.symlink(tmp_path, tmp_path / "a" / "loop")
+    os.symlink(deep / "file", tmp_path / "link")
+    os.symlink(tmp_path / "nowhere", tmp_path / "broken")
+    roots = spark.createDataFrame([("a", str(tmp_path))], "backup_id string, root string")
+    got = {(r["rel_dir"], r["name"]): r for r in files.scan_files(roots).collect()}
+    assert len(got) == 1 + 8 + 4
+    assert got["a", "loop"]["is_dir"] and not got["", "link"]["is_dir"] and got["", "link"]["length"] == 1
+    assert not got["", "broken"]["readable"] and got["a/b/c/d/e/f/g/h", "file"]["length"] == 1
+
+
+def test_listing_that_breaks_off(tmp_path, monkeypatch):
+    class Broken:
+        def __enter__(self):
+            return iter(self.entries())
+
+        def __exit__(self, *_):
+            return False
+
+        def entries(self):
+            yield from ()
+            raise OSError("stale handle")
+
+    (tmp_path / "d").mkdir()
+    monkeypatch.setattr(files.os, "scandir", lambda _: Broken())
+    assert files._look("b", str(tmp_path), "", "d")[4:7] == (True, 0, False)
+    with pytest.raises(OSError):
+        list(files._children(str(tmp_path)))
+
+
+def test_folders_that_cannot_be_listed(spark, rows):
+    tree = spark.createDataFrame([("b", "x", "y", True, False), ("b", "", "", True, True), ("b", "x", "f", False, False)],
+                                 "backup_id string, rel_dir string, name string, is_dir boolean, readable boolean")
+    assert rows(files.listing_issues(tree), "severity", "code", "subject") == [("ERROR", "LISTING_FAILED", "x/y")]
+
+
 def test_outputs(spark, tree, tmp_path):
     df = spark.createDataFrame([("a", tree), ("b", str(tmp_path / "x/y/z"))],
                                "backup_id string, output_dir string")
     got = {r["backup_id"]: r for r in files.scan_outputs(df).collect()}
     assert got["a"]["entries"] == 4 and got["b"]["entries"] is None
     assert got["a"]["writable"] and got["b"]["writable"] and got["b"]["usable"] > 0
+    assert got["a"]["device"] == got["b"]["device"]
+    below = spark.createDataFrame([("f", f"{tree}/snapshot.shard1/zero/deeper")], "backup_id string, output_dir string")
+    assert files.scan_outputs(below).first()["writable"] is False
 
 
 def paths_of(spark, root):

@@ -76,6 +76,45 @@ def test_stream_of_samples(spark, rows, tmp_path):
      .repartition(3).write.parquet(str(tmp_path / "in")))
     stream = spark.readStream.schema("k string, started timestamp, ts timestamp, content string").option(
         "maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    got = drain(watch_health(stream, ["k"], F.lit(3), 100), ["k", "started"], "waits")
-    assert rows(got.withColumn("s", F.unix_timestamp("started") - START), "k", "s", "outcome") == [
+    spans = drain(stream, ["k"], F.lit(3), "waits")
+    shown = lambda df: rows(df.withColumn("s", F.unix_timestamp("started") - START), "k", "s", "outcome")
+    assert shown(watch_health(spans, ["k"], 100)) == [
         ("a", 0, "ready"), ("a", 500, "waiting"), ("b", 0, "timeout"), ("c", 0, "waiting")]
+    clock = F.timestamp_seconds(F.lit(START + 550))
+    assert shown(watch_health(spans, ["k"], 100, clock)) == [
+        ("a", 0, "ready"), ("a", 500, "waiting"), ("b", 0, "timeout"), ("c", 0, "timeout")]
+
+
+def test_stream_out_of_order(spark, rows, tmp_path):
+    """Many files, newest first, one per batch: the same outcomes as from stored samples."""
+    from searchshift.streaming.watch import drain, watch_health
+    good, bad = '{"number_of_nodes":3,"status":"green"}', "refused"
+    samples = [(f"k{i % 7}", 86400 * (i // 70), 86400 * (i // 70) + 13 * (i % 70), good if i % 11 == 0 else bad)
+               for i in range(420)]
+    stored = spark.createDataFrame(samples, "k string, s int, t int, content string").select(
+        "k", F.timestamp_seconds(F.col("s") + START).alias("started"),
+        F.timestamp_seconds(F.col("t") + START).alias("ts"), "content")
+    folder = str(tmp_path / "in.parquet")
+    for part in reversed(range(6)):
+        stored.where((F.unix_timestamp("started") - START) == 86400 * part).coalesce(1).write.mode("append").parquet(folder)
+    schema = "k string, started timestamp, ts timestamp, content string"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    got = watch_health(drain(stream, ["k"], F.lit(3), "waits"), ["k"], 300)
+    judged = status.health_ready(stored, F.lit(3))
+    want = judged.groupBy("k", "started").agg(
+        F.max("ts").alias("last_sample"), F.min(F.when(F.col("cluster_ready"), F.col("ts"))).alias("ready_at"))
+    assert rows(got.drop("outcome")) == rows(want) and got.count() == 42
+    assert {r["outcome"] for r in got.collect()} == {"ready", "timeout"}
+
+
+def test_stream_over_one_file(spark, tmp_path):
+    """A table that is one file, and a stream without any batch."""
+    from searchshift.streaming.watch import drain
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    pq.write_table(pa.table({"k": ["a"], "content": ["refused"]}), str(tmp_path / "one.parquet"))
+    stream = spark.readStream.schema("k string, content string").parquet(str(tmp_path / "{one}.parquet"))
+    now = F.timestamp_seconds(F.lit(START))
+    timed = stream.select("k", now.alias("started"), now.alias("ts"), "content")
+    assert drain(timed, ["k"], F.lit(3), "one").count() == 1
+    assert drain(timed.where("k = 'b'"), ["k"], F.lit(3), "none").count() == 0

@@ -30,7 +30,7 @@ def output_codes(spark, files, shards=2):
     expected = spark.createDataFrame([("b", i) for i in range(shards)],
                                      "backup_id string, shard_id bigint")
     found = validate.union_issues(
-        validate.repo_files(tree), validate.index_latest_size(tree),
+        validate.repo_files(tree, expected), validate.index_latest_size(tree),
         validate.index_dirs(tree, expected), validate.shard_files(tree, expected))
     return sorted(r["code"] for r in found.collect())
 
@@ -43,8 +43,8 @@ def without(*prefixes):
     (GOOD, []), (without("index-0"), ["REPO_INDEX_MISSING"]),
     (without("index.latest"), ["REPO_LATEST_MISSING"]), (without("snap-"), ["REPO_SNAPSHOT_MISSING"]),
     (without("meta-"), ["REPO_METADATA_MISSING"]), ({**GOOD, "index.latest": 3}, ["REPO_LATEST_SIZE"]),
-    (without("indices"), ["INDICES_DIR_MISSING"]),
-    ({**without("indices"), "indices/": 0}, ["INDEX_DIR_MISSING"]),
+    (without("indices"), ["INDICES_DIR_MISSING", "OUTPUT_SHARD_MISSING", "OUTPUT_SHARD_MISSING"]),
+    ({**without("indices"), "indices/": 0}, ["INDEX_DIR_MISSING", "OUTPUT_SHARD_MISSING", "OUTPUT_SHARD_MISSING"]),
     (without("indices/ix/meta"), ["INDEX_METADATA_MISSING"]),
     (without("indices/ix/1"), ["OUTPUT_SHARD_MISSING"]),
     (without("indices/ix/0/snap"), ["SHARD_SNAPSHOT_MISSING"]),
@@ -59,6 +59,15 @@ def test_output_tree(spark, files, codes):
     assert output_codes(spark, files) == codes
 
 
+def test_output_that_is_not_there(spark):
+    nothing = outputs(spark, {}).limit(0)
+    expected = spark.createDataFrame([("b", 0)], "backup_id string, shard_id bigint")
+    found = [r["code"] for d in (validate.repo_files(nothing, expected), validate.index_dirs(nothing, expected),
+                                 validate.shard_files(nothing, expected)) for r in d.collect()]
+    assert sorted(found) == ["INDICES_DIR_MISSING", "OUTPUT_SHARD_MISSING", "REPO_INDEX_MISSING", "REPO_LATEST_MISSING",
+                             "REPO_METADATA_MISSING", "REPO_SNAPSHOT_MISSING"]
+
+
 def test_input_present(spark, rows):
     tree = inventory(spark, {"ok": [shard(1), shard(2)], "short": [shard(1)]})
     tree = tree.unionByName(spark.createDataFrame(
@@ -112,10 +121,15 @@ def test_input_bytes(spark, rows):
 def test_disk_space(spark, rows):
     sizes = spark.createDataFrame([("a", 1000), ("b", 1000), ("c", 10 << 30)],
                                   "backup_id string, input_bytes bigint")
-    volumes = spark.createDataFrame([("a", 1100), ("b", 1099), ("c", 1 << 30)],
-                                    "backup_id string, usable bigint")
+    volumes = spark.createDataFrame([("a", 1100, 1), ("b", 1099, 2), ("c", 1 << 30, 3)],
+                                    "backup_id string, usable bigint, device bigint")
     assert rows(validate.disk_space(sizes, volumes), "backup_id", "severity", "detail") == [
         ("b", "WARN", "need 1.1 KB, have 1.1 KB"), ("c", "WARN", "need 11.00 GB, have 1.00 GB")]
+    # two that fit alone and not together
+    shared = spark.createDataFrame([("a", 2000, 1), ("b", 2000, 1), ("c", None, None)],
+                                   "backup_id string, usable bigint, device bigint")
+    assert rows(validate.disk_space(sizes, shared), "backup_id", "detail") == [
+        ("a", "need 2.1 KB, have 2.0 KB"), ("b", "need 2.1 KB, have 2.0 KB")]
 
 
 def test_gate_and_summary(spark, rows):
