@@ -312,4 +312,4 @@ def missing_files(segments: DataFrame, files: DataFrame) -> DataFrame:
     absent = referenced_files(segments).join(
         files, ["backup_id", "shard_id", "name"], "left_anti").distinct()
     return issue_rows(absent, "FILE_MISSING",
-                      F.concat(F.lit("shard "), F.col("shard_id").cast("string")), F.col("name"))
+                      F.concat(F.lit("shard "), (F.col("shard_id") + 1).cast("string")), F.col("name"))

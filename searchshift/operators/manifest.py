@@ -30,7 +30,7 @@ def footer_checksum(files: DataFrame) -> DataFrame:
 def footer_issues(footers: DataFrame) -> DataFrame:
     bad = footers.filter(F.col("checksum").isNull())
     return issue_rows(bad, "FOOTER_INVALID",
-                      F.concat(F.lit("shard "), F.col("shard_id").cast("string")), F.col("name"))
+                      F.concat(F.lit("shard "), (F.col("shard_id") + 1).cast("string")), F.col("name"))
 
 
 def verify_checksum(files: DataFrame) -> DataFrame:
@@ -41,6 +41,12 @@ def verify_checksum(files: DataFrame) -> DataFrame:
     return files.withColumn("intact", checksum_value(F.col("checksum")) == F.col("crc"))
 
 
+def checksum_issues(verified: DataFrame) -> DataFrame:
+    """Files whose bytes do not have the checksum that they store."""
+    return issue_rows(verified.filter(~F.col("intact")), "CHECKSUM_MISMATCH",
+                      F.concat(F.lit("shard "), (F.col("shard_id") + 1).cast("string")), F.col("name"))
+
+
 def with_meta_hash(manifest: DataFrame) -> DataFrame:
     return manifest.withColumn("meta_hash", meta_hash(
         F.col("name"), F.col("length"), F.col("checksum"), F.col("written_by")))

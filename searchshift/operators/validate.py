@@ -12,10 +12,15 @@ from .joins import join_parents
 
 
 def _shard_label() -> Column:
-    """Shards are numbered from 1 in messages about the input."""
+    """Shards are numbered from 1 in all messages."""
     return F.concat(F.lit("shard "), (F.col("shard_id") + 1).cast("string"))
 
 
+def _folder_label() -> Column:
+    """The same for a shard known by its folder, which is numbered from 0."""
+    return F.concat(F.lit("shard "), (F.col("dir").try_cast("bigint") + 1).cast("string"))
+
+
 def input_present(planned: DataFrame, shards: DataFrame, inventory: DataFrame) -> DataFrame:
     """Input directory and planned shard directories exist and can be read.
 
@@ -41,6 +46,46 @@ def input_present(planned: DataFrame, shards: DataFrame, inventory: DataFrame) -
     )
 
 
+def shared_targets(backups: DataFrame) -> DataFrame:
+    """Backups that occur twice, and outputs that meet another backup's folders.
+
+    ``backups`` is (backup_id, input_dir, output_dir). An output may be neither the same
+    as, nor inside, nor around another output, and neither inside nor around any input.
+    Folders meet by equal paths among their parents, so nothing is compared pairwise."""
+    def clean(path: Column) -> Column:
+        return F.concat(F.lit("/"), F.array_join(F.filter(F.split(path, "/+"), lambda p: ~p.isin("", ".")), "/"))
+
+    def with_parents(folders: DataFrame) -> DataFrame:
+        names = F.split("folder", "/")
+        return folders.select("*", F.explode(F.transform(
+            F.sequence(F.lit(1), F.size(names)), lambda n: F.array_join(F.slice(names, 1, n), "/"))).alias("parent"))
+
+    twice = backups.groupBy("backup_id").agg(F.count("*").alias("n")).where("n > 1")
+    folders = backups.select("backup_id", F.explode(F.array(
+        F.struct(F.lit("in").alias("side"), clean(F.col("input_dir")).alias("folder")),
+        F.struct(F.lit("out").alias("side"), clean(F.col("output_dir")).alias("folder")))).alias("f")).select(
+        "backup_id", "f.*").distinct()
+    # one row per folder, so that a folder that all share stays one row
+    used = folders.groupBy("folder").agg(
+        F.min(F.when(F.col("side") == "out", F.col("backup_id"))).alias("first"),
+        F.max(F.when(F.col("side") == "out", F.col("backup_id"))).alias("last"),
+        F.max(F.col("side") == "in").alias("is_input"))
+    mine = with_parents(folders)
+    # above: a folder whose parent, or which itself, is in use by another
+    met = mine.join(used.withColumnRenamed("folder", "parent"), "parent")
+    other = (F.col("first") != F.col("backup_id")) | (F.col("last") != F.col("backup_id"))
+    inner = met.where((F.col("side") == "out") & (F.coalesce(other, F.lit(False)) | F.col("is_input"))).select("backup_id")
+    # below: an output that is a parent of another's folder, or of any input
+    around = with_parents(used).where("parent <> folder").groupBy("parent").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.max("is_input").alias("is_input"))
+    outer = folders.where("side = 'out'").join(around.withColumnRenamed("parent", "folder"), "folder").where(
+        F.coalesce(other, F.lit(False)) | F.col("is_input")).select("backup_id")
+    bad = inner.unionByName(outer).distinct().join(
+        backups.groupBy("backup_id").agg(F.min("output_dir").alias("output_dir")), "backup_id")
+    return issue_rows(twice, "DUPLICATE_BACKUP", F.lit(""), F.col("n")).unionByName(
+        issue_rows(bad, "OUTPUT_SHARED", F.col("output_dir"), F.lit("")))
+
+
 def output_state(outputs: DataFrame) -> DataFrame:
     """Output directory writable and empty.
 
@@ -219,8 +264,7 @@ def index_dirs(outputs: DataFrame, shards: DataFrame) -> DataFrame:
         .join(present, ["backup_id", "index_dir", "dir"], "left_anti")
     )
     return level.unionByName(
-        issue_rows(absent, "OUTPUT_SHARD_MISSING", F.concat(F.lit("shard "), F.col("dir")),
-                   nothing))
+        issue_rows(absent, "OUTPUT_SHARD_MISSING", _folder_label(), nothing))
 
 
 def shard_files(outputs: DataFrame, shards: DataFrame) -> DataFrame:
@@ -240,7 +284,7 @@ def shard_files(outputs: DataFrame, shards: DataFrame) -> DataFrame:
         _any(~own & snap).alias("snap"), _any(~own & index & ~snap).alias("index"),
         F.count_if(~own & ~snap & ~index).alias("others"))
     expected = shards.select("backup_id", F.col("shard_id").cast("string").alias("dir"))
-    label, nothing = F.concat(F.lit("shard "), F.col("dir")), F.lit("")
+    label, nothing = _folder_label(), F.lit("")
     return emit(
         join_parents(flags.join(expected, ["backup_id", "dir"], "left_semi"),
                      pick_index_dir(outputs).select("backup_id", "index_dir"),

@@ -2,14 +2,16 @@
 
 Each stage hands over a table written to the shared scratch folder, so a folder is
 listed once and a lost executor repeats one stage at most. A backup that fails a check
-drops out with its issues; the others go on.
+drops out with its issues; the others go on. Everything is written below a folder beside
+the output, ``<output_dir>.staging``, checked there and moved to its place afterwards, the
+pointer file last; what fails stays in that folder, and a rerun writes over it.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
@@ -19,9 +21,10 @@ from ..operators.issues import issue_rows, union_issues
 from ..operators.joins import join_parents
 from ..session import materialized
 from ..sinks.copy import RANGE_BYTES, copy_files
-from ..sinks.repository import write_repository
+from ..sinks.repository import publish_trees, write_repository
 from ..sources import schema as schema_source
-from ..sources.files import read_tails, read_texts, scan_files, scan_outputs
+from ..sources.files import (listing_issues, read_documents, read_tails, read_texts, scan_files,
+                             scan_outputs)
 from ..sources.state import collection_state
 
 
@@ -29,7 +32,8 @@ class Conversion(NamedTuple):
     results: DataFrame   # one row per converted backup: totals, ids, replicas, complete
     shards: DataFrame    # one row per shard of them
     issues: DataFrame    # everything found, of all backups
-    written: DataFrame   # metadata files written (root, rel_path, length, parts)
+    written: DataFrame   # metadata files written (root, rel_path, length, parts, ok)
+    commits: DataFrame   # the entries that each shard's commit has to carry
 
 
 def _texts(inventory: DataFrame, roots: DataFrame, candidates: tuple[str, ...]) -> DataFrame:
@@ -46,7 +50,7 @@ def _mapping_parts(plan: DataFrame, roots: DataFrame):
     """Mapping document parts of the planned backups, and what their schemas raise."""
     paths = plan.filter(F.col("schema_path").isNotNull()).join(roots, "backup_id").select(
         "backup_id", F.concat_ws("/", "root", "schema_path").alias("path"))
-    declarations = materialized(schema_source.schema_declarations(read_texts(paths)), "schemas")
+    declarations = materialized(schema_source.schema_declarations(read_documents(paths)), "schemas")
     mapped = mapping.map_field_types(
         mapping.visible_fields(schema_source.schema_fields(declarations)),
         schema_source.schema_types(declarations))
@@ -61,15 +65,19 @@ def _mapping_parts(plan: DataFrame, roots: DataFrame):
 
 def _referenced(segments: DataFrame, inventory: DataFrame, shards: DataFrame) -> DataFrame:
     """Files of each shard that its commit refers to, the commit file among them:
-    (backup_id, shard_id, name, written_by)."""
+    (backup_id, shard_id, name, written_by). All files of a shard have the version of its
+    commit, whatever wrote their segment."""
     keys = ["backup_id", "shard_id"]
-    version = version_order(F.col("lucene_version"))
-    versions = segments.groupBy(*keys).agg(F.max(version).alias("version"))
-    commits = detect.latest_commit(inventory).join(shards, ["backup_id", "dir"]).join(
-        versions, keys).select(*keys, F.col("commit_file").alias("name"), "version")
-    listed = segments.select(*keys, F.explode("files").alias("name"), version.alias("version"))
-    return listed.unionByName(commits).groupBy(*keys, "name").agg(
-        version_text(F.max("version")).alias("written_by"))
+    versions = segments.groupBy(*keys).agg(
+        version_text(F.max(version_order(F.col("lucene_version")))).alias("written_by"))
+    commits = detect.latest_commit(inventory).join(shards, ["backup_id", "dir"]).select(
+        *keys, F.col("commit_file").alias("name"))
+    listed = segments.select(*keys, F.explode("files").alias("name"))
+    return join_parents(listed.unionByName(commits).distinct(), versions, keys, spread=["name"])
+
+
+def _staged(column: str = "output_dir") -> Column:
+    return F.concat(F.rtrim(F.col(column), F.lit("/")), F.lit(".staging"))
 
 
 def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
@@ -78,6 +86,9 @@ def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
 
     ``segments`` holds the commit contents of the planned shards, with ``replicas`` < 0
     meaning that the source decides. ``now_ms`` is the time written to the documents."""
+    clashes = materialized(validate.shared_targets(backups), "clashes")
+    backups = materialized(validate.validation_gate(backups, clashes), "backups")
+    segments = materialized(segments, "segments")
     roots = backups.select("backup_id", F.col("input_dir").alias("root"))
     inventory = materialized(scan_files(roots).drop("root"), "inventory")
     formats = materialized(detect.classify_format(inventory), "formats")
@@ -106,15 +117,19 @@ def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
                            spread=["shard_id", "segment"], how="left_semi")
     missing = materialized(detect.missing_files(planned, shard_entries), "missing")
     before = materialized(union_issues(
-        absent, detect.detection_issues(formats), detect.unmatched_shard_dirs(inventory),
+        clashes, absent, listing_issues(inventory), detect.commit_name_issues(inventory),
+        detect.detection_issues(formats), detect.unmatched_shard_dirs(inventory),
         validate.input_present(plan, shards, inventory), validate.output_state(outputs),
         validate.segment_health(shards, segments),
         validate.disk_space(validate.input_bytes(inventory, shards), outputs), missing), "issues")
     accepted = validate.validation_gate(plan, before)
     mapping_parts, schema_issues = _mapping_parts(accepted, roots)
+    # before a byte is copied
+    schema_issues = materialized(schema_issues, "issues")
+    accepted = materialized(validate.validation_gate(accepted, schema_issues), "accepted")
 
     # copy the live files and describe them
-    targets = accepted.select("backup_id", "output_dir").join(roots, "backup_id")
+    targets = accepted.select("backup_id", _staged().alias("output_dir")).join(roots, "backup_id")
     referenced = _referenced(segments, inventory, shards)
     live = join_parents(
         shard_entries.join(referenced, ["backup_id", "shard_id", "name"]), targets,
@@ -127,10 +142,13 @@ def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
     copied = materialized(copy_files(live, range_bytes), "copied")
     uncopied = live.join(copied.filter(~F.col("ok")), ["path", "target"], "left_semi")
     footers = materialized(manifest.footer_checksum(read_tails(live)), "footers")
+    # the copy has read every byte, so comparing with what the file stores costs no look
+    verified = manifest.verify_checksum(footers.join(
+        copied.where("ok").select("path", "target", F.col("lead_crc").alias("crc")), ["path", "target"]))
     during = materialized(union_issues(
-        schema_issues, manifest.footer_issues(footers),
+        schema_issues, manifest.footer_issues(footers), manifest.checksum_issues(verified),
         issue_rows(uncopied, "COPY_FAILED",
-                   F.concat(F.lit("shard "), F.col("shard_id").cast("string")), F.col("name"))),
+                   F.concat(F.lit("shard "), (F.col("shard_id") + 1).cast("string")), F.col("name"))),
         "issues")
     described = manifest.with_meta_hash(
         validate.validation_gate(footers, during)).select(
@@ -160,20 +178,24 @@ def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
         .unionByName(documents.shard_snapshot_doc(chunks, named, now_ms))
         .unionByName(documents.shard_index_doc(chunks, rollup))
     )
-    rooted = join_parents(parts, totals.select("backup_id", F.col("output_dir").alias("root")),
-                          ["backup_id"], spread=["rel_path", "part"])
-    written = materialized(write_repository(rooted), "written")
-
-    # check the output
-    produced = materialized(scan_files(
-        totals.select("backup_id", F.col("output_dir").alias("root")), levels=4), "produced")
-    after = union_issues(
-        validate.repo_files(produced), validate.index_latest_size(produced),
-        validate.index_dirs(produced, rollup), validate.shard_files(produced, rollup))
-    after = materialized(after, "issues")
+    places = totals.select("backup_id", "output_dir", _staged().alias("root"))
+    rooted = join_parents(parts, places.select("backup_id", "root"), ["backup_id"], spread=["rel_path", "part"])
+    written = materialized(join_parents(write_repository(rooted), places, ["root"], spread=["rel_path"]), "written")
+
+    # check what was written and move it to its place
+    produced = materialized(scan_files(places.select("backup_id", "root")).drop("root"), "produced")
+    checked = materialized(union_issues(
+        issue_rows(written.where("not ok"), "WRITE_FAILED", F.col("rel_path"), F.lit("")),
+        validate.repo_files(produced, rollup), validate.index_latest_size(produced),
+        validate.index_dirs(produced, rollup), validate.shard_files(produced, rollup)), "issues")
+    ready = validate.validation_gate(places, checked).select(
+        "backup_id", F.col("root").alias("staged"), F.col("output_dir").alias("target"))
+    moved = materialized(publish_trees(ready, rules.REPO_LATEST), "moved")
+    after = union_issues(checked, issue_rows(moved.where("not ok"), "WRITE_FAILED", F.lit(""), F.lit("")))
     return Conversion(
         results=validate.validation_gate(totals, after),
         shards=manifest.shard_breakdown(rollup, totals),
         issues=union_issues(before, during, after),
-        written=written)
+        written=written.select(F.col("output_dir").alias("root"), "rel_path", "length", "parts", "ok"),
+        commits=manifest.commit_user_data(rollup))
 

@@ -215,7 +215,7 @@ def _(t):
 
 @query("missing_files", f"""
 WITH {REFERENCED} SELECT backup_id, 'WARN' AS severity, 'FILE_MISSING' AS code,
-  'shard ' || shard_id AS subject, name AS detail FROM referenced r WHERE NOT EXISTS (
+  'shard ' || (shard_id + 1) AS subject, name AS detail FROM referenced r WHERE NOT EXISTS (
   SELECT 1 FROM fx_files f WHERE r.backup_id = f.backup_id AND r.shard_id = f.shard_id AND r.name = f.name)""")
 def _(t):
     segments = with_files(t.fx_segments.filter(F.col("segment").isNotNull()))

@@ -104,7 +104,7 @@ index_issues AS (
     WHERE candidates > 1
   UNION ALL SELECT backup_id, 'ERROR', 'INDEX_METADATA_MISSING', index_dir, '' FROM level
     WHERE index_dir IS NOT NULL AND NOT has_meta
-  UNION ALL SELECT s.backup_id, 'ERROR', 'OUTPUT_SHARD_MISSING', 'shard ' || s.shard_id, ''
+  UNION ALL SELECT s.backup_id, 'ERROR', 'OUTPUT_SHARD_MISSING', 'shard ' || (s.shard_id + 1), ''
     FROM fx_out_shards s WHERE NOT EXISTS (
       SELECT 1 FROM shard_present x WHERE x.backup_id = s.backup_id AND x.dir = CAST(s.shard_id AS VARCHAR)))"""
 
@@ -116,10 +116,10 @@ shard_flags AS (
   FROM shard_present x JOIN fx_out_shards s ON s.backup_id = x.backup_id AND x.dir = CAST(s.shard_id AS VARCHAR)
   LEFT JOIN fx_out o ON o.backup_id = x.backup_id AND o.rel_dir = x.path GROUP BY 1, 2),
 file_issues AS (
-  SELECT backup_id, 'ERROR' AS severity, 'SHARD_SNAPSHOT_MISSING' AS code, 'shard ' || dir AS subject, '' AS detail
+  SELECT backup_id, 'ERROR' AS severity, 'SHARD_SNAPSHOT_MISSING' AS code, 'shard ' || (dir::BIGINT + 1) AS subject, '' AS detail
   FROM shard_flags WHERE NOT snap
-  UNION ALL SELECT backup_id, 'ERROR', 'SHARD_INDEX_MISSING', 'shard ' || dir, '' FROM shard_flags WHERE NOT idx
-  UNION ALL SELECT backup_id, 'WARN', 'SHARD_FILES_MISSING', 'shard ' || dir, '' FROM shard_flags WHERE others = 0)"""
+  UNION ALL SELECT backup_id, 'ERROR', 'SHARD_INDEX_MISSING', 'shard ' || (dir::BIGINT + 1), '' FROM shard_flags WHERE NOT idx
+  UNION ALL SELECT backup_id, 'WARN', 'SHARD_FILES_MISSING', 'shard ' || (dir::BIGINT + 1), '' FROM shard_flags WHERE others = 0)"""
 
 ALL = ",\n".join([INPUT, OUTPUT_STATE, HEALTH, DISK, REPO, LATEST, INDEX_DIRS, SHARD_FILES]) + """,
 issues AS (

@@ -19,7 +19,9 @@ from ..session import task_count
 
 RANGE_BYTES = 128 << 20
 BLOCK_BYTES = 4 << 20
-RESULT = "path string, target string, bytes bigint, crc bigint, ok boolean"
+RESULT = "path string, target string, bytes bigint, crc bigint, lead_crc bigint, ok boolean"
+#: Bytes of a stored checksum at the end of a file, which it does not cover.
+STORED = 8
 
 
 def _process(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -32,7 +34,9 @@ def _process(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _one_range(path, target, offset, count, total, folders):
-    crc, done, out = 0, 0, None
+    crc, lead, done, out = 0, 0, 0, None
+    # bytes of this range that a stored checksum covers
+    covered = max(0, min(count, total - STORED - offset))
     try:
         with open(path, "rb") as source:
             if target is not None:
@@ -48,17 +52,19 @@ def _one_range(path, target, offset, count, total, folders):
                 if not block:
                     break
                 crc = zlib.crc32(block, crc)
+                lead = zlib.crc32(block[:max(0, covered - done)], lead)
                 if out is not None:
                     written = 0
                     while written < len(block):
                         written += os.pwrite(out, block[written:], offset + done + written)
                 done += len(block)
     except OSError:
-        return path, target, done, 0, False
+        return path, target, done, 0, 0, False
     finally:
         if out is not None:
             os.close(out)
-    return path, target, done, advance(crc, total - offset - count), done == count
+    after = max(0, total - STORED - offset - covered)
+    return path, target, done, advance(crc, total - offset - count), advance(lead, after), done == count
 
 
 def _ranges(files: DataFrame, range_bytes: int) -> DataFrame:
@@ -76,14 +82,14 @@ def _run(files: DataFrame, range_bytes: int) -> DataFrame:
         task_count(files.sparkSession), "path", "offset")
     return spread.mapInPandas(_process, RESULT).groupBy("path", "target").agg(
         F.sum("bytes").alias("length"), F.bit_xor("crc").alias("crc"),
-        F.min("ok").alias("ok"))
+        F.bit_xor("lead_crc").alias("lead_crc"), F.min("ok").alias("ok"))
 
 
 def copy_files(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Copy files (path, target, length) byte for byte, replacing what is there.
 
-    Returns (path, target, length, crc, ok); a source that is missing or shorter than
-    stated is not ok."""
+    Returns (path, target, length, crc, lead_crc, ok), the second checksum leaving out the
+    last eight bytes; a source that is missing or shorter than stated is not ok."""
     return _run(files.select("path", "target", F.col("length").alias("total")), range_bytes)
 
 
@@ -92,4 +98,4 @@ def file_crc(files: DataFrame, leave_out: int = 0, range_bytes: int = RANGE_BYTE
     return _run(files.select(
         "path", F.lit(None).cast("string").alias("target"),
         F.greatest(F.lit(0).cast("bigint"), F.col("length") - leave_out).alias("total")),
-        range_bytes).drop("target")
+        range_bytes).drop("target", "lead_crc")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.numbering import running_total
 from ..session import materialized, task_count
 
-WRITTEN = "root string, rel_path string, bytes bigint"
+WRITTEN = "root string, rel_path string, bytes bigint, ok boolean"
 
 
 def _write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -20,28 +20,36 @@ def _write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for r in batch.itertuples(index=False):
-            path = os.path.join(r.root, r.rel_path)
-            folder = os.path.dirname(path)
-            if folder not in folders:
-                os.makedirs(folder, exist_ok=True)
-                folders.add(folder)
-            out = os.open(path, os.O_WRONLY | os.O_CREAT, 0o644)
+            body = bytes(r.body)
             try:
-                if os.fstat(out).st_size > r.total:
-                    os.ftruncate(out, r.total)
-                body = bytes(r.body)
-                done = 0
-                while done < len(body):
-                    done += os.pwrite(out, body[done:], r.offset + done)
-            finally:
-                os.close(out)
-            rows.append((r.root, r.rel_path, len(body)))
-        yield pd.DataFrame(rows, columns=["root", "rel_path", "bytes"])
+                _put(os.path.join(r.root, r.rel_path), body, r.offset, r.total, folders)
+            except OSError:  # one bad target must not end the job for the others
+                rows.append((r.root, r.rel_path, 0, False))
+            else:
+                rows.append((r.root, r.rel_path, len(body), True))
+        yield pd.DataFrame(rows, columns=["root", "rel_path", "bytes", "ok"])
+
+
+def _put(path: str, body: bytes, offset: int, total: int, folders: set[str]) -> None:
+    folder = os.path.dirname(path)
+    if folder not in folders:
+        os.makedirs(folder, exist_ok=True)
+        folders.add(folder)
+    out = os.open(path, os.O_WRONLY | os.O_CREAT, 0o644)
+    try:
+        if os.fstat(out).st_size > total:
+            os.ftruncate(out, total)
+        done = 0
+        while done < len(body):
+            done += os.pwrite(out, body[done:], offset + done)
+    finally:
+        os.close(out)
 
 
 def write_repository(parts: DataFrame) -> DataFrame:
     """Write document parts (root, rel_path, part, body) and return the files written:
-    (root, rel_path, length, parts).
+    (root, rel_path, length, parts, ok); a file with a part that could not be written is not
+    ok. A part that occurs twice is an error, as the file would be neither of the two.
 
     Each part goes to its own offset in the file, which follows from the lengths of
     the parts before it, so one long document is written by many tasks, and a task
@@ -51,14 +59,18 @@ def write_repository(parts: DataFrame) -> DataFrame:
     tasks = task_count(parts.sparkSession)
     sized = parts.withColumn("body", F.col("body").cast("binary"))
     sized = materialized(sized.withColumn("bytes", F.octet_length("body").cast("bigint")), "parts")
+    twice = sized.groupBy(*keys, "part").agg(F.count("*").alias("n")).where("n > 1").first()
+    if twice is not None:
+        raise ValueError(f"part {twice['part']} of {twice['root']}/{twice['rel_path']} occurs {twice['n']} times")
     places = running_total(sized.select(*keys, "part", "bytes"), keys, "part", "bytes",
                            before="offset", total="total")
     # both sides laid out for the join in the partitions that write: one move of the bodies
     bodies = sized.select(*keys, "part", "body").repartition(tasks, *keys, "part")
     offsets = places.select(*keys, "part", "offset", "total").repartition(tasks, *keys, "part")
-    written = bodies.join(offsets.hint("shuffle_hash"), [*keys, "part"]).select(
+    written = bodies.join(offsets, [*keys, "part"]).select(
         *keys, "body", "offset", "total").mapInPandas(_write, WRITTEN)
-    return written.groupBy(*keys).agg(F.sum("bytes").alias("length"), F.count("*").alias("parts"))
+    return written.groupBy(*keys).agg(F.sum("bytes").alias("length"), F.count("*").alias("parts"),
+                                      F.min("ok").alias("ok"))
 
 
 def write_files(files: DataFrame) -> DataFrame:
@@ -69,7 +81,45 @@ def write_files(files: DataFrame) -> DataFrame:
         "root", "rel_path", body.alias("body"), F.lit(0).cast("bigint").alias("offset"),
         F.octet_length(body).cast("bigint").alias("total")).mapInPandas(_write, WRITTEN)
     return written.select("root", "rel_path", F.col("bytes").alias("length"),
-                          F.lit(1).cast("bigint").alias("parts"))
+                          F.lit(1).cast("bigint").alias("parts"), "ok")
+
+
+MOVED = "backup_id string, ok boolean"
+
+
+def _move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = [(r.backup_id, _publish(r.staged, r.target, r.last)) for r in batch.itertuples(index=False)]
+        yield pd.DataFrame(rows, columns=["backup_id", "ok"])
+
+
+def _publish(staged: str, target: str, last: str) -> bool:
+    """Move a finished tree to its place, the file named ``last`` after all others. What was
+    moved by an attempt that was lost stays moved, so the move can be repeated."""
+    def put(folder: str, into: str) -> None:
+        os.makedirs(into, exist_ok=True)
+        for name in sorted(os.listdir(folder), key=lambda n: (n == last, n)):
+            source, place = os.path.join(folder, name), os.path.join(into, name)
+            if os.path.isdir(source):
+                put(source, place)
+                os.rmdir(source)
+            else:
+                os.replace(source, place)
+
+    try:
+        if os.path.isdir(staged):
+            put(staged, target)
+            os.rmdir(staged)
+        return os.path.exists(os.path.join(target, last))
+    except OSError:
+        return False
+
+
+def publish_trees(trees: DataFrame, last: str) -> DataFrame:
+    """Move trees (backup_id, staged, target) from where they were written and checked to
+    where they belong, file by file within one file system: (backup_id, ok)."""
+    return trees.select("backup_id", "staged", "target", F.lit(last).alias("last")).repartition(
+        task_count(trees.sparkSession), "backup_id").mapInPandas(_move, MOVED)
 
 
 def batch_documents(batches: DataFrame) -> DataFrame:

@@ -27,6 +27,8 @@ def make(root):
         index_file(f"{root}/{backup}/{folder}/segments_1", b"older commit")
         write(f"{root}/{backup}/{folder}/_stale.fdt", "not referenced")
         segments.append((backup, number, "_0", 10 * (number + 1), version, list(names)))
+        if backup == "cloud":  # an older segment of the same commit
+            segments.append((backup, number, "_x", 0, "8.11.4", list(names[:1])))
 
     shard("cloud", 0, "snapshot.shard1", ["_0.fdt", "_0.si"])
     shard("cloud", 1, "snapshot.shard2", ["_0.fdt", "_0.si", "_0.gone"], absent=("_0.gone",))
@@ -40,6 +42,12 @@ def make(root):
     shard("badfile", 0, "index", ["_0.cfs"])
     write(f"{root}/badfile/index/_0.cfs", "no footer here, but long enough to hold one")
     write(f"{root}/incremental/backup_0.properties")
+    shard("torn", 0, "index", ["_0.cfs"])
+    with open(f"{root}/torn/index/_0.cfs", "r+b") as f:
+        f.write(b"?")
+    shard("blocked", 0, "index", ["_0.cfs"])
+    for name in ("twice", "outer", "inner", "own"):
+        shard(name, 0, "index", ["_0.cfs"])
     return segments
 
 
@@ -47,9 +55,13 @@ def test_backups_of_every_fate(spark, tmp_path, rows):
     root, out = str(tmp_path / "in"), str(tmp_path / "out")
     segments = spark.createDataFrame(make(root), "backup_id string, shard_id bigint, segment string, "
                                      "max_doc bigint, lucene_version string, files array<string>")
-    names = ["cloud", "single", "old", "gap", "badxml", "badfile", "incremental", "absent"]
+    names = ["cloud", "single", "old", "gap", "badxml", "badfile", "incremental", "absent", "torn", "twice", "twice"]
+    write(f"{out}/file", "not a folder")
+    odd = [("blocked", f"{out}/file/below"), ("outer", f"{out}/shared/"), ("inner", f"{out}//shared/./in"),
+           ("own", f"{root}/own/out")]
     backups = spark.createDataFrame(
-        [(n, f"{root}/{n}", f"{out}/{n}", f"idx_{n}", 4 if n == "single" else -1) for n in names],
+        [(n, f"{root}/{n}", f"{out}/{n}", f"idx_{n}", 4 if n == "single" else -1) for n in names]
+        + [(n, f"{root}/{n}", o, f"idx_{n}", -1) for n, o in odd],
         "backup_id string, input_dir string, output_dir string, index_name string, replicas int")
     done = convert_backups(backups, segments, 1700000000000, range_bytes=64)
 
@@ -63,7 +75,9 @@ def test_backups_of_every_fate(spark, tmp_path, rows):
     errors = {(b, c) for b, s, c in rows(done.issues, "backup_id", "severity", "code") if s == "ERROR"}
     assert errors == {("old", "LIBRARY_TOO_OLD"), ("gap", "SHARD_GAP"), ("badxml", "SCHEMA_UNREADABLE"),
                       ("badfile", "FOOTER_INVALID"), ("incremental", "INCREMENTAL_BACKUP"),
-                      ("absent", "NOT_A_DIRECTORY")}
+                      ("absent", "NOT_A_DIRECTORY"), ("torn", "CHECKSUM_MISMATCH"),
+                      ("blocked", "OUTPUT_NOT_WRITABLE"), ("twice", "DUPLICATE_BACKUP"), ("outer", "OUTPUT_SHARED"),
+                      ("inner", "OUTPUT_SHARED"), ("own", "OUTPUT_SHARED")}
     warnings = {(b, c) for b, s, c in rows(done.issues, "backup_id", "severity", "code") if s == "WARN"}
     assert {("cloud", "FILE_MISSING"), ("single", "SCHEMA_MISSING")} <= warnings
     assert {r["backup_id"] for r in done.shards.collect()} == {"cloud"}
@@ -96,6 +110,10 @@ def test_backups_of_every_fate(spark, tmp_path, rows):
         os.path.relpath(f"{d}/{n}", base) for d, _, names in os.walk(base) for n in names
         if n.startswith(("snap-", "meta-", "index"))}
     assert not os.path.exists(f"{out}/old") and not os.path.exists(f"{out}/gap")
+    assert not os.path.exists(f"{out}/badxml") and not os.path.exists(f"{out}/badxml.staging")
+    assert not os.path.exists(f"{out}/torn") and not os.path.exists(f"{out}/cloud.staging")
+    commits = {(r["backup_id"], r["shard_id"]): r["user_data"] for r in done.commits.collect()}
+    assert set(commits) == {("cloud", 0), ("cloud", 1), ("single", 0)} and commits["cloud", 1]["max_seq_no"] == "19"
 
     # a second run over the same output changes nothing but the warning
     again = convert_backups(backups, segments, 1700000000000)
@@ -103,3 +121,50 @@ def test_backups_of_every_fate(spark, tmp_path, rows):
         k: r["index_id"] for k, r in results.items()}
     assert ("cloud", "OUTPUT_NOT_EMPTY") in set(rows(again.issues, "backup_id", "code"))
     assert ("cloud", "INDEX_DIR_MULTIPLE") not in set(rows(again.issues, "backup_id", "code"))
+
+
+def test_versions_and_commit_names(spark, tmp_path):
+    """One version per shard, and the commit under the name it has."""
+    from searchshift.operators import detect
+    from searchshift.plans.convert import _referenced
+    inventory = spark.createDataFrame(
+        [("b", "index", n, False) for n in ("segments_0A", "segments_2", "segments_zzzzzzzzzzzzz")],
+        "backup_id string, rel_dir string, name string, is_dir boolean")
+    shards = spark.createDataFrame([("b", 0, "index")], "backup_id string, shard_id bigint, dir string")
+    segments = spark.createDataFrame([("b", 0, "8.11.4", ["_0.a"]), ("b", 0, "9.8.0", ["_1.a", "_0.a"])],
+                                     "backup_id string, shard_id bigint, lucene_version string, files array<string>")
+    got = _referenced(segments, inventory, shards)
+    assert sorted((r["name"], r["written_by"]) for r in got.collect()) == [
+        ("_0.a", "9.8.0"), ("_1.a", "9.8.0"), ("segments_0A", "9.8.0")]
+    assert [(r["code"], r["detail"]) for r in detect.commit_name_issues(inventory).collect()] == [
+        ("COMMIT_NAME_INVALID", "segments_zzzzzzzzzzzzz")]
+
+
+def test_parts_that_occur_twice(spark, tmp_path):
+    import pytest
+
+    from searchshift.sinks.repository import write_repository
+    parts = spark.createDataFrame([(str(tmp_path), "a", 0, "x"), (str(tmp_path), "a", 0, "y")],
+                                  "root string, rel_path string, part bigint, body string")
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        write_repository(parts)
+
+
+def test_one_bad_root_beside_a_good_one(spark, tmp_path):
+    from searchshift.sinks.repository import write_repository
+    write(f"{tmp_path}/file", "in the way")
+    parts = spark.createDataFrame([(f"{tmp_path}/good", "a/b", 0, "x"), (f"{tmp_path}/file/below", "a", 0, "y")],
+                                  "root string, rel_path string, part bigint, body string")
+    got = {r["rel_path"]: r["ok"] for r in write_repository(parts).collect()}
+    assert got == {"a/b": True, "a": False} and os.path.getsize(f"{tmp_path}/good/a/b") == 1
+
+
+def test_shared_targets(spark, rows):
+    from searchshift.operators.validate import shared_targets
+    df = spark.createDataFrame(
+        [("a", "/in/a", "/out/a"), ("b", "/in/b", "/out/a/"), ("c", "/in/c", "/out/cc"), ("d", "/in/d", "/out/cc/x/y"),
+         ("e", "/in/e", "/in/c/out"), ("f", "/in/f/g", "/in/f"), ("g", "/in/g", "/out/g"), ("g", "/in/g", "/out/g"),
+         ("h", "/in/same", "/out/h"), ("i", "/in/same", "/out/hh")], "backup_id string, input_dir string, output_dir string")
+    assert rows(shared_targets(df), "backup_id", "code") == [
+        ("a", "OUTPUT_SHARED"), ("b", "OUTPUT_SHARED"), ("c", "OUTPUT_SHARED"), ("d", "OUTPUT_SHARED"),
+        ("e", "OUTPUT_SHARED"), ("f", "OUTPUT_SHARED"), ("g", "DUPLICATE_BACKUP")]

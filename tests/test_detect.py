@@ -152,4 +152,4 @@ def test_live_and_missing_files(spark, rows):
                                   "backup_id string, shard_id bigint, name string, length bigint")
     assert rows(detect.live_files(segments, files), "name", "length") == [("_0.a", 1), ("_0.b", 2)]
     assert rows(detect.missing_files(segments, files)) == [
-        ("b", "WARN", "FILE_MISSING", "shard 0", "_1.a")]
+        ("b", "WARN", "FILE_MISSING", "shard 1", "_1.a")]
