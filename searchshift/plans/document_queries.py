@@ -106,7 +106,7 @@ def _(t):
 
 
 @query("footer_issues", f"""
-SELECT source AS backup_id, 'ERROR' AS severity, 'FOOTER_INVALID' AS code, 'shard 0' AS subject,
+SELECT source AS backup_id, 'ERROR' AS severity, 'FOOTER_INVALID' AS code, 'shard 1' AS subject,
   '_' || doc_id || '.fdt' AS detail FROM documents WHERE {_CHECKSUM} IS NULL""")
 def _(t):
     return manifest.footer_issues(manifest.footer_checksum(_tails(t)))

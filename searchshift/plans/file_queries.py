@@ -107,11 +107,11 @@ def _backup_trees(t, label: str):
                               F.concat(text, lead, stored).alias("body"))
     sources = t.documents.select("source").distinct()
     every = sources.select("source", F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("shard"))
+    head = F.concat(F.lit("commit").cast("binary"), lead)
     commits = every.select(
         F.concat("source", F.lit("/snapshot.shard"), (F.col("shard") + 1).cast("string"),
                  F.lit("/segments_3")).alias("rel_path"),
-        F.concat(F.lit("commit").cast("binary"), lead, F.unhex(F.lit("0000000000000001")))
-        .alias("body"))
+        F.concat(head, F.unhex(F.lpad(F.hex(F.crc32(head)), 16, "0"))).alias("body"))
     schema = F.concat(
         F.lit('<schema><fieldType name="body" class="solr.TextField"/><field name="text" type="body"/>'
               '<field name="lang" type="string"/><field name="_version_" type="plong"/><field name="'),
