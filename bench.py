@@ -19,9 +19,9 @@ HEADLINE = (
     "issue_summary", "segment_health", "index_dirs", "shard_files", "meta_hash", "shard_rollup",
     "conversion_rollup", "repo_index_doc", "index_doc", "shard_snapshot_doc", "shard_index_doc",
     "count_all", "match_text", "term_keyword", "range_numeric", "range_date", "metric_aggs",
-    "reconcile_counts", "reconcile_rows", "dataset_stats", "generate_records", "expected_matrix",
+    "reconcile_counts", "reconcile_rows", "dataset_stats", "expected_matrix",
     "batch_records", "shard_leaders", "wait_outcome", "matrix_status",
-    "write_repository", "copy_files", "verify_checksum",
+    "write_repository", "copy_files", "verify_checksum", "convert_backups",
 )
 
 

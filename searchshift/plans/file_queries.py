@@ -11,7 +11,7 @@ from ..operators.numbering import number_rows
 from ..session import materialized, scratch_dir, shared_path
 from ..sinks.copy import copy_files, file_crc
 from ..sinks.repository import write_batches, write_repository
-from ..sources import files, records
+from ..sources import files
 from ..sources.records import batch_records, batch_summary, load_records
 from .catalog import query
 from .convert import convert_backups
@@ -167,30 +167,36 @@ def _(t):
     return convert_backups(backups, segments, 1717243200000, range_bytes=1 << 16).issues
 
 
-def _trip_batches(t, label: str):
+#: Orders as records, and the mapped type of each field.
+ORDER_TYPES = {"id": "long", "status": "keyword", "placed": "date", "cents": "long", "priority": "text"}
+
+
+def _order_batches(t, label: str):
+    """Orders as JSON batches of 500 below a new folder; the folder."""
     root = shared_path(scratch_dir(t.spark, label))
-    trips = records.generate_trips(t.orders.select((F.col("o_orderkey") + 1).alias("id_number")))
-    return root, materialized(write_batches(batch_records(trips, ["id"]), root), "written")
+    orders = t.orders.select(
+        F.col("o_orderkey").cast("bigint").alias("id"), F.col("o_orderstatus").alias("status"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("placed"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+        F.col("o_orderpriority").alias("priority"))
+    materialized(write_batches(batch_records(orders, ["id"]), root), "written")
+    return root
 
 
 @query("write_batches", """
-SELECT 'batch_' || b || '.json' AS rel_path FROM (SELECT DISTINCT (row_number() OVER (ORDER BY o_orderkey) - 1) // 500 AS b
-  FROM orders) x""")
+SELECT 'batch_' || b || '.json' AS name, md5('[' || string_agg('{"id":' || o_orderkey || ',"status":"' || o_orderstatus
+    || '","placed":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') || '","cents":' || CAST(round(o_totalprice * 100) AS BIGINT)
+    || ',"priority":"' || o_orderpriority || '"}', ',' ORDER BY o_orderkey) || ']') AS body_md5
+FROM (SELECT *, (row_number() OVER (ORDER BY o_orderkey) - 1) // 500 AS b FROM orders) x GROUP BY b""")
 def _(t):
-    return _trip_batches(t, "batches")[1].select("rel_path")
-
-
-from .verification_queries import trips_sql  # noqa: E402
+    root = _order_batches(t, "batches")
+    files_read = t.spark.read.text(root, wholetext=True)
+    return files_read.select(F.col("_metadata.file_name").alias("name"), F.md5("value").alias("body_md5"))
 
 
-@query("load_records", f"""
-WITH {trips_sql('SELECT o_orderkey + 1 AS id FROM orders')}
-SELECT id, vendor_id, passenger_count, trip_distance, fare_amount, total_amount, trip_description,
-  CAST(strptime(pickup_datetime, '%Y-%m-%dT%H:%M:%SZ') AS TIMESTAMP) AS pickup FROM trips""")
+@query("load_records", """
+SELECT CAST(o_orderkey AS BIGINT) AS id, o_orderstatus AS status, CAST(o_orderdate AS TIMESTAMP) AS placed,
+  CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderpriority AS priority FROM orders""")
 def _(t):
-    root, _ = _trip_batches(t, "load")
-    loaded = load_records(t.spark, root, records.TRIP_TYPES)
-    return loaded.select(
-        "id", "vendor_id", "passenger_count", "trip_distance", "fare_amount", "total_amount",
-        "trip_description",
-        utc_wall_clock(F.col("pickup_datetime")).alias("pickup"))
+    loaded = load_records(t.spark, _order_batches(t, "load"), ORDER_TYPES)
+    return loaded.withColumn("placed", utc_wall_clock(F.col("placed")))

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import date_range, match_text, range_filter, term
 from ..operators import mapping, reconcile, search, status
-from ..sources.records import PRIME, _constants, generate_trips
 from .catalog import query
 
 TOKENS = "list_filter(regexp_split_to_array(lower({c}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
@@ -203,124 +202,51 @@ def _(t):
                                    ["o_orderstatus", "o_orderpriority"])
 
 
-def trip_checks(trips):
-    """The ten checks of a restored trip index."""
-    pickup = F.to_timestamp_ntz("pickup_datetime", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    june = trips.withColumn("pickup", pickup)
-    return june, {
+def order_checks(orders):
+    """Ten checks of restored orders, of all the kinds that a restored index is asked."""
+    def average(column):
+        return F.sum(F.round(column).cast("bigint")) / F.count("*")
+
+    return {
         "total": F.count("*"),
-        "vendor CMT": F.count_if(match_text(F.col("vendor_id"), "CMT")),
-        "fare from 20": F.count_if(range_filter(F.col("fare_amount"), gte=20.0)),
-        "June 2024": F.count_if(date_range(june, "pickup", gte="2024-06-01", lte="2024-06-30")),
-        "payment CRD": F.count_if(match_text(F.col("payment_type"), "CRD")),
-        "passengers from 4": F.count_if(range_filter(F.col("passenger_count"), gte=4)),
-        "airport": F.count_if(match_text(F.col("trip_description"), "airport")),
-        "average fare": F.sum(F.round(F.col("fare_amount") * 100).cast("bigint")) / F.count("*"),
-        "total revenue": F.sum(F.round(F.col("total_amount") * 100).cast("bigint")),
-        "average distance": F.sum(F.round(F.col("trip_distance") * 100).cast("bigint")) / F.count("*"),
+        "status F": F.count_if(term(F.col("o_orderstatus"), "F")),
+        "price from 150000": F.count_if(range_filter(F.col("o_totalprice"), gte=150000.0)),
+        "June 1997": F.count_if(date_range(orders, "o_orderdate", gte="1997-06-01", lte="1997-06-30")),
+        "urgent": F.count_if(match_text(F.col("o_orderpriority"), "urgent")),
+        "customers from 50": F.count_if(range_filter(F.col("o_custkey"), gte=50)),
+        "not specified": F.count_if(match_text(F.col("o_orderpriority"), "not specified", "and")),
+        "average price": average(F.col("o_totalprice") * 100),
+        "total revenue": F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")),
+        "average customer": average(F.col("o_custkey")),
     }
 
 
-NUMBERS_ONLY = ("average fare", "total revenue", "average distance")
-
-
-def _draw(field: str, n: str | int) -> str:
-    a, b, c = _constants(42, field)
-    x = f"((id % {PRIME}) * {a} + {b}) % {PRIME}"
-    return f"((({x}) * ({x}) + {c}) % {PRIME} % {n})"
-
-
-def _pick(field: str, pool) -> str:
-    values = ", ".join("'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v) for v in pool)
-    return f"[{values}][{_draw(field, len(pool))} + 1]"
-
-
-def trips_sql(ids: str) -> str:
-    """The generated records in SQL, from rows of ``id``."""
-    from ..sources import records as r
-
-    lat = r.LATITUDE_MICRO[1] - r.LATITUDE_MICRO[0] + 1
-    lon = r.LONGITUDE_MICRO[1] - r.LONGITUDE_MICRO[0] + 1
-    return f"""
-ids AS ({ids}),
-drawn AS (
-  SELECT id, TIMESTAMP '2024-01-01' + to_days(CAST({_draw('days', 365)} AS INTEGER))
-      + to_hours({_draw('hours', 24)}) + to_minutes({_draw('minutes', 60)})
-      + to_seconds({_draw('seconds', 60)}) AS pickup,
-    {_draw('trip_time', 3541)} + 60 AS trip_time, {_draw('distance', 2491)} + 10 AS distance,
-    {_draw('fare_noise', 401)} - 100 AS noise, {_pick('surcharge', r.SURCHARGE_CENTS)} AS surcharge,
-    {_pick('tolls', r.TOLL_CENTS)} AS tolls, {_draw('has_tip', 10)} >= 3 AS has_tip,
-    {_pick('pickup_hood', r.NEIGHBORHOODS)} AS a, {_pick('dropoff_hood', r.NEIGHBORHOODS)} AS b,
-    {_pick('weather', r.WEATHER)} AS w, {_pick('road', r.ROADS)} AS road FROM ids),
-priced AS (SELECT *, greatest(250, 250 + distance * 5 // 2 + noise) AS fare FROM drawn),
-tipped AS (SELECT *, CASE WHEN has_tip THEN {_draw('tip', '(fare * 3 // 10 + 1)')} ELSE 0 END AS tip FROM priced),
-trips AS (
-  SELECT 'taxi_' || CASE WHEN id >= 10000 THEN CAST(id AS VARCHAR) ELSE lpad(CAST(id AS VARCHAR), 5, '0') END AS id,
-    chr(CAST({_draw('medallion_letter', 26)} + 65 AS INTEGER))
-      || lpad(CAST({_draw('medallion_number', 39)} + 1 AS VARCHAR), 3, '0') AS medallion,
-    {_pick('vendor', r.VENDORS)} AS vendor_id, CAST({_draw('rate_code', 5)} + 1 AS INTEGER) AS rate_code,
-    strftime(pickup, '%Y-%m-%dT%H:%M:%SZ') AS pickup_datetime,
-    strftime(pickup + to_seconds(trip_time), '%Y-%m-%dT%H:%M:%SZ') AS dropoff_datetime,
-    CAST({_draw('passengers', 6)} + 1 AS INTEGER) AS passenger_count, CAST(trip_time AS INTEGER) AS trip_time_secs,
-    distance / 100.0::DOUBLE AS trip_distance,
-    ({_draw('pickup_lat', lat)} + {r.LATITUDE_MICRO[0]}) / 1000000.0::DOUBLE AS pickup_latitude,
-    ({_draw('pickup_lon', lon)} + {r.LONGITUDE_MICRO[0]}) / 1000000.0::DOUBLE AS pickup_longitude,
-    ({_draw('dropoff_lat', lat)} + {r.LATITUDE_MICRO[0]}) / 1000000.0::DOUBLE AS dropoff_latitude,
-    ({_draw('dropoff_lon', lon)} + {r.LONGITUDE_MICRO[0]}) / 1000000.0::DOUBLE AS dropoff_longitude,
-    {_pick('payment', r.PAYMENTS)} AS payment_type, fare / 100.0::DOUBLE AS fare_amount,
-    surcharge / 100.0::DOUBLE AS surcharge, tip / 100.0::DOUBLE AS tip_amount, tolls / 100.0::DOUBLE AS tolls_amount,
-    (fare + surcharge + tip + tolls) / 100.0::DOUBLE AS total_amount, {_pick('flag', r.FLAGS)} AS store_and_fwd_flag,
-    CASE {_draw('template', 8)}
-      WHEN 0 THEN 'Pickup near ' || a || ', dropoff near ' || b || '. ' || w || ' conditions.'
-      WHEN 1 THEN 'Short trip from ' || a || ' to ' || b || '. Passenger seemed in a hurry.'
-      WHEN 2 THEN 'Long ride through ' || a || ' area heading toward ' || b || '. ' || w || ' evening.'
-      WHEN 3 THEN 'Airport transfer from ' || a || '. Destination: ' || b || ' terminal area.'
-      WHEN 4 THEN 'Late night ride. Picked up at ' || a || ', dropped at ' || b || '.'
-      WHEN 5 THEN 'Morning commute run from ' || a || ' to ' || b || '. Heavy traffic on ' || road || '.'
-      WHEN 6 THEN 'Tourist trip: ' || a || ' sightseeing loop ending at ' || b || '.'
-      ELSE 'Business district transfer: ' || a || ' to ' || b || '. ' || w || ' day.' END AS trip_description
-  FROM tipped)"""
-
-
-def _ids(df):
-    return df.select((F.col("o_orderkey") + 1).alias("id_number"))
-
-
-@query("generate_records", f"""
-WITH {trips_sql('SELECT o_orderkey + 1 AS id FROM orders')} SELECT * FROM trips""")
-def _(t):
-    return generate_trips(_ids(t.orders))
+NUMBERS_ONLY = ("average price", "total revenue", "average customer")
 
 
 @query("expected_matrix", f"""
-WITH {trips_sql('SELECT o_orderkey + 1 AS id FROM orders')},
-kept AS (SELECT 'taxi_' || CASE WHEN o_orderkey + 1 >= 10000 THEN CAST(o_orderkey + 1 AS VARCHAR)
-    ELSE lpad(CAST(o_orderkey + 1 AS VARCHAR), 5, '0') END AS id FROM orders WHERE o_orderkey % 97 <> 0),
-checked AS (
-  SELECT t.*, t.id IN (SELECT id FROM kept) AS kept, CAST(round(fare_amount * 100) AS BIGINT) AS fare,
-    CAST(round(total_amount * 100) AS BIGINT) AS total, CAST(round(trip_distance * 100) AS BIGINT) AS dist
-  FROM trips t),
-sides AS (SELECT false AS restored, * FROM checked UNION ALL SELECT true, * FROM checked WHERE kept),
+WITH sides AS (
+  SELECT false AS restored, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, o_custkey FROM orders
+  UNION ALL SELECT true, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, o_custkey FROM fx_restored),
 results AS (
-  SELECT restored, unnest(['total', 'vendor CMT', 'fare from 20', 'June 2024', 'payment CRD', 'passengers from 4',
-      'airport', 'average fare', 'total revenue', 'average distance']) AS check,
-    unnest([count(*)::DOUBLE, count_if(vendor_id = 'CMT')::DOUBLE, count_if(fare_amount >= 20)::DOUBLE,
-      count_if(pickup_datetime LIKE '2024-06-%')::DOUBLE, count_if(payment_type = 'CRD')::DOUBLE,
-      count_if(passenger_count >= 4)::DOUBLE, count_if(trip_description LIKE '%Airport%')::DOUBLE,
-      sum(fare)::DOUBLE / count(*), sum(total)::DOUBLE, sum(dist)::DOUBLE / count(*)]) AS value
+  SELECT restored, unnest(['total', 'status F', 'price from 150000', 'June 1997', 'urgent', 'customers from 50',
+      'not specified', 'average price', 'total revenue', 'average customer']) AS check,
+    unnest([count(*)::DOUBLE, count_if(o_orderstatus = 'F')::DOUBLE, count_if(o_totalprice >= 150000)::DOUBLE,
+      count_if(year(o_orderdate) = 1997 AND month(o_orderdate) = 6)::DOUBLE, count_if(o_orderpriority LIKE '%URGENT%')::DOUBLE,
+      count_if(o_custkey >= 50)::DOUBLE, count_if(o_orderpriority LIKE '%NOT SPECIFIED%')::DOUBLE,
+      sum(CAST(round(o_totalprice * 100) AS BIGINT))::DOUBLE / count(*), sum(CAST(round(o_totalprice * 100) AS BIGINT))::DOUBLE,
+      sum(o_custkey)::DOUBLE / count(*)]) AS value
   FROM sides GROUP BY restored)
 SELECT e.check, a.value AS actual,
-  CASE WHEN e.check IN ('average fare', 'total revenue', 'average distance') THEN NULL ELSE e.value END AS expected,
-  CASE WHEN e.check IN ('average fare', 'total revenue', 'average distance') THEN a.value IS NOT NULL
+  CASE WHEN e.check IN ('average price', 'total revenue', 'average customer') THEN NULL ELSE e.value END AS expected,
+  CASE WHEN e.check IN ('average price', 'total revenue', 'average customer') THEN a.value IS NOT NULL
     ELSE a.value = e.value END AS passed
 FROM results e JOIN results a ON a.check = e.check AND a.restored AND NOT e.restored""")
 def _(t):
-    source, checks = trip_checks(generate_trips(_ids(t.orders)))
-    restored, _ = trip_checks(generate_trips(_ids(t.orders.filter(F.col("o_orderkey") % 97 != 0))))
-    value = F.when(~F.col("check").isin(*NUMBERS_ONLY), F.col("value"))
+    restored, value = t.fx_restored, F.when(~F.col("check").isin(*NUMBERS_ONLY), F.col("value"))
     return reconcile.expected_matrix(
-        reconcile.check_results(restored, checks),
-        reconcile.check_results(source, checks).withColumn("value", value))
+        reconcile.check_results(restored, order_checks(restored)),
+        reconcile.check_results(t.orders, order_checks(t.orders)).withColumn("value", value))
 
 
 # --- cluster status --------------------------------------------------------------

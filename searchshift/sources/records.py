@@ -1,169 +1,14 @@
-"""Test records: generation, loading, and cutting into batches."""
+"""Records: cutting into batches, and loading them back."""
 
 from __future__ import annotations
 
-import hashlib
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import rules
 from ..operators.mapping import spark_schema
 from ..operators.numbering import number_rows
 
-# Value pools of the generated records (fixed values).
-VENDORS = ("CMT", "VTS", "DDS")
-PAYMENTS = ("CSH", "CRD", "NOC", "DIS")
-SURCHARGE_CENTS = (0, 0, 50, 50, 100)
-TOLL_CENTS = (0, 0, 0, 0, 480, 554, 1108)
-FLAGS = ("Y", "N", "N", "N")
-LATITUDE_MICRO = (40_630_000, 40_850_000)
-LONGITUDE_MICRO = (-74_050_000, -73_750_000)
-NEIGHBORHOODS = (
-    "Midtown", "SoHo", "Tribeca", "Chelsea", "East Village", "West Village",
-    "Upper East Side", "Upper West Side", "Harlem", "Financial District",
-    "Chinatown", "Little Italy", "Gramercy", "Murray Hill", "Hell's Kitchen",
-    "Times Square", "Penn Station", "Grand Central", "Brooklyn Heights",
-    "Williamsburg", "DUMBO", "Park Slope", "Astoria", "Long Island City",
-    "JFK Airport", "LaGuardia Airport", "Newark Airport",
-)
-WEATHER = ("Clear", "Rainy", "Overcast", "Snowy", "Foggy", "Humid", "Windy")
-ROADS = ("FDR Drive", "West Side Highway", "Broadway", "5th Avenue", "Park Avenue",
-         "BQE", "Williamsburg Bridge", "Brooklyn Bridge", "Holland Tunnel")
-# Description templates: %1$s pick-up, %2$s drop-off, %3$s weather, %4$s road.
-TEMPLATES = (
-    "Pickup near %1$s, dropoff near %2$s. %3$s conditions.",
-    "Short trip from %1$s to %2$s. Passenger seemed in a hurry.",
-    "Long ride through %1$s area heading toward %2$s. %3$s evening.",
-    "Airport transfer from %1$s. Destination: %2$s terminal area.",
-    "Late night ride. Picked up at %1$s, dropped at %2$s.",
-    "Morning commute run from %1$s to %2$s. Heavy traffic on %4$s.",
-    "Tourist trip: %1$s sightseeing loop ending at %2$s.",
-    "Business district transfer: %1$s to %2$s. %3$s day.",
-)
-
-# Target type of each generated field.
-TRIP_TYPES = {
-    "id": "keyword", "medallion": "text", "vendor_id": "text", "rate_code": "integer",
-    "pickup_datetime": "date", "dropoff_datetime": "date", "passenger_count": "integer",
-    "trip_time_secs": "integer", "trip_distance": "double", "pickup_latitude": "double",
-    "pickup_longitude": "double", "dropoff_latitude": "double", "dropoff_longitude": "double",
-    "payment_type": "text", "fare_amount": "double", "surcharge": "double",
-    "tip_amount": "double", "tolls_amount": "double", "total_amount": "double",
-    "store_and_fwd_flag": "keyword", "trip_description": "text",
-}
-
-
-PRIME = 2 ** 31 - 1
-
-
-def _constants(seed: int, field: str) -> list[int]:
-    """Three field-specific numbers below the prime, from seed and field name."""
-    digest = hashlib.sha256(f"{seed}:{field}".encode()).digest()
-    return [1 + int.from_bytes(digest[i:i + 8], "big") % (PRIME - 1) for i in (0, 8, 16)]
-
-
-def generate_trips(ids: DataFrame, seed: int = 42) -> DataFrame:
-    """One trip record per row of ``ids`` (id_number bigint, from 1).
-
-    Every value is drawn from seed, number and field name alone, so a record does not
-    depend on partitioning or on other records. A draw is integer arithmetic modulo a
-    prime with one squaring, which stays in generated code. Money and distance are
-    drawn in hundredths as integers."""
-    number = F.col("id_number").cast("string")
-
-    def draw(field: str) -> Column:
-        """Spread integer below the prime."""
-        a, b, c = _constants(seed, field)
-        x = (F.col("id_number") % PRIME * a + b) % PRIME
-        return (x * x + c) % PRIME
-
-    def below(field: str, n: Column | int) -> Column:
-        return draw(field) % (n if isinstance(n, Column) else F.lit(n))
-
-    def between(field: str, low: int, high: int) -> Column:
-        return below(field, high - low + 1) + low
-
-    def pick(field: str, pool: tuple) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in pool]),
-                            (below(field, len(pool)) + 1).cast("int"))
-
-    def hundredths(cents: Column) -> Column:
-        return cents / F.lit(100.0)
-
-    def millionths(micro: Column) -> Column:
-        return micro / F.lit(1_000_000.0)
-
-    drawn = ids.select(
-        "id_number",
-        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-         + F.make_dt_interval(days=between("days", 0, 364).cast("int"),
-                              hours=between("hours", 0, 23).cast("int"),
-                              mins=between("minutes", 0, 59).cast("int"),
-                              secs=between("seconds", 0, 59).cast("decimal(18,6)"))).alias("pickup"),
-        between("trip_time", 60, 3600).cast("int").alias("trip_time"),
-        between("distance", 10, 2500).alias("distance"),
-        between("fare_noise", -100, 300).alias("fare_noise"),
-        pick("surcharge", SURCHARGE_CENTS).cast("bigint").alias("surcharge"),
-        pick("tolls", TOLL_CENTS).cast("bigint").alias("tolls"),
-        (below("has_tip", 10) >= 3).alias("has_tip"),
-        *[between(f, *LATITUDE_MICRO).alias(f) for f in ("pickup_lat", "dropoff_lat")],
-        *[between(f, *LONGITUDE_MICRO).alias(f) for f in ("pickup_lon", "dropoff_lon")],
-        pick("pickup_hood", NEIGHBORHOODS).alias("pickup_hood"),
-        pick("dropoff_hood", NEIGHBORHOODS).alias("dropoff_hood"),
-        pick("weather", WEATHER).alias("weather"), pick("road", ROADS).alias("road"),
-        (below("template", len(TEMPLATES)) + 1).cast("int").alias("template"),
-        F.concat(F.chr(below("medallion_letter", 26) + 65),
-                 F.lpad(between("medallion_number", 1, 39).cast("string"), 3, "0"))
-        .alias("medallion"),
-        pick("vendor", VENDORS).alias("vendor_id"),
-        between("rate_code", 1, 5).cast("int").alias("rate_code"),
-        between("passengers", 1, 6).cast("int").alias("passenger_count"),
-        pick("payment", PAYMENTS).alias("payment_type"),
-        pick("flag", FLAGS).alias("store_and_fwd_flag"),
-    )
-    priced = drawn.withColumn("fare", F.greatest(
-        F.lit(250).cast("bigint"),
-        250 + F.floor(F.col("distance") * 5 / 2) + F.col("fare_noise"))
-    ).withColumn("tip", F.when(
-        F.col("has_tip"), below("tip", F.floor(F.col("fare") * 3 / 10) + 1)
-    ).otherwise(F.lit(0).cast("bigint")))
-    text = F.lit(None).cast("string")
-    for i, template in enumerate(TEMPLATES, start=1):
-        text = F.when(F.col("template") == i, F.format_string(
-            template, "pickup_hood", "dropoff_hood", "weather", "road")).otherwise(text)
-
-    def iso(column: Column) -> Column:
-        return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-
-    return priced.select(
-        F.concat(F.lit("taxi_"), F.when(F.length(number) >= 5, number)
-                 .otherwise(F.lpad(number, 5, "0"))).alias("id"),
-        "medallion", "vendor_id", "rate_code",
-        iso(F.col("pickup")).alias("pickup_datetime"),
-        iso(F.col("pickup") + F.make_dt_interval(
-            secs=F.col("trip_time").cast("decimal(18,6)"))).alias("dropoff_datetime"),
-        "passenger_count", F.col("trip_time").alias("trip_time_secs"),
-        hundredths(F.col("distance")).alias("trip_distance"),
-        millionths(F.col("pickup_lat")).alias("pickup_latitude"),
-        millionths(F.col("pickup_lon")).alias("pickup_longitude"),
-        millionths(F.col("dropoff_lat")).alias("dropoff_latitude"),
-        millionths(F.col("dropoff_lon")).alias("dropoff_longitude"),
-        "payment_type",
-        hundredths(F.col("fare")).alias("fare_amount"),
-        hundredths(F.col("surcharge")).alias("surcharge"),
-        hundredths(F.col("tip")).alias("tip_amount"),
-        hundredths(F.col("tolls")).alias("tolls_amount"),
-        hundredths(F.col("fare") + F.col("surcharge") + F.col("tip") + F.col("tolls"))
-        .alias("total_amount"),
-        "store_and_fwd_flag",
-        text.alias("trip_description"),
-    )
-
-
-def generate_records(spark: SparkSession, n: int = 2000, seed: int = 42) -> DataFrame:
-    return generate_trips(spark.range(1, n + 1).withColumnRenamed("id", "id_number"), seed)
-
 
 def batch_records(df: DataFrame, order_cols: list[str], size: int = rules.BATCH_SIZE) -> DataFrame:
     """Rows with their position in input order and their batch, both from 0."""
