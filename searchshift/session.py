@@ -60,23 +60,21 @@ def _is_local(spark: SparkSession) -> bool:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or else the one given to
+    ``SparkContext.setCheckpointDir``.
 
-    A folder of our own is made only where the setting is absent and Spark runs in
-    a single process; on a cluster a missing setting is an error, since a
-    machine-local folder would not outlive a lost executor.
+    A folder of our own is made only where neither is set and Spark runs in a single
+    process; on a cluster a missing setting is an error, since a machine-local folder would
+    not outlive a lost executor.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root
     if not _is_local(spark):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="searchshift-"))
-        current = context.getCheckpointDir()
-    return current
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="searchshift-"))
+    return context.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
