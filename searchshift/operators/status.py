@@ -27,11 +27,14 @@ def shard_leaders(status: DataFrame, keys: list[str]) -> DataFrame:
     leader node; ``?`` where there is none."""
     collections = _parsed(status, STATUS).select(
         *keys, F.explode("_status.cluster.collections").alias("collection", "_collection"))
-    shards = collections.select(
+    # sizes come first, so that no shard's row carries the whole collection
+    sized = collections.select(
         *keys, "collection",
         F.coalesce(F.size("_collection.shards"), F.lit(0)).alias("shard_count"),
         F.coalesce("_collection.replicationFactor", F.lit("?")).alias("replication_factor"),
-        F.explode("_collection.shards").alias("shard", "_shard"))
+        F.col("_collection.shards").alias("_shards"))
+    shards = sized.select(*keys, "collection", "shard_count", "replication_factor",
+                          F.explode("_shards").alias("shard", "_shard"))
     replicas = F.map_values("_shard.replicas")
     leader = F.get(F.filter(replicas, lambda r: r["leader"] == "true"), 0)["node_name"]
     return shards.select(

@@ -153,7 +153,7 @@ WITH {CLASSIFY} SELECT backup_id, replication_factor,
 FROM (SELECT backup_id, replication_factor, CASE WHEN CAST(substring(backup_id, 2) AS BIGINT) % 4 = 0
         THEN CAST(substring(backup_id, 2) AS BIGINT) % 3 ELSE -1 END AS explicit FROM factors) x""")
 def _(t):
-    number = F.substring("backup_id", 2, 20).cast("bigint")
+    number = F.substr("backup_id", F.lit(2)).cast("bigint")
     asked = collection_state(t.fx_states).withColumn("format", F.lit("SOLRCLOUD_FULL")).withColumn(
         "asked", F.when(number % 4 == 0, (number % 3).cast("int")).otherwise(F.lit(-1)))
     return detect.resolve_replicas(asked, "asked").select(
@@ -165,16 +165,17 @@ WITH {CLASSIFY} SELECT backup_id, format, shard_count, schema_path, replication_
   CASE WHEN replication_factor > 0 THEN replication_factor - 1 ELSE 0 END AS replicas,
   CASE WHEN replication_factor > 0 THEN 'replication_factor' ELSE 'default' END AS replica_source FROM plan""")
 def _(t):
-    tree = t.fx_tree
+    # written down, as two operators read the tree
+    tree = materialized(t.fx_tree, "tree")
     return detect.conversion_plan(detect.classify_format(tree), detect.resolve_schema_path(tree),
                                   collection_state(t.fx_states))
 
 
 @query("plan_shards", f"WITH {CLASSIFY} SELECT backup_id, shard_id, dir FROM planned")
 def _(t):
-    tree = t.fx_tree
-    return detect.plan_shards(detect.classify_format(tree), detect.shard_dirs(tree),
-                              detect.standalone_index(tree))
+    tree = materialized(t.fx_tree, "tree")
+    formats = materialized(detect.classify_format(tree), "formats")
+    return detect.plan_shards(formats, detect.shard_dirs(tree), detect.standalone_index(tree))
 
 
 @query("latest_commit", """

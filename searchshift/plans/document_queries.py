@@ -69,7 +69,7 @@ def _conversions(rollup):
     """Conversions as the planning steps would hand them over."""
     return rollup.groupBy("backup_id").agg(F.count("*").alias("total_shards")).withColumn(
         "index_name", F.concat(F.lit("idx_"), F.col("backup_id"))).withColumn(
-        "replicas", F.substring("backup_id", 2, 20).cast("bigint") % 3)
+        "replicas", F.substr("backup_id", F.lit(2)).cast("bigint") % 3)
 
 
 @query("meta_hash", f"""

@@ -79,7 +79,7 @@ def _(t):
         F.concat_ws("/", "root", "rel_path").alias("path"),
         F.concat_ws("/", F.lit(target), "rel_path").alias("target"), "length")
     copied = copy_files(plan, range_bytes=1 << 16)
-    return copied.select(F.substring("target", len(target) + 2, 1 << 20).alias("rel_path"),
+    return copied.select(F.substr("target", F.lit(len(target) + 2)).alias("rel_path"),
                          "length", "ok")
 
 
