@@ -5,17 +5,22 @@ permuted by a keyed Feistel network inside the set of valid values of the same f
 a card number becomes a card number with a right check digit, a date a date written the same
 way. The permutation depends on the key, the kind and the value's digits alone, so equal
 values stay linked across documents and spellings, and whoever has the key can go back
-(``invert``; a date written month first only where that is unambiguous). Mail addresses and hexadecimal secrets have no format worth keeping and get
+(``invert``; a date written month first only where that is unambiguous, and one without leading
+zeros may come back with them). Mail addresses and hexadecimal secrets have no format worth keeping and get
 keyed digests.
 
 A network step adds a keyed digest of one half to the other, modulo the size of its
 radix; halves may have any radix, so no value has to be walked into range.
 
-Kinds, first match wins: mail address; IBAN with digits only (check mod 97); card number of
-13 to 19 digits, plain or in groups (Luhn); phone number with country code or area code in
-brackets; social security number (valid area, group and serial); IPv4 address; date
-(year-month-day, or day and month first, 1900 to 2099); secret of 32 to 64 hexadecimal
-digits. What looks alike and fails its validation stays as it is.
+Kinds, first match wins: mail address; IBAN in capitals (length of its country, or digits only for
+countries without one here; check mod 97; digits and letters are permuted apart, each
+in their own places); card number of 13 to 19 digits, plain or in groups (Luhn); phone number with +
+and country code, 7 to 15 digits in any grouping, or with an area code in brackets, or
+three, three and four digits with separators; social security number (valid area, group
+and serial); IPv4 address; date (year, month, day, or day and month first, with - / or .,
+days and months of one or two digits, 1900 to 2099); secret of 32 to 64 hexadecimal
+digits. What looks alike and fails its validation stays as it is. Not covered: national phone numbers in
+other groupings, years of two digits, months by name.
 
 Defined results: a null text stays null with nothing found; an empty text stays empty;
 repeated rows get equal results; texts of any length are scanned whole; other columns pass
@@ -34,14 +39,32 @@ from .expressions import let
 ROUNDS = 8
 
 MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,8}"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?\d{4}){2,7}(?: ?\d{1,3})?(?![A-Za-z0-9])"
+#: Characters after country and check digits, and the countries that have so many.
+IBAN_LENGTHS = {
+    11: "NO", 12: "BE", 14: "DK|FI|FK|FO|GL|NL|SD", 15: "MK|SI", 16: "AT|BA|EE|KZ|LT|LU|MN|XK", 17: "CH|HR|LI|LV",
+    18: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 19: "AE|GI|IL|IQ|OM|SO|TL", 20: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG",
+    21: "LY|PT|ST", 22: "IS|TR", 23: "BI|DJ|FR|GR|IT|MC|MR|SM", 24: "AL|AZ|BY|CY|DO|GT|HU|LB|NI|PL|SV",
+    25: "BR|EG|PS|QA|UA", 26: "JO|KW|MU|YE", 27: "MT|SC", 28: "LC", 29: "RU"}
+IBAN = (r"(?<![A-Za-z0-9])(?=[A-Z]{2}\d{2})(?:"
+        + "|".join(rf"(?:{c})\d{{2}}(?:[ -]?[A-Z0-9]){{{n}}}(?![A-Za-z0-9])" for n, c in IBAN_LENGTHS.items())
+        + r"|[A-Z]{2}\d{2}(?: ?\d{4}){2,7}(?: ?\d{1,3})?(?![A-Za-z0-9]))")
 CARD = (r"(?<![\d.])(?:\d{13,19}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4} \d{4} \d{4} \d{4}"
         r"|\d{4}-\d{6}-\d{5}|\d{4} \d{6} \d{5})(?!\d)")
-PHONE = (r"(?:(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{3}\) ?|\d{3}[ .-]?)|(?<!\d)\(\d{3}\) ?)"
-         r"\d{3}[ .-]?\d{4}(?!\d)")
+#: Country code and area code, or area code in brackets, before three and four digits.
+AREA_FIRST = (r"(?:(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{3}\) ?|\d{3}[ .-]?)|(?<!\d)\(\d{3}\) ?)"
+              r"\d{3}[ .-]?\d{4}(?!\d)")
+#: National digits of countries that always have as many; then any number of them.
+GAP = r"[ \u00a0\u202f.()/-]{0,2}"
+GROUPED = (r"(?<![\d+])\+(?:" + "|".join(rf"{code}(?:{GAP}\d){{{n}}}(?!\d)" for code, n in ((1, 10), (33, 9), (34, 9), (44, 10)))
+           + rf"|[1-9](?:{GAP}\d){{6,14}}(?!\d))")
+NATIONAL = r"(?<!\d)(?<!\d[.-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![.-]?\d)"
+PHONE = f"(?:{AREA_FIRST}|{GROUPED}|{NATIONAL})"
+#: Country codes have one, two or three digits, told by the first two.
+COUNTRY_CODE = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 IPV4 = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"
-DATE = r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?!\d|[./-]\d)"
+DATE = (r"(?<![\d./-])(?:\d{4}(?:-\d{1,2}-|/\d{1,2}/|\.\d{1,2}\.)\d{1,2}"
+        r"|\d{1,2}(?:-\d{1,2}-|/\d{1,2}/|\.\d{1,2}\.)\d{4})(?!\d|[./-]\d)")
 SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])"
 KINDS = {"mail": MAIL, "iban": IBAN, "card": CARD, "phone": PHONE, "ssn": SSN, "ip": IPV4,
          "date": DATE, "secret": SECRET}
@@ -93,20 +116,44 @@ def permuted_digits(digits: Column, key: Column, kind: str, invert: bool = False
     return let(digits, permute)
 
 
+def permuted_letters(letters: Column, key: Column, kind: str, invert: bool = False) -> Column:
+    """Capitals of the same number, 26 at most, so that each half fits a long."""
+    def number(part: Column) -> Column:
+        return F.aggregate(F.filter(F.split(part, ""), lambda c: c != ""), F.lit(0).cast("long"),
+                           lambda acc, c: acc * 26 + F.ascii(c) - 65)
+
+    def written(value: Column, n: Column) -> Column:
+        return F.aggregate(
+            F.slice(F.sequence(F.lit(0), n), 1, n), F.struct(F.lit("").alias("out"), value.alias("rest")),
+            lambda acc, _: F.struct(F.concat(F.char(65 + acc["rest"] % 26), acc["out"]).alias("out"),
+                                    F.floor((acc["rest"] - acc["rest"] % 26) / 26).cast("long").alias("rest")),
+            lambda acc: acc["out"])
+
+    def permute(d: Column) -> Column:
+        n = F.length(d)
+        head = F.floor(n / 2).cast("int")
+        size = lambda k: F.element_at(F.array(*[F.lit(26**i) for i in range(14)]), k + 1).cast("long")
+        out = feistel(number(F.substr(d, F.lit(1), head)), number(F.substr(d, head + 1, n - head)),
+                      size(head), size(n - head), key, kind, invert)
+        return let(out, lambda p: F.concat(written(p["l"], head), written(p["r"], n - head)))
+    return F.when(letters == "", letters).otherwise(let(letters, permute))
+
+
 def _only_digits(found: Column) -> Column:
     return F.regexp_replace(found, r"\D", "")
 
 
-def _in_format(found: Column, digits: Column) -> Column:
-    """``found`` with its digits replaced one after the other."""
-    return F.aggregate(
-        F.split(found, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("k")),
-        lambda acc, c: F.when(
-            c.rlike(r"^\d$"),
-            F.struct(F.concat(acc["out"], F.substr(digits, acc["k"], F.lit(1))).alias("out"),
-                     (acc["k"] + 1).alias("k"))
-        ).otherwise(F.struct(F.concat(acc["out"], c).alias("out"), acc["k"].alias("k"))),
-        lambda acc: acc["out"])
+def _in_format(found: Column, digits: Column, letters: Column | None = None) -> Column:
+    """``found`` with its digits replaced one after the other, and its capitals if some are given."""
+    letters = F.lit("") if letters is None else letters
+    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("k"), F.lit(1).alias("m"))
+
+    def step(acc: Column, c: Column) -> Column:
+        put = lambda x, k, m: F.struct(F.concat(acc["out"], x).alias("out"), (acc["k"] + k).alias("k"),
+                                       (acc["m"] + m).alias("m"))
+        return F.when(c.rlike(r"^\d$"), put(F.substr(digits, acc["k"], F.lit(1)), 1, 0)).when(
+            c.rlike("^[A-Z]$") & (letters != ""), put(F.substr(letters, acc["m"], F.lit(1)), 0, 1)).otherwise(put(c, 0, 0))
+    return F.aggregate(F.split(found, ""), start, step, lambda acc: acc["out"])
 
 
 def _luhn_sum(digits: Column) -> Column:
@@ -132,17 +179,25 @@ def _secret(found: Column, key: Column, invert: bool) -> Column:
 
 def _iban(found: Column, key: Column, invert: bool) -> Column:
     def remainder(bban: Column, country: Column, check: Column) -> Column:
-        letters = F.concat(*[(F.ascii(F.substring(country, k, 1)) - 55).cast("string") for k in (1, 2)])
-        return F.concat(bban, letters, check).cast("decimal(38,0)") % F.lit(97).cast("decimal(38,0)")
+        def value(acc: Column, c: Column) -> Column:
+            code = F.ascii(c)
+            return F.when(code >= 65, (acc * 100 + code - 55) % 97).otherwise((acc * 10 + code - 48) % 97)
+        return F.aggregate(F.split(F.concat(bban, country, check), ""), F.lit(0), value)
 
     def change(bare: Column) -> Column:
         country, check, bban = F.substring(bare, 1, 2), F.substring(bare, 3, 2), F.substr(bare, F.lit(5))
-        new = permuted_digits(bban, key, "iban", invert)
-        renewed = let(new, lambda b: F.concat(
-            F.lpad((98 - remainder(b, country, F.lit("00"))).cast("int").cast("string"), 2, "0"), b))
-        return F.when((F.length(bare) <= 34) & (remainder(bban, country, check) == 1), renewed)
-    return let(F.replace(found, F.lit(" "), F.lit("")),
-               lambda bare: let(change(bare), lambda d: F.when(d.isNotNull(), _in_format(found, d))))
+        digits, letters = F.regexp_replace(bban, "[A-Z]", ""), F.regexp_replace(bban, r"\d", "")
+        new = F.struct(permuted_digits(digits, key, "iban", invert).alias("digits"),
+                       permuted_letters(letters, key, "iban letters", invert).alias("letters"))
+        fits = F.length(digits).between(2, 30) & (F.length(letters) <= 26)
+        renewed = let(new, lambda b: let(
+            _in_format(bban, b["digits"], b["letters"]), lambda whole: F.struct(
+                F.concat(F.lpad((98 - remainder(whole, country, F.lit("00"))).cast("string"), 2, "0"),
+                         b["digits"]).alias("digits"),
+                F.concat(country, b["letters"]).alias("letters"))))
+        return F.when(fits & (F.length(bare) <= 34) & (remainder(bban, country, check) == 1), renewed)
+    return let(F.regexp_replace(found, "[ -]", ""), lambda bare: let(
+        change(bare), lambda d: F.when(d.isNotNull(), _in_format(found, d["digits"], d["letters"]))))
 
 
 def _card(found: Column, key: Column, invert: bool) -> Column:
@@ -158,9 +213,11 @@ def _card(found: Column, key: Column, invert: bool) -> Column:
 
 def _phone(found: Column, key: Column, invert: bool) -> Column:
     def change(digits: Column) -> Column:
-        code = F.length(digits) - 10
-        new = F.concat(F.substr(digits, F.lit(1), code),
-                       permuted_digits(F.substr(digits, code + 1, F.lit(10)), key, "phone", invert))
+        code = F.when(found.rlike(f"^(?:{AREA_FIRST}|{NATIONAL})$"), F.length(digits) - 10).otherwise(
+            F.length(F.regexp_extract(digits, COUNTRY_CODE, 0)))
+        new = let(code, lambda n: F.concat(
+            F.substr(digits, F.lit(1), n),
+            permuted_digits(F.substr(digits, n + 1, F.length(digits) - n), key, "phone", invert)))
         return let(new, lambda d: _in_format(found, d))
     return let(_only_digits(found), change)
 
@@ -194,23 +251,28 @@ def _date(found: Column, key: Column, invert: bool) -> Column:
         last = F.when(m.isin(4, 6, 9, 11), 30).when((m == 2) & leap, 29).when(m == 2, 28).otherwise(31)
         return y.between(1900, 2099) & m.between(1, 12) & (d >= 1) & (d <= last)
 
-    def change(y: Column, m: Column, d: Column, pattern: str) -> Column:
-        day = F.unix_date(F.make_date(y, m, d)) - FIRST_DAY
-        out = feistel(F.floor(day / DATE_RADICES[1]), day % DATE_RADICES[1], F.lit(DATE_RADICES[0]),
-                      F.lit(DATE_RADICES[1]), key, "date", invert)
-        return let(out, lambda p: F.date_format(
-            F.date_from_unix_date((p["l"] * DATE_RADICES[1] + p["r"] + FIRST_DAY).cast("int")), pattern))
-
-    def part(at: int, n: int) -> Column:
-        return F.substring(found, at, n).cast("int")
-
-    iso, sep = (part(1, 4), part(6, 2), part(9, 2)), F.substring(found, 3, 1)
-    first, second, year = part(1, 2), part(4, 2), part(7, 4)
-    shown = lambda f: F.when(sep == "/", change(*f, "dd/MM/yyyy" if f[1] is second else "MM/dd/yyyy")).otherwise(
-        change(*f, "dd.MM.yyyy" if f[1] is second else "MM.dd.yyyy"))
-    day_first, month_first = (year, second, first), (year, first, second)
-    return F.when(F.substring(found, 5, 1) == "-", F.when(valid(*iso), change(*iso, "yyyy-MM-dd"))).otherwise(
-        F.when(valid(*day_first), shown(day_first)).when(valid(*month_first), shown(month_first)))
+    def change(parts: Column) -> Column:
+        one, two, three = (parts[k].cast("int") for k in range(3))
+        year_first, sep = F.length(parts[0]) == 4, F.regexp_extract(found, "[./-]", 0)
+        short = F.exists(parts, lambda x: F.length(x) == 1)
+
+        def shown(y: Column, m: Column, d: Column, order: str) -> Column:
+            day = F.unix_date(F.make_date(y, m, d)) - FIRST_DAY
+            out = feistel(F.floor(day / DATE_RADICES[1]), day % DATE_RADICES[1], F.lit(DATE_RADICES[0]),
+                          F.lit(DATE_RADICES[1]), key, "date", invert)
+            new = lambda p: F.date_from_unix_date(
+                (p["l"] * DATE_RADICES[1] + p["r"] + FIRST_DAY).cast("int"))
+            pad = lambda v: F.when(short, v.cast("string")).otherwise(F.lpad(v.cast("string"), 2, "0"))
+            part = {"y": lambda n: F.year(n).cast("string"), "m": lambda n: pad(F.month(n)),
+                    "d": lambda n: pad(F.day(n))}
+            a, b, c = (part[x] for x in order)
+            return let(let(out, new), lambda n: F.concat(a(n), sep, b(n), sep, c(n)))
+
+        return F.when(year_first, F.when(valid(one, two, three), shown(one, two, three, "ymd"))).when(
+            valid(three, two, one), shown(three, two, one, "dmy")).when(
+            valid(three, one, two), shown(three, one, two, "mdy"))
+
+    return let(F.split(found, "[./-]"), change)
 
 
 CHANGES: dict[str, Callable[[Column, Column, bool], Column]] = {

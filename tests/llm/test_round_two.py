@@ -1,12 +1,13 @@
 """What the second review found missing."""
 
 import random
+import re
 from collections import defaultdict
 
 import brute
 from pyspark.sql import functions as F
 
-from searchshift.llm import quality
+from searchshift.llm import pii, quality
 
 
 def certified(rows, labels, cutoffs, rate, loss):
@@ -61,3 +62,50 @@ def test_production_parameters_certify_small_strata(spark):
     assert all(kept[d] for d, _, s in rows if s in ("cc", "rare"))
     lost = [not kept[d] for d, _, s in rows if s in ("aa", "bb") and d % 9]
     assert sum(lost) <= 0.02 * len(lost)
+
+
+FORMS = [
+    *[(x, "iban") for x in (
+        "GB29 NWBK 6016 1331 9268 19", "GB29NWBK60161331926819", "NL91ABNA0417164300", "NL91 ABNA 0417 1643 00",
+        "FR14 2004 1010 0505 0001 3M02 606", "FR1420041010050500013M02606", "MT84MALT011000012345MTLCAST001S",
+        "BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "GB29-NWBK-6016-1331-9268-19")],
+    *[(x, "phone") for x in (
+        "555-123-4567", "415.555.0132", "415 555 0132", "1-800-555-0199", "+44 20 7946 0958", "+49 30 1234567",
+        "+33 1 23 45 67 89", "+33\u00a01\u00a023\u00a045\u00a067\u00a089", "+34 912 345 678", "+442079460958",
+        "+44 (0)20 7946 0958", "+49 (0) 30/1234567", "+1 743 555 3824", "+352 27 12 34")],
+    *[(x, "date") for x in (
+        "3/5/1999", "1.3.1999", "1999/03/05", "1999/3/5", "1999-3-5", "1999.03.05", "05-03-1999", "3/25/1999")],
+]
+
+
+def test_common_formats_are_found(spark):
+    def made(texts, invert=False):
+        rows = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+        found = rows.select("k", pii.pseudonyms(F.col("text"), F.lit("k"), invert).alias("p")).orderBy("k").collect()
+        return [(r.p.text, r.p.kinds) for r in found]
+
+    tails = (" EUR 2024 now", ", 12", ".")
+    texts = [f"see {x}{t}" for x, _ in FORMS for t in tails]
+    got = made(texts)
+    shape = lambda x: re.sub("[A-Z]", "A", re.sub(r"\d", "0", x))
+    for (text, kinds), (x, kind), t in zip(got, [f for f in FORMS for _ in tails], tails * len(FORMS)):
+        assert kinds == [kind] and x not in text and text.startswith("see ") and text.endswith(t), (x, text, kinds)
+        new = text[4:-len(t)]
+        if kind != "date":
+            assert shape(new) == shape(x)
+        if kind == "iban":
+            bare = re.sub("[ -]", "", new)
+            assert int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97 == 1 and new[:2] == x[:2]
+    back = made([g[0] for g in got], invert=True)
+    for (text, _), old in zip(back, texts):
+        zeros = lambda s: re.sub(r"\b0(?=\d\b)", "", s)
+        if "3/25/1999" not in old:
+            assert zeros(text) == zeros(old)
+    by = {x: g[0][4:-1] for (x, _), g in zip(FORMS, got[2::3])}
+    assert by["GB29 NWBK 6016 1331 9268 19"].replace(" ", "") == by["GB29NWBK60161331926819"]
+    assert re.sub(r"\D", "", by["+44 20 7946 0958"]) == by["+442079460958"][1:]
+    assert by["+44 20 7946 0958"].startswith("+44 ") and by["+352 27 12 34"].startswith("+352 ")
+    assert by["1999/03/05"].replace("/", "-").split("-") == by["05-03-1999"].split("-")[::-1]
+    same = ["GB28 NWBK 6016 1331 9268 19", "31/31/1999", "1999/13/05", "1.3.1899", "5555-123-4567", "+12 34", "1.2.3.4.5",
+            "123.456.7890.1"]
+    assert made(same) == [(x, []) for x in same]
