@@ -7,7 +7,7 @@ from collections import defaultdict
 import brute
 from pyspark.sql import functions as F
 
-from searchshift.llm import pii, quality
+from searchshift.llm import near_dup, pii, quality
 
 
 def certified(rows, labels, cutoffs, rate, loss):
@@ -109,3 +109,9 @@ def test_common_formats_are_found(spark):
     same = ["GB28 NWBK 6016 1331 9268 19", "31/31/1999", "1999/13/05", "1.3.1899", "5555-123-4567", "+12 34", "1.2.3.4.5",
             "123.456.7890.1"]
     assert made(same) == [(x, []) for x in same]
+
+
+def test_third_round_loses_no_more_than_the_bands():
+    alike = near_dup.SIMILARITY / 100
+    bands = (1 - alike**near_dup.BAND) ** (near_dup.BANDED // near_dup.BAND)
+    assert brute.tail(near_dup.AGREEING - 1, near_dup.PLACES, alike) <= bands
