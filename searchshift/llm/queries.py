@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, chat, decontaminate, language, near_dup, pii, quality, substring_dedup, token_store, url_filter
+from . import (
+    bpe, chat, collocations, decontaminate, exact_dedup, language, merkle, near_dup, pii, quality, substring_dedup, token_store, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +105,21 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     of_pages = language.identify(language.evidence(pages), model)
     of_docs = language.identify(plain, model, key="doc_id")
     return of_pages.unionByName(of_docs, allowMissingColumns=True).select("page_id", "doc_id", "lang", "confidence")
+
+
+@query("op13_merkle_manifest", merkle.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the contract every seventh document, by checksum, is found with one character more than it had."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    longer = F.col("n_chars").cast("decimal(20,0)") + F.lit(1).cast("decimal(20,0)")
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered, {"n_chars": longer})
+
+
+@query("op11_patricia_owners", exact_dedup.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.owners(table(spark, sf_dir, "documents"))
+
+
+@query("op12_phrase_stripes", collocations.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
