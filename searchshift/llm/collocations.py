@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -43,11 +44,11 @@ from .hashing import mix
 from .ranked import places
 from .tokens import slices
 
-#: Bytes between pieces, and what stands for them: a byte that no text has.
-SEPARATORS, END = b".,;:!?\n\x0b\x0c\r", b"\xff"
-_TABLE = bytes(END[0] if b in SEPARATORS else b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Bytes between pieces, and the word that stands for them.
+SEPARATORS, END = b".,;:!?\n\x0b\x0c\r", b"\n"
+_TABLE = bytes(END[0] if b in SEPARATORS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Bytes of text counted at a time, per bucket, and buckets at most.
-FLUSH_BYTES, BUCKET_BYTES, MOST_BUCKETS = 12 << 20, 16 << 20, 1 << 16
+FLUSH_BYTES, BUCKET_BYTES, MOST_BUCKETS = 24 << 20, 32 << 20, 1 << 16
 #: Parts of a stripe, by the next word.
 PARTS = 16
 #: Least frequency of a phrase, share of it (in hundredths) that a longer one needs to subsume it, and results per language.
@@ -113,7 +114,7 @@ def _pack(words: list[bytes], hashes: np.ndarray, totals: np.ndarray, two: Strip
     """A packet: words with totals, and stripes of one- and two-word prefixes in numbers of its own dictionary."""
     used, place = np.unique(np.concatenate([*two.words, *three.words]), return_inverse=True)
     kind = "<u2" if len(used) < 1 << 16 else "<u4"
-    text = b"\xff".join(words)
+    text = END.join(words)
     parts, at = [], 0
     for stripes in (two, three):
         own = []
@@ -127,7 +128,7 @@ def _pack(words: list[bytes], hashes: np.ndarray, totals: np.ndarray, two: Strip
     columns = [np.array([len(text)], "<u8"), hashes[used].astype("<u8"), totals.astype("<u8")]
     sizes = np.array([len(words), len(used), len(parts[1]), len(two.counts), len(parts[5]), len(three.counts)], "<u8")
     body = b"".join([sizes.tobytes(), *(c.tobytes() for c in columns), text, *(p.tobytes() for p in parts)])
-    return zstandard.ZstdCompressor(1).compress(body)
+    return zstandard.ZstdCompressor(3).compress(body)
 
 
 def _unpack(payload: bytes) -> tuple[list[bytes], np.ndarray, list[np.ndarray], np.ndarray, list[np.ndarray], np.ndarray]:
@@ -162,9 +163,13 @@ def _number(word: bytes, seed: int) -> int:
 
 def _packets(lang: str, text: bytes, buckets: int, seed: int) -> Iterator[tuple[int, str, bytes]]:
     """The stripes of a run of texts of one language, by bucket."""
-    coded = pa.array(text.replace(END, b" \xff ").split() + [END], pa.binary()).dictionary_encode()
+    split = pc.split_pattern(pa.array([text.replace(END, b" \n ") + b" \n "], pa.large_binary()), " ")
+    coded = split.flatten().dictionary_encode()
     words = coded.dictionary.to_pylist()
     ids, many, end = coded.indices.to_numpy().astype(np.int64), len(words), words.index(END)
+    del split, coded
+    if b"" in words:  # between blanks
+        ids = ids[ids != words.index(b"")]
     hashes = np.array([_number(w, seed) for w in words], np.uint64)
     totals = np.bincount(ids, minlength=many)
     totals[end] = 0
@@ -273,7 +278,7 @@ def stripes(docs: DataFrame, least: int = LEAST, number: int = 0) -> DataFrame:
                         F.coalesce("text", F.lit("")).alias("text"))
     spark = docs.sparkSession
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = min(MOST_BUCKETS, max(size // BUCKET_BYTES, 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    buckets = min(MOST_BUCKETS, max(size // BUCKET_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     for seed in range(number, number + 100):
         found = materialized(texts.mapInArrow(_count(buckets, seed), PACKETS).groupBy("bucket").applyInArrow(
             _merge(least, seed), FOUND), "stripes")
