@@ -29,15 +29,15 @@ def substring_dedup(rows, size=50):
     return out
 
 
-def shingles(text):
+def shingles(text, n=4):
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     w = words((text or "").translate(str.maketrans(upper, lower)))
-    return {tuple(w[i:i + 4]) for i in range(len(w) - 3)} if len(w) >= 4 else ({tuple(w)} if w else set())
+    return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
 
 
-def near_duplicates(rows):
+def near_duplicates(rows, n=4):
     """(doc_id, n_shingles, component_id, kept) of (doc_id, text) rows."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(t, n) for _, t in rows]
     parent = list(range(len(rows)))
 
     def root(i):

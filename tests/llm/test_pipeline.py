@@ -22,7 +22,7 @@ def test_pipeline_against_brute_force(spark, small, vocabulary):
     good = {r["doc_id"] for r in labels if r["quality"] == 1}
     kept = brute.quality([(d["doc_id"], d["text"], d["lang"]) for d in docs], good, quality.CUTOFFS, 0.02, 0.05)
     docs = [d for d, k in zip(docs, kept) if k]
-    alone = brute.near_duplicates([(d["doc_id"], d["text"]) for d in docs])
+    alone = brute.near_duplicates([(d["doc_id"], d["text"]) for d in docs], 5)
     docs = [d for d, r in zip(docs, alone) if r[3]]
     dirty = {d for d, _ in brute.hits([(d["doc_id"], d["text"]) for d in docs], [(r["item_id"], r["text"]) for r in items])}
     docs = [d for d in docs if d["doc_id"] not in dirty]

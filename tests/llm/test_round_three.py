@@ -9,7 +9,8 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from searchshift.llm import collocations, exact_dedup, merkle
+import brute
+from searchshift.llm import collocations, exact_dedup, merkle, near_dup
 from searchshift.llm.ranked import places
 
 
@@ -259,3 +260,52 @@ def test_places_in_hot_groups(spark):
         found.sort()
         assert [p for p, _, _ in found] == list(range(len(found))) and {s for _, _, s in found} == {len(found)}
         assert [v for _, v, _ in found] == sorted((v for _, v, _ in found), reverse=True)
+
+
+def family(n, seed, shared):
+    """Texts around one that is not among them, every third with edits that others have too."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for k in range(n):
+        text = list(base)
+        for i in rng.sample(range(90), rng.randrange(9)):
+            text[i] = f"e{i % shared}" if k % 3 else f"e{k}x{i}"
+        rows.append((k, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("longest", [2, 256])
+def test_links_of_a_family_by_differences(spark, monkeypatch, longest):
+    """Short lists are compared, longer ones become groups of their own; the links are the same."""
+    monkeypatch.setattr(near_dup, "SHORT_LIST", longest)
+    rows = family(60, 2, 40)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute.near_duplicates(rows)
+    assert plain(near_dup.near_duplicates(docs).collect()) == plain(want)
+    assert 3 < sum(w[3] for w in want) < 55
+
+
+def test_repeated_ids_are_tested_once(spark, monkeypatch):
+    """Hundreds of rows with two ids and two texts are two classes and one test."""
+    text = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(text)), (2, " ".join([*text, "tail"]))] * 200 + [(1, "another text of its own")]
+    pairs, compared = [], near_dup._verified
+
+    def counted(p, *rest):
+        pairs.append(p.count())
+        return compared(p, *rest)
+    monkeypatch.setattr(near_dup, "_verified", counted)
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sum(pairs) == 1
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(1, 1, True), (2, 1, False)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.text for r in near_dup.one_of_each(docs).collect()) == sorted({t for d, t in rows if d == 1})
+
+
+def test_words_of_a_run_are_a_parameter(spark):
+    text = [f"w{i}" for i in range(100)]
+    other = [*text[:30], "x", *text[31:60], "y", *text[61:]]  # 8 of 97 runs of four go, 10 of 96 of five
+    docs = spark.createDataFrame([(1, " ".join(text)), (2, " ".join(other))], "doc_id long, text string")
+    n = {w: [(r.n_shingles, r.kept) for r in near_dup.near_duplicates(docs, w).orderBy("doc_id").collect()] for w in (4, 5, 6)}
+    assert n == {4: [(97, True), (97, False)], 5: [(96, True), (96, False)], 6: [(95, True), (95, True)]}
