@@ -48,7 +48,7 @@ from .tokens import slices
 SEPARATORS, END = b".,;:!?\n\x0b\x0c\r", b"\n"
 _TABLE = bytes(END[0] if b in SEPARATORS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Bytes of text counted at a time, per bucket, and buckets at most.
-FLUSH_BYTES, BUCKET_BYTES, MOST_BUCKETS = 24 << 20, 32 << 20, 1 << 16
+FLUSH_BYTES, BUCKET_BYTES, MOST_BUCKETS = 8 << 20, 32 << 20, 1 << 16
 #: Parts of a stripe, by the next word.
 PARTS = 16
 #: Least frequency of a phrase, share of it (in hundredths) that a longer one needs to subsume it, and results per language.
@@ -247,15 +247,10 @@ def _merge(least: int, seed: int):
         for lang in sorted(set(langs)):
             mine = packets.filter(pa.array([x == lang for x in langs]))
             totals: dict[bytes, int] = {}
-            pairs, pair_counts, triples, triple_counts = [], [], [], []
             for payload in mine["payload"].to_pylist():
-                words, n, two, two_n, three, three_n = _unpack(payload)
+                words, n = _unpack(payload)[:2]
                 for w, k in zip(words, n.tolist()):
                     totals[w] = totals.get(w, 0) + k
-                pairs.append(two)
-                pair_counts.append(two_n)
-                triples.append(three)
-                triple_counts.append(three_n)
             for w in totals:
                 if named.setdefault(_number(w, seed), w) != w:
                     add(lang, -1, [], np.zeros(1, np.int64))
@@ -263,8 +258,12 @@ def _merge(least: int, seed: int):
             add(lang, 0, [], np.array([sum(totals.values())], np.int64))
             add(lang, 1, [np.array([_number(w, seed) for w in often], np.uint64)],
                 np.array([totals[w] for w in often], np.int64), [w.decode() for w in often])
-            for size, columns, counts in ((2, pairs, pair_counts), (3, triples, triple_counts)):
-                merged = _counted([np.concatenate(c) for c in zip(*columns)], np.concatenate(counts))
+            for size in (2, 3):  # one after the other, for less memory
+                unpacked = [_unpack(payload)[2 * size - 2:2 * size] for payload in mine["payload"].to_pylist()]
+                columns = [np.concatenate(c) for c in zip(*(columns for columns, _ in unpacked))]
+                counts = np.concatenate([counts for _, counts in unpacked])
+                del unpacked
+                merged = _counted(columns, counts)
                 keep = merged.counts >= least
                 add(lang, size, [c[keep] for c in merged.words], merged.counts[keep])
         return pa.table({c: pa.concat_arrays(v) for c, v in rows.items()})
