@@ -67,17 +67,34 @@ def version_part(version: Column, index: int) -> Column:
     return piece.try_cast("int")
 
 
+#: Bits of each number of a packed version.
+VERSION_BITS = 21
+
+
 def version_order(version: Column) -> Column:
-    """A version as its three numbers, which sort like the version; NULL for NULL."""
-    parts = [F.coalesce(version_part(version, i), F.lit(0)).alias(n)
-             for i, n in enumerate(("major", "minor", "patch"))]
-    return F.when(version.isNotNull(), F.struct(*parts))
+    """A version as one number that sorts like it: a maximum over it is a hash aggregation. NULL for NULL and for
+    a version with a number that does not fit; ``version_fits`` tells them apart."""
+    parts = [F.coalesce(version_part(version, i), F.lit(0)).cast("bigint") for i in range(3)]
+    major, minor, patch = parts
+    packed = F.shiftleft(major, 2 * VERSION_BITS) + F.shiftleft(minor, VERSION_BITS) + patch
+    return F.when(version.isNotNull() & version_fits(version), packed)
+
+
+def version_fits(version: Column) -> Column:
+    """Whether every number of a version can be packed; true for NULL."""
+    fits = F.lit(True)
+    for i in range(3):
+        piece = F.try_element_at(F.split(version, r"\."), F.lit(i + 1))
+        # more digits than an int has give no number at all
+        large = piece.rlike(r"^0*[1-9][0-9]{9,}\z") | ~version_part(version, i).between(0, (1 << VERSION_BITS) - 1)
+        fits = fits & ~F.coalesce(large, F.lit(False))
+    return fits
 
 
 def version_text(order: Column) -> Column:
     """Inverse of ``version_order``."""
-    return F.when(order.isNotNull(), F.concat_ws(
-        ".", *[order.getField(n).cast("string") for n in ("major", "minor", "patch")]))
+    part = lambda bits: F.shiftright(order, bits).bitwiseAND((1 << VERSION_BITS) - 1).cast("string")
+    return F.when(order.isNotNull(), F.concat_ws(".", part(2 * VERSION_BITS), part(VERSION_BITS), part(0)))
 
 
 def version_id(version: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.values import format_bytes, join_path, version_order, version_part, version_text
+from ..functions.values import format_bytes, join_path, version_fits, version_order, version_part, version_text
 from .issues import emit, issue_rows, union_issues, when
 from .joins import join_parents
 
@@ -100,7 +100,7 @@ def output_state(outputs: DataFrame) -> DataFrame:
 
 
 def segment_health(shards: DataFrame, segments: DataFrame) -> DataFrame:
-    """Age of the index library, empty shards, unreadable commits.
+    """Age of the index library, empty shards, unreadable commits, versions too large to be told apart.
 
     A planned shard without any commit row counts as unreadable; ``segments`` may
     carry an ``unreadable`` flag."""
@@ -108,6 +108,7 @@ def segment_health(shards: DataFrame, segments: DataFrame) -> DataFrame:
     commits = segments.groupBy("backup_id", "shard_id").agg(
         F.max(flag).alias("unreadable"),
         F.max(version_order(F.col("lucene_version"))).alias("_version"),
+        F.max(~version_fits(F.col("lucene_version"))).alias("_wide"),
         F.count("segment").alias("segments"),
         F.coalesce(F.sum("max_doc"), F.lit(0)).alias("max_docs"))
     state = (
@@ -126,6 +127,7 @@ def segment_health(shards: DataFrame, segments: DataFrame) -> DataFrame:
         when(ok & (F.col("segments") == 0), "NO_SEGMENTS", label, F.lit("")),
         when(ok & (F.col("max_docs") == 0), "NO_DOCUMENTS", label, F.lit("")),
         when(~ok, "COMMIT_UNREADABLE", label, F.lit("")),
+        when(ok & F.col("_wide"), "VERSION_RANGE", label, F.lit("")),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from ..streaming.watch import drain, watch_health
 from .catalog import query
 
@@ -31,7 +32,8 @@ def _(t):
         F.col("ts").cast("timestamp").alias("ts"),
         F.when(F.col("event_id") % 29 == 0, F.lit("curl: (7) refused")).otherwise(reply)
         .alias("content"))
-    spans = drain(samples, ["index_name"], F.lit(3), "watch")
+    spans = drain(samples, ["index_name"], F.lit(3), scratch_dir(t.spark, "watch"),
+                  scratch_dir(t.spark, "watch-progress"))
     done = watch_health(spans, ["index_name"], 43200)
     plain = ("started", "last_sample", "ready_at")
     return done.select("index_name", *[F.col(c).cast("timestamp_ntz").alias(c) for c in plain],

@@ -178,6 +178,7 @@ ISSUES = (
     ("SHARD_SNAPSHOT_MISSING", "ERROR"),
     ("SHARD_INDEX_MISSING", "ERROR"),
     ("SHARD_FILES_MISSING", "WARN"),
+    ("VERSION_RANGE", "ERROR"),
 )
 SEVERITY = dict(ISSUES)
 CHECK_ORDER = {code: i + 1 for i, (code, _) in enumerate(ISSUES)}

@@ -34,15 +34,15 @@ def _unseen(backup_id, root, rel_dir, name) -> tuple:
 
 
 def _look(backup_id, root, rel_dir, name) -> tuple:
-    """An entry as it is; a folder that cannot be listed to its end counts as unreadable."""
+    """An entry as it is, not yet listed if it is a folder."""
     path = os.path.join(root, rel_dir, name)
     try:
         status = os.stat(path)
     except OSError:
         return backup_id, root, rel_dir, name, False, 0, False, True
     is_dir = stat.S_ISDIR(status.st_mode)
-    readable = os.access(path, os.R_OK) and (not is_dir or _listable(path))
-    return backup_id, root, rel_dir, name, is_dir, 0 if is_dir else status.st_size, readable, True
+    return (backup_id, root, rel_dir, name, is_dir, 0 if is_dir else status.st_size,
+            os.access(path, os.R_OK), True)
 
 
 def _in_batches(rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
@@ -63,31 +63,30 @@ def _children(folder: str) -> Iterator[str]:
             yield entry.name
 
 
-def _listable(folder: str) -> bool:
-    try:
-        for _ in _children(folder):
-            pass
-    except OSError:
-        return False
-    return True
-
-
 def _stage(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Look at each entry, and name what is in it if it is a folder. A link is shown as the
-    kind of its target but, other than a root, not followed."""
+    kind of its target but, other than a root, not followed.
+
+    A folder is listed once, name by name; a listing that breaks off, wherever it does, is the
+    folder's own outcome, an entry that is not readable, and ends nothing else."""
     def rows():
         for batch in batches:
             for r in batch.itertuples(index=False):
                 is_root = not (r.rel_dir or r.name)
                 if is_root and not os.path.lexists(r.root):
                     continue
-                entry = _look(*r[:4])
-                yield entry
+                *entry, is_dir, length, readable, seen = _look(*r[:4])
                 below = os.path.join(r.rel_dir, r.name) if r.rel_dir else r.name
                 path = os.path.join(r.root, below) if below else r.root
-                if entry[4] and entry[6] and (is_root or not os.path.islink(path)):
-                    for child in _children(path):
-                        yield _unseen(r.backup_id, r.root, below, child)
+                if is_dir and readable:
+                    follow = is_root or not os.path.islink(path)
+                    try:
+                        for child in _children(path):
+                            if follow:
+                                yield _unseen(r.backup_id, r.root, below, child)
+                    except OSError:
+                        readable = False
+                yield *entry, is_dir, length, readable, seen
 
     yield from _in_batches(rows())
 

@@ -86,12 +86,51 @@ def test_listing_that_breaks_off(tmp_path, monkeypatch):
             raise OSError("stale handle")
 
     (tmp_path / "d").mkdir()
+    import pandas as pd
+    unseen = pd.DataFrame([files._unseen("b", str(tmp_path), "", "d"), files._unseen("b", str(tmp_path), "", "f")],
+                          columns=files._columns(files.ENTRY))
+    (tmp_path / "f").write_text("x")
     monkeypatch.setattr(files.os, "scandir", lambda _: Broken())
-    assert files._look("b", str(tmp_path), "", "d")[4:7] == (True, 0, False)
+    assert files._look("b", str(tmp_path), "", "d")[4:7] == (True, 0, True)
+    got = pd.concat(files._stage(iter([unseen]))).values.tolist()
+    assert [(r[3], r[4], r[6]) for r in got] == [("d", True, False), ("f", False, True)]
     with pytest.raises(OSError):
         list(files._children(str(tmp_path)))
 
 
+def test_a_listing_that_breaks_off_half_way(tmp_path, monkeypatch):
+    """What was named before stays, the folder is told as not readable, and it is listed only once."""
+    import pandas as pd
+    listed, whole = [], os.scandir
+    for name in ("good/a", "good/b", "bad/a", "bad/b"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("x")
+
+    class Breaking:
+        def __init__(self, folder):
+            listed.append(os.path.basename(folder))
+            self.folder, self.entries = folder, whole(folder)
+
+        def __enter__(self):
+            return self.names()
+
+        def __exit__(self, *_):
+            self.entries.close()
+
+        def names(self):
+            for k, entry in enumerate(self.entries):
+                if k and self.folder.endswith("bad"):
+                    raise OSError("stale handle")
+                yield entry
+    monkeypatch.setattr(files.os, "scandir", Breaking)
+    unseen = pd.DataFrame([files._unseen("b", str(tmp_path), "", n) for n in ("bad", "good")],
+                          columns=files._columns(files.ENTRY))
+    got = pd.concat(files._stage(iter([unseen])))
+    seen = {r.name: r.readable for r in got.itertuples() if r.seen}
+    assert seen == {"bad": False, "good": True} and listed == ["bad", "good"]
+    assert got[~got["seen"]].groupby("rel_dir").size().to_dict() == {"bad": 1, "good": 2}
+
+
 def test_folders_that_cannot_be_listed(spark, rows):
     tree = spark.createDataFrame([("b", "x", "y", True, False), ("b", "", "", True, True), ("b", "x", "f", False, False)],
                                  "backup_id string, rel_dir string, name string, is_dir boolean, readable boolean")

@@ -76,7 +76,7 @@ def test_stream_of_samples(spark, rows, tmp_path):
      .repartition(3).write.parquet(str(tmp_path / "in")))
     stream = spark.readStream.schema("k string, started timestamp, ts timestamp, content string").option(
         "maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    spans = drain(stream, ["k"], F.lit(3), "waits")
+    spans = drain(stream, ["k"], F.lit(3), str(tmp_path / "waits"), str(tmp_path / "waits-progress"))
     shown = lambda df: rows(df.withColumn("s", F.unix_timestamp("started") - START), "k", "s", "outcome")
     assert shown(watch_health(spans, ["k"], 100)) == [
         ("a", 0, "ready"), ("a", 500, "waiting"), ("b", 0, "timeout"), ("c", 0, "waiting")]
@@ -99,7 +99,7 @@ def test_stream_out_of_order(spark, rows, tmp_path):
         stored.where((F.unix_timestamp("started") - START) == 86400 * part).coalesce(1).write.mode("append").parquet(folder)
     schema = "k string, started timestamp, ts timestamp, content string"
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    got = watch_health(drain(stream, ["k"], F.lit(3), "waits"), ["k"], 300)
+    got = watch_health(drain(stream, ["k"], F.lit(3), str(tmp_path / "waits"), str(tmp_path / "waits-progress")), ["k"], 300)
     judged = status.health_ready(stored, F.lit(3))
     want = judged.groupBy("k", "started").agg(
         F.max("ts").alias("last_sample"), F.min(F.when(F.col("cluster_ready"), F.col("ts"))).alias("ready_at"))
@@ -116,5 +116,52 @@ def test_stream_over_one_file(spark, tmp_path):
     stream = spark.readStream.schema("k string, content string").parquet(str(tmp_path / "{one}.parquet"))
     now = F.timestamp_seconds(F.lit(START))
     timed = stream.select("k", now.alias("started"), now.alias("ts"), "content")
-    assert drain(timed, ["k"], F.lit(3), "one").count() == 1
-    assert drain(timed.where("k = 'b'"), ["k"], F.lit(3), "none").count() == 0
+    assert drain(timed, ["k"], F.lit(3), str(tmp_path / "one"), str(tmp_path / "one-progress")).count() == 1
+    assert drain(timed.where("k = 'b'"), ["k"], F.lit(3), str(tmp_path / "none"), str(tmp_path / "none-progress")).count() == 0
+
+
+def test_stream_goes_on_where_it_stopped(spark, rows, tmp_path):
+    """Stopped by an error after some batches, restarted over more files, compacted, restarted again."""
+    import pytest
+
+    from searchshift.streaming import watch
+    good, bad = '{"number_of_nodes":3,"status":"green"}', "refused"
+    folder, table, progress = (str(tmp_path / n) for n in ("in", "table", "progress"))
+    schema = "k string, started timestamp, ts timestamp, content string"
+
+    def arrive(*samples):
+        (spark.createDataFrame(samples, "k string, s int, t int, content string").select(
+            "k", F.timestamp_seconds(F.col("s") + START).alias("started"), F.timestamp_seconds(F.col("t") + START).alias("ts"),
+            "content").coalesce(1).write.mode("append").parquet(folder))
+    run = lambda: watch.drain(
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder), ["k"], F.lit(3), table, progress)
+    shown = lambda df: rows(watch.watch_health(df, ["k"], 100).select("k", "outcome"))
+    arrive(("a", 0, 0, bad))
+    arrive(("a", 0, 30, good), ("b", 0, 0, bad))
+    arrive(("b", 0, 300, bad))
+    judge, seen = watch.health_ready, []
+
+    def failing(batch, nodes):
+        seen.append(batch.count())
+        if len(seen) == 3:
+            raise RuntimeError("lost")
+        return judge(batch, nodes)
+    watch.health_ready = failing
+    try:
+        with pytest.raises(Exception, match="lost"):
+            run()
+        assert len(seen) == 3 and len(watch._folders(spark, table)) == 2
+        arrive(("c", 0, 5, bad))
+        spans = run()
+        # the batch that failed and the file that came after it, and nothing else
+        assert len(seen) == 5 and sorted(seen[3:]) == [1, 1]
+        assert shown(spans) == [("a", "ready"), ("b", "timeout"), ("c", "waiting")]
+        merged = watch.compact(spark, table, ["k"], spans.schema)
+        assert list(watch._folders(spark, table)) == ["merged=0"] and merged.count() == 3
+        arrive(("c", 0, 60, good))
+        spans = run()
+        assert len(seen) == 6 and shown(spans) == [("a", "ready"), ("b", "timeout"), ("c", "ready")]
+        assert watch.compact(spark, table, ["k"], spans.schema).count() == 3
+        assert list(watch._folders(spark, table)) == ["merged=1"]
+    finally:
+        watch.health_ready = judge
