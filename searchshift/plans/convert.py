@@ -3,12 +3,14 @@
 Each stage hands over a table written to the shared scratch folder, so a folder is
 listed once and a lost executor repeats one stage at most. A backup that fails a check
 drops out with its issues; the others go on. Everything is written below a folder beside
-the output, ``<output_dir>.staging``, checked there and moved to its place afterwards, the
-pointer file last; what fails stays in that folder, and a rerun writes over it.
+the output, ``<output_dir>.staging-<run>``, checked there, and the files of the run's manifest are
+moved to their place afterwards, the pointer file last. What fails stays in that folder; no
+other run reads or publishes it.
 """
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +23,7 @@ from ..operators.issues import issue_rows, union_issues
 from ..operators.joins import join_parents
 from ..session import materialized
 from ..sinks.copy import RANGE_BYTES, copy_files
-from ..sinks.repository import publish_trees, write_repository
+from ..sinks.repository import publish_files, write_repository
 from ..sources import schema as schema_source
 from ..sources.files import (listing_issues, read_documents, read_tails, read_texts, scan_files,
                              scan_outputs)
@@ -76,16 +78,19 @@ def _referenced(segments: DataFrame, inventory: DataFrame, shards: DataFrame) ->
     return join_parents(listed.unionByName(commits).distinct(), versions, keys, spread=["name"])
 
 
-def _staged(column: str = "output_dir") -> Column:
-    return F.concat(F.rtrim(F.col(column), F.lit("/")), F.lit(".staging"))
+def _staged(run: str, column: str = "output_dir") -> Column:
+    return F.concat(F.rtrim(F.col(column), F.lit("/")), F.lit(f".staging-{run}"))
 
 
 def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
-                    range_bytes: int = RANGE_BYTES) -> Conversion:
+                    range_bytes: int = RANGE_BYTES, run: str | None = None) -> Conversion:
     """Convert ``backups`` (backup_id, input_dir, output_dir, index_name, replicas).
 
     ``segments`` holds the commit contents of the planned shards, with ``replicas`` < 0
-    meaning that the source decides. ``now_ms`` is the time written to the documents."""
+    meaning that the source decides. ``now_ms`` is the time written to the documents. ``run`` names the
+    attempt: every attempt writes to staging folders of its own and publishes exactly the files in its
+    own manifest, so nothing that an earlier attempt left is published with them."""
+    run = run or uuid.uuid4().hex[:12]
     clashes = materialized(validate.shared_targets(backups), "clashes")
     backups = materialized(validate.validation_gate(backups, clashes), "backups")
     segments = materialized(segments, "segments")
@@ -129,7 +134,7 @@ def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
     accepted = materialized(validate.validation_gate(accepted, schema_issues), "accepted")
 
     # copy the live files and describe them
-    targets = accepted.select("backup_id", _staged().alias("output_dir")).join(roots, "backup_id")
+    targets = accepted.select("backup_id", _staged(run).alias("output_dir")).join(roots, "backup_id")
     referenced = _referenced(segments, inventory, shards)
     live = join_parents(
         shard_entries.join(referenced, ["backup_id", "shard_id", "name"]), targets,
@@ -178,7 +183,7 @@ def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
         .unionByName(documents.shard_snapshot_doc(chunks, named, now_ms))
         .unionByName(documents.shard_index_doc(chunks, rollup))
     )
-    places = totals.select("backup_id", "output_dir", _staged().alias("root"))
+    places = totals.select("backup_id", "output_dir", _staged(run).alias("root"))
     rooted = join_parents(parts, places.select("backup_id", "root"), ["backup_id"], spread=["rel_path", "part"])
     written = materialized(join_parents(write_repository(rooted), places, ["root"], spread=["rel_path"]), "written")
 
@@ -190,7 +195,12 @@ def convert_backups(backups: DataFrame, segments: DataFrame, now_ms: int,
         validate.index_dirs(produced, rollup), validate.shard_files(produced, rollup)), "issues")
     ready = validate.validation_gate(places, checked).select(
         "backup_id", F.col("root").alias("staged"), F.col("output_dir").alias("target"))
-    moved = materialized(publish_trees(ready, rules.REPO_LATEST), "moved")
+    copies = live.join(described.select("backup_id", "shard_id", "name"), ["backup_id", "shard_id", "name"], "left_semi")
+    own = copies.select("backup_id", F.col("target").alias("path"), "length").unionByName(
+        written.select("backup_id", F.concat_ws("/", "root", "rel_path").alias("path"), "length"))
+    files = join_parents(own, ready, ["backup_id"], spread=["path"]).select(
+        "backup_id", "staged", "target", F.expr("substring(path, length(staged) + 2)").alias("rel_path"), "length")
+    moved = materialized(publish_files(files, rules.REPO_LATEST), "moved")
     after = union_issues(checked, issue_rows(moved.where("not ok"), "WRITE_FAILED", F.lit(""), F.lit("")))
     return Conversion(
         results=validate.validation_gate(totals, after),

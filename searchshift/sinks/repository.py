@@ -89,37 +89,54 @@ MOVED = "backup_id string, ok boolean"
 
 def _move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [(r.backup_id, _publish(r.staged, r.target, r.last)) for r in batch.itertuples(index=False)]
+        rows = [(r.backup_id, _put_in_place(os.path.join(r.staged, r.rel_path), os.path.join(r.target, r.rel_path), r.length))
+                for r in batch.itertuples(index=False)]
         yield pd.DataFrame(rows, columns=["backup_id", "ok"])
 
 
-def _publish(staged: str, target: str, last: str) -> bool:
-    """Move a finished tree to its place, the file named ``last`` after all others. What was
-    moved by an attempt that was lost stays moved, so the move can be repeated."""
-    def put(folder: str, into: str) -> None:
-        os.makedirs(into, exist_ok=True)
-        for name in sorted(os.listdir(folder), key=lambda n: (n == last, n)):
-            source, place = os.path.join(folder, name), os.path.join(into, name)
-            if os.path.isdir(source):
-                put(source, place)
-                os.rmdir(source)
-            else:
-                os.replace(source, place)
-
+def _put_in_place(staged: str, place: str, length: int) -> bool:
+    """Move one file. What an attempt that was lost has moved is there already, with its length."""
     try:
-        if os.path.isdir(staged):
-            put(staged, target)
-            os.rmdir(staged)
-        return os.path.exists(os.path.join(target, last))
+        if os.path.getsize(staged if os.path.lexists(staged) else place) != length:
+            return False
+        if os.path.lexists(staged):
+            os.makedirs(os.path.dirname(place), exist_ok=True)
+            os.replace(staged, place)
+        return True
     except OSError:
         return False
 
 
-def publish_trees(trees: DataFrame, last: str) -> DataFrame:
-    """Move trees (backup_id, staged, target) from where they were written and checked to
-    where they belong, file by file within one file system: (backup_id, ok)."""
-    return trees.select("backup_id", "staged", "target", F.lit(last).alias("last")).repartition(
-        task_count(trees.sparkSession), "backup_id").mapInPandas(_move, MOVED)
+def _tidy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Remove the folders that are empty now; a file that no manifest names stays."""
+    for batch in batches:
+        for staged in batch["staged"]:
+            for folder, _, _ in os.walk(staged, topdown=False):
+                try:
+                    os.rmdir(folder)
+                except OSError:
+                    pass
+        yield batch[["backup_id"]].assign(ok=True)
+
+
+def publish_files(files: DataFrame, last: str) -> DataFrame:
+    """Move the files of a manifest (backup_id, staged, target, rel_path, length) from where they were
+    written and checked to where they belong, within one file system: (backup_id, ok).
+
+    Exactly these files are moved, whatever else lies in the staging folder. The file named ``last``
+    follows when all others of its backup are in place, so what it points to is whole; a backup is
+    ok when that is in place too. Every move can be repeated."""
+    tasks = task_count(files.sparkSession)
+    columns = ["backup_id", "staged", "target", "rel_path", "length"]
+    files = materialized(files.select(columns), "to-publish")
+    first = materialized(files.where(F.col("rel_path") != last).repartition(tasks, "backup_id", "rel_path")
+                         .mapInPandas(_move, MOVED).groupBy("backup_id").agg(F.min("ok").alias("ok")), "published")
+    pointers = files.where(F.col("rel_path") == last).join(first.where("ok").select("backup_id"), "backup_id", "left_semi")
+    done = materialized(pointers.select(columns).repartition(tasks, "backup_id").mapInPandas(_move, MOVED), "pointers")
+    pointers.join(done.where("ok").select("backup_id"), "backup_id", "left_semi").select("backup_id", "staged").repartition(
+        tasks, "backup_id").mapInPandas(_tidy, MOVED).write.format("noop").mode("overwrite").save()
+    return first.select("backup_id").join(done, "backup_id", "left").select(
+        "backup_id", F.coalesce("ok", F.lit(False)).alias("ok"))
 
 
 def batch_documents(batches: DataFrame) -> DataFrame:

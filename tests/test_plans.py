@@ -165,3 +165,10 @@ def test_hot_backup_in_the_gate(spark, small_skew):
     issues = hot(spark).select("backup_id", F.lit("WARN").alias("severity"), F.lit("NO_DOCUMENTS").alias("code"))
     summary = validate.issue_summary(issues).filter("code IS NULL AND severity = 'WARN'").first()
     assert summary["issues"] == 60_000
+
+
+@on_tables
+@pytest.mark.parametrize("name", ["segment_health", "shard_rollup", "index_doc", "repo_index_doc"])
+def test_versions_are_aggregated_by_hash(spark, name):
+    plan = physical(load_all()[name].run(spark, FOLDER))
+    assert not re.search("SortAggregate.*max", plan)

@@ -148,3 +148,10 @@ def test_gate_and_summary(spark, rows):
 
 def test_every_code_has_a_place():
     assert len(rules.CHECK_ORDER) == len(rules.ISSUES)
+
+
+def test_version_too_large_is_an_issue(spark):
+    shards = spark.createDataFrame([("b", 0)], "backup_id string, shard_id bigint")
+    segments = spark.createDataFrame([("b", 0, "_0", 1, "9.3000000.1"), ("b", 0, "_1", 1, "9.8.0")],
+                                     "backup_id string, shard_id bigint, segment string, max_doc bigint, lucene_version string")
+    assert [(r["severity"], r["code"]) for r in validate.segment_health(shards, segments).collect()] == [("ERROR", "VERSION_RANGE")]

@@ -87,3 +87,14 @@ def test_crc_of_pieces():
         for a, b in zip(cuts, cuts[1:]):
             combined ^= advance(zlib.crc32(data[a:b]), len(data) - b)
         assert combined == zlib.crc32(data)
+
+
+def test_packed_versions(spark):
+    texts = ["0.0.0", "9.0.9999", "9.0.10000", "9.1.0", "10.0.0", "2097151.2097151.2097151"]
+    packed = [one(spark, v.version_order(F.lit(t))) for t in texts]
+    assert packed == sorted(packed) and len(set(packed)) == len(packed)
+    assert [one(spark, v.version_text(F.lit(p))) for p in packed] == texts
+    for wide in ("2097152.0.0", "9.99999999999.1", "9.0.-1"):
+        assert one(spark, v.version_order(F.lit(wide))) is None and not one(spark, v.version_fits(F.lit(wide)))
+    for fine in ("9.8", "9.x.1", "9", None):
+        assert one(spark, v.version_fits(F.lit(fine).cast("string")))
