@@ -275,7 +275,7 @@ def family(n, seed, shared):
     return rows
 
 
-@pytest.mark.parametrize("longest", [2, 256])
+@pytest.mark.parametrize("longest", [2, 1024])
 def test_links_of_a_family_by_differences(spark, monkeypatch, longest):
     """Short lists are compared, longer ones become groups of their own; the links are the same."""
     monkeypatch.setattr(near_dup, "SHORT_LIST", longest)
