@@ -277,7 +277,8 @@ def stripes(docs: DataFrame, least: int = LEAST, number: int = 0) -> DataFrame:
                         F.coalesce("text", F.lit("")).alias("text"))
     spark = docs.sparkSession
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = min(MOST_BUCKETS, max(size // BUCKET_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    # as few as memory allows: a packet has a dictionary, so small ones cost more
+    buckets = min(MOST_BUCKETS, max(size // BUCKET_BYTES, 2 * spark.sparkContext.defaultParallelism))
     for seed in range(number, number + 100):
         found = materialized(texts.mapInArrow(_count(buckets, seed), PACKETS).groupBy("bucket").applyInArrow(
             _merge(least, seed), FOUND), "stripes")
