@@ -1,0 +1,67 @@
+"""Joins of reused chunks, and rows that repeat."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from searchshift.llm import bpe
+from searchshift.llm.tokens import tokens_of
+from searchshift.session import materialized
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(12)
+    fresh = lambda n: " ".join(f"word{rng.randrange(5000)}" for _ in range(n))
+    shared = fresh(600)
+    return [shared + " " + fresh(20), fresh(30) + " " + shared]
+
+
+def test_equal_rows_are_encoded_once(spark, texts, vocabulary):
+    rows = [(1, texts[0], 300), (2, texts[1], 20_000), (3, texts[1], 2), (None, None, 7), (3, texts[0], 1)]
+    docs = materialized(spark.createDataFrame(rows, "doc_id long, text string, times int").select(
+        "doc_id", "text", F.explode(F.sequence(F.lit(1), "times"))).repartition(4), "rows")
+    plain = Tokenizer.from_file(vocabulary)
+    want = Counter()
+    for d, t, n in rows:
+        want[d, len(plain.encode(t or "", add_special_tokens=False).ids)] += n
+    got = Counter((r.doc_id, r.n_tokens) for r in bpe.digests(docs, vocabulary).collect())
+    assert got == want
+
+
+def test_joins_widen_until_both_sides_agree(texts, vocabulary):
+    tokens = tokens_of(vocabulary)
+    data = [t.encode() for t in texts]
+    chunks = bpe.Chunked(data)
+    want = [tokens.encode(bpe.pa.array([t]))[0].tolist() for t in texts]
+    pieces = [[], []]
+    for text, a, b in zip(chunks.text_of.tolist(), chunks.inner[0].tolist(), chunks.inner[1].tolist()):
+        ids, _ = tokens.encode(bpe.pa.array([chunks.text(int(chunks.blanks[a]), int(chunks.blanks[b]) + 1)]))
+        pieces[text].append((a, b, ids))
+    assert min(map(len, pieces)) > 2
+    whole = lambda found: [np.concatenate(p).tolist() for p in bpe._ids_of_texts(tokens, chunks, found)]
+    assert whole(pieces) == want
+    stretches, overlaps = bpe.joined(chunks, 0, pieces[0], 1)
+    ids = [tokens.encode(bpe.pa.array([s]))[0] for s in stretches]
+    lengths = [len(tokens.encode(bpe.pa.array([s]))[0]) for s in overlaps]
+    assert np.concatenate(bpe.agreed(ids, lengths, pieces[0])).tolist() == want[0]
+    # a piece whose ends are not what the tokenizer makes there is found out and encoded anew
+    for end in (0, -1):
+        wrong = [list(p) for p in pieces]
+        a, b, ids_of_piece = wrong[0][1]
+        changed = ids_of_piece.copy()
+        changed[end] += 1
+        wrong[0][1] = (a, b, changed)
+        assert bpe.agreed(ids, lengths, wrong[0]) is None
+        assert whole(wrong) == want
+
+
+def test_repeated_rows_come_in_bounded_batches():
+    rows = bpe.pa.RecordBatch.from_pydict({"a": [1, 2, 3]})
+    parts = list(bpe._repeated(rows, np.array([2, 0, 2_000_000])))
+    assert sum(p.num_rows for p in parts) == 2_000_002 and len(parts) > 1
+    assert parts[0]["a"].to_pylist()[:3] == [1, 1, 3]
