@@ -194,12 +194,12 @@ def verdict(judged: DataFrame, thresholds: DataFrame, stratum: str = "stratum",
             .withColumn("kept", ~(F.col("s.base_failed") | over)).drop("_stratum", "_limits"))
 
 
-def _judged(docs: DataFrame, stratum: Column | None) -> DataFrame:
-    """Signals of every document, written down without texts so that later passes are narrow."""
+def _judged(docs: DataFrame, stratum: Column | None, *carried: Column) -> DataFrame:
+    """Signals of every document, written down so that no later pass evaluates them again."""
     stratum = F.col("lang") if stratum is None else stratum
     return materialized(
         docs.select("doc_id", F.coalesce(stratum.cast("string"), F.lit("")).alias("stratum"),
-                    signals(F.col("text")).alias("s")), "quality-signals")
+                    signals(F.col("text")).alias("s"), *carried), "quality-signals")
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: Column | None = None,
@@ -213,12 +213,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame, stratum: Column | None = N
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: Column | None = None, **limits) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns as they were.
 
-    Texts are judged a second time where they lie: that costs less than moving them to
-    verdicts that were written down."""
-    thresholds = materialized(
-        certified_cutoffs(_judged(docs, stratum), labels, **limits), "quality-cutoffs")
-    stratum = F.col("lang") if stratum is None else stratum
+    Every text is judged once: rows are written down with their signals, and later passes read
+    the signals alone until the rows that stay are taken from there."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    judged = docs.select(row, F.coalesce(stratum.cast("string"), F.lit("")).alias("stratum"),
-                         signals(F.col("text")).alias("s"))
+    judged = _judged(docs, stratum, row)
+    thresholds = certified_cutoffs(judged, labels, **limits)
     return verdict(judged, thresholds, cutoffs=limits.get("cutoffs")).where("kept").select("row.*")

@@ -91,18 +91,31 @@ def tail(k, n, p):
     return math.fsum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
 
 
-def quality(rows, good, cutoffs, max_false_rejection, confidence_loss):
-    """kept flags of (doc_id, text, stratum) rows; good: ids of good documents."""
-    held = defaultdict(list)
-    for doc, text, stratum in rows:
-        if doc in good and not base_failed(text):
-            held[stratum or ""].append(rates(text))
-    tests = sum(map(len, cutoffs.values())) * max(1, len(held))
-    rate, limits = max_false_rejection / len(cutoffs), {}
-    for stratum, known in held.items():
-        for name, cuts in cutoffs.items():
-            fine = [c for c in cuts if tail(sum(r[name] > c for r in known), len(known), rate) <= confidence_loss / tests]
-            limits[stratum, name] = min(fine, default=math.inf)
+def certified(rows, labels, cutoffs, rate, loss):
+    """Lowest certified cutoffs of (doc_id, text, stratum) rows, by strata and signals."""
+    held = [(d, s or "", rates(t)) for d, t, s in rows if d is not None and not base_failed(t)]
+    share = lambda docs, name, cut: sum(r[name] > cut for r in docs) / max(1, len(docs))
+    bad, none = ([r for d, _, r in held if labels.get(d) == q] for q in (0, None))
+    lead = {n: max(share(bad, n, c) - share(none, n, c) for c in cuts) for n, cuts in cutoffs.items()}
+    steps = [(n, c) for n in sorted(cutoffs, key=lambda n: -lead[n]) for c in sorted(cutoffs[n], reverse=True)]
+    good = defaultdict(list)
+    for d, s, r in held:
+        if labels.get(d) == 1:
+            good[s].append(r)
+    tested = {s: docs for s, docs in good.items() if (1 - rate) ** len(docs) <= loss}
+    out = {}
+    for s, docs in tested.items():
+        for j, (name, cut) in enumerate(steps):
+            k = sum(any(r[n] > c for n, c in steps[:j + 1]) for r in docs)
+            if tail(k, len(docs), rate) > loss / len(tested):
+                break
+            out[s, name] = cut
+    return out
+
+
+def quality(rows, labels, cutoffs, rate, loss):
+    """kept flags of (doc_id, text, stratum) rows; labels: id -> 1 (good), 0 (bad) or another value."""
+    limits = certified(rows, labels, cutoffs, rate, loss)
     return [not base_failed(text) and all(rates(text)[name] <= limits.get((stratum or "", name), math.inf)
                                           for name in cutoffs) for _, text, stratum in rows]
 

@@ -19,8 +19,8 @@ def test_pipeline_against_brute_force(spark, small, vocabulary):
     plain = Tokenizer.from_file(vocabulary)
     read = lambda t: [r.asDict() for r in spark.read.parquet(f"{small}/{t}.parquet").collect()]
     docs, labels, items = read("documents"), read("labels"), read("benchmark")
-    good = {r["doc_id"] for r in labels if r["quality"] == 1}
-    kept = brute.quality([(d["doc_id"], d["text"], d["lang"]) for d in docs], good, quality.CUTOFFS, 0.02, 0.05)
+    known = {r["doc_id"]: r["quality"] for r in labels}
+    kept = brute.quality([(d["doc_id"], d["text"], d["lang"]) for d in docs], known, quality.CUTOFFS, 0.02, 0.05)
     docs = [d for d, k in zip(docs, kept) if k]
     alone = brute.near_duplicates([(d["doc_id"], d["text"]) for d in docs], 5)
     docs = [d for d, r in zip(docs, alone) if r[3]]
