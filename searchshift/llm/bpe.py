@@ -271,10 +271,11 @@ def encode(docs: DataFrame, tokenizer: str, finish: Finish = ids_of,
     shared = (occurrences.groupBy("h1", "h2").agg(F.min("key").alias("key"), F.max("key").alias("other"))
               .where("key < other").select("key", "h1", "h2"))
     owned = shared.groupBy("key").agg(F.collect_list(F.struct("h1", "h2")).alias("owned"))
-    # moved once and read by both joins; equal rows meet here, after they were added up by task
+    # moved once and read by both joins, which must ask for the same columns; equal rows meet here,
+    # after they were added up by task
     packed = (keyed.mapInArrow(_pack, "key long not null, doc_id long, packed binary, n long not null").repartition("key")
               .groupBy("key", "doc_id", "packed").agg(F.sum("n").alias("n")))
-    encoded = (packed.join(owned, "key").select("key", "doc_id", "packed", "owned")
+    encoded = (packed.join(owned, "key").select("key", "doc_id", "packed", "n", "owned")
                .mapInArrow(_share(tokenizer), "h1 long not null, h2 long not null, ids binary"))
     pieces = (occurrences.distinct().join(encoded, ["h1", "h2"]).groupBy("key")
               .agg(F.collect_list(F.struct("h1", "h2", "ids")).alias("pieces")))
