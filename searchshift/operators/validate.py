@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
+from ..session import materialized
 from ..functions.values import format_bytes, join_path, version_fits, version_order, version_part, version_text
 from .issues import emit, issue_rows, union_issues, when
-from .joins import join_parents
+from .joins import join_groups, join_parents, join_shuffled
 
 
 def _shard_label() -> Column:
@@ -29,12 +30,11 @@ def input_present(planned: DataFrame, shards: DataFrame, inventory: DataFrame) -
     dirs = inventory.filter(F.col("is_dir")).select(
         "backup_id", join_path(F.col("rel_dir"), F.col("name")).alias("dir"), "readable")
     roots = dirs.filter(F.col("dir") == "").select("backup_id", "readable")
-    checked = planned.select("backup_id").join(roots, "backup_id", "left")
+    checked = join_shuffled(planned.select("backup_id"), roots, ["backup_id"], "left")
     missing = checked.filter(F.col("readable").isNull()).select("backup_id")
-    shard_state = shards.join(dirs, ["backup_id", "dir"], "left").filter(
+    shard_state = join_shuffled(shards, dirs, ["backup_id", "dir"], "left").filter(
         F.col("readable").isNull() | ~F.col("readable"))
-    doubtful = join_parents(shard_state, missing, ["backup_id"], spread=["shard_id"],
-                            how="left_anti")
+    doubtful = join_groups(shard_state, missing, ["backup_id"], spread=["shard_id"], how="left_anti")
     nothing = F.lit("")
     return union_issues(
         emit(checked,
@@ -135,16 +135,19 @@ def input_bytes(inventory: DataFrame, shards: DataFrame) -> DataFrame:
     """Bytes below each backup's planned shard directories; an unknown size counts as 0.
 
     Shard directories lie directly in the root, or are the root itself, which takes in
-    everything. Files are summed by top-level directory before they meet the plan."""
+    everything. Files are summed by top-level directory before they meet the plan, and
+    they are read once for both."""
     tops = inventory.filter(~F.col("is_dir")).groupBy(
         "backup_id", F.split_part("rel_dir", F.lit("/"), F.lit(1)).alias("dir")
     ).agg(F.sum(F.coalesce("length", F.lit(0))).alias("bytes"))
-    inside = tops.filter(F.col("dir") != "").join(
-        shards.filter(F.col("dir") != "").select("backup_id", "dir"), ["backup_id", "dir"],
-        "left_semi")
-    whole = join_parents(tops, shards.filter(F.col("dir") == "").select("backup_id"),
-                         ["backup_id"], spread=["dir"], how="left_semi")
-    return inside.unionByName(whole).groupBy("backup_id").agg(F.sum("bytes").alias("input_bytes"))
+    planned = shards.filter(F.col("dir") != "").select("backup_id", "dir").distinct().withColumn("inside", F.lit(True))
+    totals = join_shuffled(tops, planned, ["backup_id", "dir"], "left").groupBy("backup_id").agg(
+        F.sum(F.when(F.col("inside"), F.col("bytes"))).alias("inside"), F.sum("bytes").alias("all"))
+    whole = shards.filter(F.col("dir") == "").select("backup_id").distinct().withColumn("whole", F.lit(True))
+    return join_shuffled(totals, whole, ["backup_id"], "left").filter(
+        F.col("inside").isNotNull() | F.col("whole")
+    ).select("backup_id", (F.coalesce("inside", F.lit(0)) + F.when(F.col("whole"), F.col("all")).otherwise(F.lit(0)))
+             .cast("bigint").alias("input_bytes"))
 
 
 def disk_space(sizes: DataFrame, volumes: DataFrame) -> DataFrame:
@@ -152,12 +155,14 @@ def disk_space(sizes: DataFrame, volumes: DataFrame) -> DataFrame:
     device); backups whose output goes to one device share its space, so all of them are
     warned if their sum does not fit."""
     required = (F.col("input_bytes") * F.lit(rules.DISK_FACTOR)).cast("bigint")
-    wanted = sizes.join(volumes.select("backup_id", "usable", "device"), "backup_id").withColumn("required", required)
+    wanted = join_shuffled(sizes, volumes.select("backup_id", "usable", "device"), ["backup_id"])
+    # written down, one narrow row per backup, as it is read twice
+    wanted = materialized(wanted.select("backup_id", "usable", "device", required.alias("required")), "wanted")
     # one narrow row per device, whatever the number of its backups
     devices = wanted.filter(F.col("device").isNotNull()).groupBy("device").agg(
         F.sum("required").alias("required"), F.min("usable").alias("usable"))
     full = devices.filter(F.col("usable") < F.col("required"))
-    short = join_parents(wanted.select("backup_id", "device"), full, ["device"], spread=["backup_id"])
+    short = join_groups(wanted.select("backup_id", "device"), full, ["device"], spread=["backup_id"])
     return issue_rows(
         short, "LOW_DISK_SPACE", F.lit(""),
         F.concat(F.lit("need "), format_bytes(F.col("required")), F.lit(", have "),
@@ -184,7 +189,7 @@ def _any(condition: Column) -> Column:
 
 def _of_each(expected: DataFrame, flags: DataFrame) -> DataFrame:
     """``flags`` of every expected backup; one without any entry has none of what is asked."""
-    found = expected.select("backup_id").distinct().join(flags, "backup_id", "left")
+    found = join_shuffled(expected.select("backup_id").distinct(), flags, ["backup_id"], "left")
     return found.select("backup_id", *[
         F.coalesce(c, F.lit(False)).alias(c) for c in flags.columns if c != "backup_id"])
 
@@ -243,11 +248,9 @@ def index_dirs(outputs: DataFrame, shards: DataFrame) -> DataFrame:
     top = _inside_index(outputs).filter(F.col("inside") == "")
     metadata = top.filter(_is_data("meta-")).select("backup_id", "index_dir").distinct(
         ).withColumn("has_metadata", F.lit(True))
-    state = (
-        facts.join(picked, "backup_id", "left")
-        .join(metadata, ["backup_id", "index_dir"], "left")
-        .withColumn("has_metadata", F.coalesce("has_metadata", F.lit(False)))
-    )
+    state = join_shuffled(
+        join_shuffled(facts, picked, ["backup_id"], "left"), metadata, ["backup_id", "index_dir"], "left"
+    ).withColumn("has_metadata", F.coalesce("has_metadata", F.lit(False)))
     usable = F.col("index_dir").isNotNull()
     nothing = F.lit("")
     level = emit(
@@ -260,11 +263,10 @@ def index_dirs(outputs: DataFrame, shards: DataFrame) -> DataFrame:
              nothing),
     )
     present = top.filter("is_dir").select("backup_id", "index_dir", F.col("name").alias("dir"))
-    absent = (
-        join_parents(shards.select("backup_id", F.col("shard_id").cast("string").alias("dir")),
-                     picked.select("backup_id", "index_dir"), ["backup_id"], spread=["dir"], how="left")
-        .join(present, ["backup_id", "index_dir", "dir"], "left_anti")
-    )
+    absent = join_shuffled(
+        join_groups(shards.select("backup_id", F.col("shard_id").cast("string").alias("dir")),
+                    picked.select("backup_id", "index_dir"), ["backup_id"], spread=["dir"], how="left"),
+        present, ["backup_id", "index_dir", "dir"], "left_anti")
     return level.unionByName(
         issue_rows(absent, "OUTPUT_SHARD_MISSING", _folder_label(), nothing))
 
@@ -288,9 +290,9 @@ def shard_files(outputs: DataFrame, shards: DataFrame) -> DataFrame:
     expected = shards.select("backup_id", F.col("shard_id").cast("string").alias("dir"))
     label, nothing = _folder_label(), F.lit("")
     return emit(
-        join_parents(flags.join(expected, ["backup_id", "dir"], "left_semi"),
-                     pick_index_dir(outputs).select("backup_id", "index_dir"),
-                     ["backup_id", "index_dir"], spread=["dir"], how="left_semi"),
+        join_groups(join_shuffled(flags, expected, ["backup_id", "dir"], "left_semi"),
+                    pick_index_dir(outputs).select("backup_id", "index_dir"),
+                    ["backup_id", "index_dir"], spread=["dir"], how="left_semi"),
         when(~F.col("snap"), "SHARD_SNAPSHOT_MISSING", label, nothing),
         when(~F.col("index"), "SHARD_INDEX_MISSING", label, nothing),
         when(F.col("others") == 0, "SHARD_FILES_MISSING", label, nothing),

@@ -139,31 +139,29 @@ ordered(code, check_order) AS (VALUES ('INPUT_MISSING', 11), ('INPUT_UNREADABLE'
   ('SHARD_INDEX_MISSING', 44), ('SHARD_FILES_MISSING', 45))"""
 
 
-def _input(t, tree=None):
-    planned = t.fx_planned
-    return validate.input_present(planned.select("backup_id").distinct(), planned,
-                                  tree or t.fx_tree)
+def _input(t, planned):
+    folders = materialized(t.fx_tree.filter("is_dir"), "folders")
+    return validate.input_present(planned.select("backup_id").distinct(), planned, folders)
 
 
-def _disk(t, tree=None):
-    sizes = validate.input_bytes(tree or t.fx_tree, t.fx_planned)
-    return validate.disk_space(sizes, t.fx_volumes)
+def _disk(t, planned):
+    return validate.disk_space(validate.input_bytes(t.fx_tree, planned), t.fx_volumes)
 
 
 def _all(t):
-    # listings are written down before several checks read them
-    tree, out = materialized(t.fx_tree, "tree"), materialized(t.fx_out, "outputs")
+    # what several checks read is written down; of the input trees one reads the folders, one the files
+    planned, out = materialized(t.fx_planned, "planned"), materialized(t.fx_out, "outputs")
     expected = t.fx_out_shards
     return union_issues(
-        _input(t, tree), validate.output_state(t.fx_volumes),
-        validate.segment_health(t.fx_shards, t.fx_segments), _disk(t, tree),
+        _input(t, planned), validate.output_state(t.fx_volumes),
+        validate.segment_health(t.fx_shards, t.fx_segments), _disk(t, planned),
         validate.repo_files(out, expected), validate.index_latest_size(out),
         validate.index_dirs(out, expected), validate.shard_files(out, expected))
 
 
 @query("input_present", f"WITH {INPUT} SELECT * FROM input_issues")
 def _(t):
-    return _input(t)
+    return _input(t, materialized(t.fx_planned, "planned"))
 
 
 @query("output_state", f"WITH {OUTPUT_STATE} SELECT * FROM state_issues")
@@ -178,7 +176,7 @@ def _(t):
 
 @query("disk_space", f"WITH {DISK} SELECT * FROM disk_issues")
 def _(t):
-    return _disk(t)
+    return _disk(t, t.fx_planned)
 
 
 @query("validation_gate", f"""
