@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.values import json_text, stable_id
+from ..functions.values import json_text, meta_hash, stable_id
 from .joins import join_parents
 
 HASH_BITS = 32
@@ -31,12 +31,13 @@ def _section(number: int, chunk: Column | int = 0) -> Column:
     return (F.lit(number * SECTION) + within).cast("bigint").alias("part")
 
 
-def _collect(chunked: DataFrame, keys: list[str], bodies: list[str]) -> DataFrame:
+def _collect(chunked: DataFrame, keys: list[str], bodies: dict[str, Column]) -> DataFrame:
     """Comma-joined bodies of each chunk in (place, name) order. Every chunk but the
     first of its list starts with a comma; ``is_first`` and ``is_last`` mark the ends."""
     # Repartitioned by chunk: the preceding join leaves all rows of a list together.
+    made = [body.alias(name) for name, body in bodies.items()]
     lists = chunked.repartition(*keys, "chunk").groupBy(*keys, "chunk").agg(
-        F.array_sort(F.collect_list(F.struct("place", "name", *bodies))).alias("_entries"),
+        F.array_sort(F.collect_list(F.struct("place", "name", *made))).alias("_entries"),
         F.max("first").alias("first"), F.max("last").alias("last"))
     lead = F.when(F.col("chunk") == F.col("first"), F.lit("")).otherwise(F.lit(","))
     return lists.select(
@@ -46,13 +47,16 @@ def _collect(chunked: DataFrame, keys: list[str], bodies: list[str]) -> DataFram
 
 
 def list_parts(entries: DataFrame, keys: list[str], size: int,
-               bodies: tuple[str, ...] = ("body",)) -> DataFrame:
+               bodies: dict[str, Column] | None = None) -> DataFrame:
     """Lists of named entries cut into chunks: keys + (chunk, is_first, is_last, bodies).
 
-    ``entries`` is keys + (place, name, bodies) with names unique in a list and
+    ``entries`` is keys + (place, name, ...) with names unique in a list and
     ``place`` their ``text_hash``. Equal stretches of the hash space hold about
-    ``size`` entries each.
+    ``size`` entries each. ``bodies`` are the texts of an entry, made of its columns (by
+    default its ``body``) after the entries were moved: a text takes more room than they do.
     """
+    bodies = bodies or {"body": F.col("body")}
+    facts = [c for c in entries.columns if c not in (*keys, "place", "name")]
     stats = entries.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("place").alias("_low"),
                                          F.max("place").alias("_high"))
     chunks = F.ceil(F.col("_n") / size)
@@ -61,17 +65,17 @@ def list_parts(entries: DataFrame, keys: list[str], size: int,
         return F.shiftright(place * chunks, HASH_BITS)
 
     chunked = join_parents(entries, stats, keys, spread=["place"]).select(
-        *keys, "place", "name", *bodies,
+        *keys, "place", "name", *facts,
         chunk_of(F.col("place")).alias("chunk"), chunk_of(F.col("_low")).alias("first"),
         chunk_of(F.col("_high")).alias("last"))
-    return _collect(chunked, keys, list(bodies))
+    return _collect(chunked, keys, bodies)
 
 
 def numbered_parts(entries: DataFrame, keys: list[str], size: int) -> DataFrame:
     """Lists in the order of a dense number from 0, such as shard ids."""
     chunked = entries.withColumn("chunk", F.floor(F.col("place") / size)).withColumn(
         "first", F.lit(0).cast("bigint")).withColumn("last", F.lit(None).cast("bigint"))
-    return _collect(chunked, keys, ["body"])
+    return _collect(chunked, keys, {"body": F.col("body")})
 
 
 # --- identifiers -----------------------------------------------------------------
@@ -237,14 +241,21 @@ def _shard_path(name: Column) -> Column:
 
 def file_chunks(manifest: DataFrame, files_per_part: int = FILES_PER_PART) -> DataFrame:
     """The files of each shard as bounded pieces of JSON text: (backup_id, shard_id, chunk,
-    entries, names). Both documents of a shard are made from these."""
+    entries, names). Both documents of a shard are made from these.
+
+    A manifest without ``meta_hash`` gets it where the texts are made: a hash cannot be
+    compressed, and what it is made of is moved anyway."""
+    given = "meta_hash" in manifest.columns
+    hashed = F.col("meta_hash") if given else meta_hash(*[
+        F.col(c) for c in ("name", "length", "checksum", "written_by")])
     entry = F.to_json(F.struct(
         F.col("name").alias("name"), F.col("name").alias("physical_name"), "length", "written_by",
-        "checksum", "meta_hash"))
+        "checksum", hashed.alias("meta_hash")))
     files = manifest.select(
-        "backup_id", "shard_id", text_hash(F.col("name")).alias("place"), "name",
-        entry.alias("entries"), F.to_json(F.struct("name")).alias("names"))
-    return list_parts(files, ["backup_id", "shard_id"], files_per_part, ("entries", "names"))
+        "backup_id", "shard_id", text_hash(F.col("name")).alias("place"), "name", "length", "written_by", "checksum",
+        *["meta_hash"] * given)
+    return list_parts(files, ["backup_id", "shard_id"], files_per_part,
+                      {"entries": entry, "names": F.to_json(F.struct("name"))})
 
 
 def shard_snapshot_doc(chunks: DataFrame, shards: DataFrame, now_ms: int) -> DataFrame:

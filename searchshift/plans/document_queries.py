@@ -53,7 +53,7 @@ def _manifest(t):
 
 
 def _chunks(t):
-    return documents.file_chunks(_manifest(t), FILES_PER_PART)
+    return documents.file_chunks(t.fx_manifest, FILES_PER_PART)
 
 
 def _rollup(t):
