@@ -6,6 +6,7 @@ import os
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,22 +16,27 @@ from ..session import materialized, task_count
 WRITTEN = "root string, rel_path string, bytes bigint, ok boolean"
 
 
-def _write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bodies are written from where Arrow has them, with no copy in Python."""
     folders: set[str] = set()
     for batch in batches:
-        rows = []
-        for r in batch.itertuples(index=False):
-            body = bytes(r.body)
+        roots, paths, bodies, offsets, totals = (batch.column(c) for c in ("root", "rel_path", "body", "offset", "total"))
+        written, ok = [], []
+        for i in range(batch.num_rows):
+            body = memoryview(bodies[i].as_buffer())
             try:
-                _put(os.path.join(r.root, r.rel_path), body, r.offset, r.total, folders)
+                _put(os.path.join(roots[i].as_py(), paths[i].as_py()), body, offsets[i].as_py(), totals[i].as_py(), folders)
             except OSError:  # one bad target must not end the job for the others
-                rows.append((r.root, r.rel_path, 0, False))
+                written.append(0)
+                ok.append(False)
             else:
-                rows.append((r.root, r.rel_path, len(body), True))
-        yield pd.DataFrame(rows, columns=["root", "rel_path", "bytes", "ok"])
+                written.append(len(body))
+                ok.append(True)
+        yield pa.RecordBatch.from_arrays(
+            [roots, paths, pa.array(written, pa.int64()), pa.array(ok, pa.bool_())], ["root", "rel_path", "bytes", "ok"])
 
 
-def _put(path: str, body: bytes, offset: int, total: int, folders: set[str]) -> None:
+def _put(path: str, body: memoryview, offset: int, total: int, folders: set[str]) -> None:
     folder = os.path.dirname(path)
     if folder not in folders:
         os.makedirs(folder, exist_ok=True)
@@ -68,7 +74,7 @@ def write_repository(parts: DataFrame) -> DataFrame:
     bodies = sized.select(*keys, "part", "body").repartition(tasks, *keys, "part")
     offsets = places.select(*keys, "part", "offset", "total").repartition(tasks, *keys, "part")
     written = bodies.join(offsets, [*keys, "part"]).select(
-        *keys, "body", "offset", "total").mapInPandas(_write, WRITTEN)
+        *keys, "body", "offset", "total").mapInArrow(_write, WRITTEN)
     return written.groupBy(*keys).agg(F.sum("bytes").alias("length"), F.count("*").alias("parts"),
                                       F.min("ok").alias("ok"))
 
@@ -79,7 +85,7 @@ def write_files(files: DataFrame) -> DataFrame:
     body = F.col("body").cast("binary")
     written = files.select(
         "root", "rel_path", body.alias("body"), F.lit(0).cast("bigint").alias("offset"),
-        F.octet_length(body).cast("bigint").alias("total")).mapInPandas(_write, WRITTEN)
+        F.octet_length(body).cast("bigint").alias("total")).mapInArrow(_write, WRITTEN)
     return written.select("root", "rel_path", F.col("bytes").alias("length"),
                           F.lit(1).cast("bigint").alias("parts"), "ok")
 

@@ -1,0 +1,131 @@
+"""What must not grow faster than the tables: broadcasts, moved texts, rows of one task, listings written down."""
+
+import tracemalloc
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from searchshift.operators import detect, documents, manifest, validate
+from searchshift.plans import detection_queries
+from searchshift.plans.catalog import load_all
+from searchshift.plans.fixtures import table
+from searchshift.sinks import repository
+
+ENTRY = "backup_id string, rel_dir string, name string, is_dir boolean, length bigint, readable boolean"
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def outputs(spark, tmp_path):
+    rows = [("b", "", "index-0", False, 1, True), ("b", "", "indices", True, 0, True),
+            ("b", "indices", "ix", True, 0, True), ("b", "indices/ix", "0", True, 0, True),
+            ("b", "indices/ix/0", "snap-s.dat", False, 1, True)]
+    spark.createDataFrame(rows, ENTRY).write.parquet(str(tmp_path / "out"))
+    shards = spark.createDataFrame([("b", 0), ("b", 1)], "backup_id string, shard_id bigint")
+    return spark.read.parquet(str(tmp_path / "out")), shards
+
+
+@pytest.mark.parametrize("check", ["repo_files", "index_dirs", "shard_files"])
+def test_output_checks_send_no_table_to_all_tasks(outputs, check):
+    out, shards = outputs
+    found = getattr(validate, check)(out, shards)
+    assert "Broadcast" not in physical(found) and found.count() > 0
+
+
+def test_input_checks_send_no_table_to_all_tasks(spark):
+    tree = spark.createDataFrame([("b", "", "", True, 0, True), ("b", "", "d", True, 0, True),
+                                  ("b", "d", "f", False, 10, True)], ENTRY)
+    shards = spark.createDataFrame([("b", 0, "d"), ("b", 1, "e")], "backup_id string, shard_id bigint, dir string")
+    found = validate.input_present(shards.select("backup_id").distinct(), shards, tree)
+    assert "Broadcast" not in physical(found)
+    assert [r["code"] for r in found.collect()] == ["SHARD_DIR_MISSING"]
+
+
+def test_input_bytes_reads_the_listing_once(spark, tmp_path):
+    files = [("a", "d", "f", 10), ("a", "d/sub", "g", 5), ("a", "other", "h", 7), ("a", "", "x", 1),
+             ("w", "d", "f", 20), ("w", "", "x", 2), ("n", "d", "f", 3), ("both", "d", "f", 4)]
+    spark.createDataFrame([(b, d, n, False, size, True) for b, d, n, size in files], ENTRY).write.parquet(
+        str(tmp_path / "tree"))
+    shards = spark.createDataFrame(
+        [("a", "d"), ("a", "d"), ("w", ""), ("both", "d"), ("both", ""), ("none", "d")], "backup_id string, dir string")
+    sizes = validate.input_bytes(spark.read.parquet(str(tmp_path / "tree")), shards)
+    assert physical(sizes).count("FileScan") == 1
+    assert {r["backup_id"]: r["input_bytes"] for r in sizes.collect()} == {"a": 15, "w": 22, "both": 8}
+
+
+def test_rows_are_dealt_out_before_they_are_multiplied(spark, tmp_path):
+    spark.range(1, 500).select(F.col("id").alias("c_custkey")).coalesce(1).write.parquet(
+        str(tmp_path / "customer.parquet"))
+    for name in ("fx_out", "fx_out_shards"):
+        rows = table(spark, str(tmp_path), name)
+        assert rows.groupBy(F.spark_partition_id()).count().count() > 4
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    spark.range(1, 60).select(
+        F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("2-HIGH").alias("o_orderpriority")
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(1, 60).select(F.col("id").alias("l_orderkey"), F.col("id").alias("l_partkey"), F.col("id").alias("l_suppkey"),
+                              F.lit(1).alias("l_linenumber"), F.lit(9.5).alias("l_extendedprice")
+                              ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(1, 9).select(F.col("id").alias("c_custkey"), F.lit(3).alias("c_nationkey")).write.parquet(
+        str(tmp_path / "customer.parquet"))
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["all_input_issues", "plan_shards", "conversion_plan"])
+def test_data_files_are_not_written_down(spark, folder, monkeypatch, name):
+    plain, names = detection_queries.materialized, []
+
+    def watched(df, label):
+        if "name" in df.columns:
+            names.extend(r["name"] for r in df.collect())
+        return plain(df, label)
+
+    monkeypatch.setattr(detection_queries, "materialized", watched)
+    assert load_all()[name].run(spark, folder).count() > 0
+    assert not [n for n in names if n.endswith(".cfs")]
+
+
+def test_formats_are_not_multiplied(spark):
+    """One row for each block of a backup's shards, and every shard of a large backup planned."""
+    shards = spark.range(3000).select(F.lit("b").alias("backup_id"), F.col("id").alias("shard_id"),
+                                      F.concat(F.lit("snapshot.shard"), F.col("id") + 1).alias("dir"))
+    formats = spark.createDataFrame([("b", "SOLRCLOUD_FULL", 3000), ("c", "STANDALONE", 1)],
+                                    "backup_id string, format string, shard_count bigint")
+    planned = detect.plan_shards(formats, shards, spark.createDataFrame([("c", "index")], "backup_id string, index_dir string"))
+    assert "_salt" not in physical(planned) and planned.count() == 3001
+
+
+def test_marks_are_two_numbers(spark):
+    plan = physical(detect.classify_format(spark.createDataFrame([("b", "", "", True, 0, True)], ENTRY)))
+    assert "bit_or" in plan and "max(before" not in plan
+
+
+def test_texts_of_files_are_made_after_the_move(spark):
+    files = spark.createDataFrame([("b", 0, f"_{i}.fdt", i, "c", "9.8.0") for i in range(50)],
+                                  "backup_id string, shard_id bigint, name string, length bigint, "
+                                  "checksum string, written_by string")
+    chunks = documents.file_chunks(files, 10)
+    below = physical(chunks).split("REPARTITION_BY_COL", 1)[1]
+    assert "to_json" not in below and "sha2" not in below
+    given = documents.file_chunks(manifest.with_meta_hash(files), 10)
+    assert sorted(map(tuple, chunks.collect())) == sorted(map(tuple, given.collect()))
+
+
+def test_bodies_are_written_without_copies(tmp_path):
+    n, size = 8, 4 << 20
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([str(tmp_path)] * n), pa.array([f"f{i}" for i in range(n)]), pa.array([bytes([i]) * size for i in range(n)]),
+         pa.array([0] * n), pa.array([size] * n)], ["root", "rel_path", "body", "offset", "total"])
+    tracemalloc.start()
+    written = [row for out in repository._write(iter([batch])) for row in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < size and all(r["ok"] and r["bytes"] == size for r in written)
+    assert (tmp_path / "f3").read_bytes() == b"\3" * size
