@@ -20,20 +20,23 @@ def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bodies are written from where Arrow has them, with no copy in Python."""
     folders: set[str] = set()
     for batch in batches:
-        roots, paths, bodies, offsets, totals = (batch.column(c) for c in ("root", "rel_path", "body", "offset", "total"))
+        roots, paths, offsets, totals = (batch.column(c).to_pylist() for c in ("root", "rel_path", "offset", "total"))
         written, ok = [], []
-        for i in range(batch.num_rows):
-            body = memoryview(bodies[i].as_buffer())
+        for i, stored in enumerate(batch.column("body")):
+            body = memoryview(stored.as_buffer())
             try:
-                _put(os.path.join(roots[i].as_py(), paths[i].as_py()), body, offsets[i].as_py(), totals[i].as_py(), folders)
+                _put(os.path.join(roots[i], paths[i]), body, offsets[i], totals[i], folders)
             except OSError:  # one bad target must not end the job for the others
                 written.append(0)
                 ok.append(False)
             else:
                 written.append(len(body))
                 ok.append(True)
+        # the bodies go before the next ones come
+        batch = stored = body = None
         yield pa.RecordBatch.from_arrays(
-            [roots, paths, pa.array(written, pa.int64()), pa.array(ok, pa.bool_())], ["root", "rel_path", "bytes", "ok"])
+            [pa.array(roots, pa.string()), pa.array(paths, pa.string()), pa.array(written, pa.int64()), pa.array(ok, pa.bool_())],
+            ["root", "rel_path", "bytes", "ok"])
 
 
 def _put(path: str, body: memoryview, offset: int, total: int, folders: set[str]) -> None:
