@@ -41,6 +41,9 @@ LOOK_BACK, MEAN_BITS = 32, 9
 LEAST = 64
 #: Compressed texts that a task holds to find rows that repeat, and what a row costs besides.
 HELD_BYTES, ROW_BYTES = 8 << 20, 250
+#: Bytes of texts that are worked on at once, and of compressed ones: arrays of their bytes take many times as much,
+#: and workers keep what they once took.
+SLICE, PACKED_SLICE = 1 << 20, 1 << 19
 #: A 32-bit number for each byte value, from a digest, so that all workers cut alike.
 _GEAR = np.array([xxhash.xxh32_intdigest(bytes([b]), seed=1) for b in range(256)], dtype=np.uint32)
 _BLANKS = np.zeros(256, dtype=bool)
@@ -92,7 +95,7 @@ def _utf8(column: pa.Array) -> list[bytes]:
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks of each text, each once per text."""
     for batch in batches:
-        for at, n in slices(batch["text"]):
+        for at, n in slices(batch["text"], SLICE):
             chunks = Chunked(_utf8(batch["text"].slice(at, n)))
             keys = batch["key"].slice(at, n).to_numpy()[chunks.text_of]
             rows = np.unique(np.column_stack([keys, chunks.digests]), axis=0) if len(keys) else np.zeros((0, 3), "<i8")
@@ -113,7 +116,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(held.values(), pa.int64())], names=["key", "doc_id", "packed", "n"])
 
     for batch in batches:
-        for at, n in slices(batch["text"]):
+        for at, n in slices(batch["text"], SLICE):
             part = batch.slice(at, n)
             for key, doc_id, text in zip(part["key"].to_pylist(), part["doc_id"].to_pylist(), _utf8(part["text"])):
                 row = key, doc_id, squeeze(text)
@@ -126,7 +129,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
-def _unpacked(batch: pa.RecordBatch, most_bytes: int = 2 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
+def _unpacked(batch: pa.RecordBatch, most_bytes: int = PACKED_SLICE) -> Iterator[tuple[int, int, list[bytes]]]:
     """(start, rows, texts) by runs of rows whose compressed texts are bounded."""
     stretch = zstandard.ZstdDecompressor().decompress
     for at, n in slices(batch["packed"], most_bytes):
